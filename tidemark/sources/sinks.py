@@ -25,13 +25,13 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     """Write ``df`` to ``path`` as parquet (full refresh); return the row count."""
     if audit_column:
         df = df.withColumn(audit_column, F.current_timestamp())
-    obs = Observation()
-    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    writer_input = df
     if partition_by:
         rest = [c for c in df.columns if c not in partition_by and c != audit_column]
-        writer_input = df.repartitionByRange(*partition_by, *rest[:1])
-    w = writer_input.write.mode("overwrite").option("compression", compression)
+        df = df.repartitionByRange(*partition_by, *rest[:1])
+    # observed above the exchange: the range-boundary sampling job must not count
+    obs = Observation()
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    w = df.write.mode("overwrite").option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
