@@ -25,7 +25,7 @@ def typed_column(df: DataFrame, name: str, target: str) -> Column:
             return c
         if isinstance(src, (T.TimestampType, T.TimestampNTZType)):
             return c.cast("date")
-        return F.try_to_date(c.cast("string"), F.lit(DATE_FORMAT))
+        return F.try_to_date(c.cast("string"), DATE_FORMAT)
     if target == "string":
         return c if isinstance(src, T.StringType) else c.cast("string")
     return c.try_cast(target)

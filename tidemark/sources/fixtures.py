@@ -39,7 +39,11 @@ def _money(cents_col) -> F.Column:
 def bronze_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     o = read_table(spark, sf_dir, "orders")
-    j = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
+    # Both sides are fact-sized (orders grows with lineitem), so this is a
+    # sort-merge join at every real scale; the hint keeps a small test size
+    # from broadcasting orders and funnelling all per-row work into the scan
+    # tasks of lineitem.
+    j = li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey, "inner")
     qty = F.col("l_quantity").cast("bigint")
     ext = cents("l_extendedprice")
     disc = F.round(F.col("l_discount") * 100).cast("int")
