@@ -78,3 +78,18 @@ def test_customer_basket_recency_and_bands(spark):
     out = {r.id_client: r for r in gold.customer_basket(s, cu, as_of="2025-01-01").collect()}
     assert out["C1"].frequence_cat == "Très fréquent" and out["C1"].recence_jours == 357
     assert out["C1"].segment == "VIP" and out["C2"].segment is None and out["C2"].frequence_cat == "Unique"
+
+
+def test_bucketed_rank_matches_window(spark, sf_small):
+    from pyspark.sql import Window
+
+    s = _silver(spark, sf_small)
+    small = gold.top_products(s["sales"], s["products"], max_rows_per_task=7)
+    w = Window.partitionBy("annee", "mois")
+    ref = gold._product_month(s["sales"], s["products"]).withColumns({
+        "r1": F.rank().over(w.orderBy(F.col("chiffre_affaires").desc_nulls_last())),
+        "r2": F.rank().over(w.orderBy(F.col("total_quantite_vendue").desc_nulls_last()))})
+    key = ["id_produit", "annee", "mois"]
+    joined = small.join(ref.select(*key, "r1", "r2"), key)
+    assert joined.count() == ref.count()
+    assert joined.filter("rang_ca <> r1 OR rang_quantite <> r2").count() == 0

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.bands import frequency_band, return_band
+from tidemark.operators.ranking import DEFAULT_MAX_ROWS_PER_TASK, group_rank
 from tidemark.functions.money import (
     basis_points,
     cents,
@@ -163,19 +164,19 @@ def _product_month(sales: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def top_products(sales: DataFrame, products: DataFrame) -> DataFrame:
+def top_products(sales: DataFrame, products: DataFrame,
+                 max_rows_per_task: int = DEFAULT_MAX_ROWS_PER_TASK) -> DataFrame:
     """Product-month measures ranked by revenue and by units within the month.
 
-    ``rank``: ties share a rank and the next rank skips.  Both windows share
-    one exchange on (annee, mois); each month's rows are the products sold in
-    that month (bounded by the catalogue, not by sales volume).
+    ``rank``: ties share a rank and the next rank skips.  A month holds one
+    row per product sold; ``group_rank`` uses one window per month while the
+    largest month fits a task and splits months into value buckets beyond.
     """
     g = _product_month(sales, products)
-    month = Window.partitionBy("annee", "mois")
-    return g.withColumns({
-        "rang_ca": F.rank().over(month.orderBy(F.col("chiffre_affaires").desc_nulls_last())),
-        "rang_quantite": F.rank().over(month.orderBy(F.col("total_quantite_vendue").desc_nulls_last())),
-    })
+    return group_rank(g, ["annee", "mois"], {
+        "rang_ca": "chiffre_affaires",
+        "rang_quantite": "total_quantite_vendue",
+    }, max_rows_per_task)
 
 
 def top_products_k(sales: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
