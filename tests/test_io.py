@@ -56,3 +56,20 @@ def test_pipeline_report(spark, sf_small):
     report = {(r.layer, r.table_name): r for r in run_pipeline(spark, sf_small, as_of="2002-01-01").collect()}
     assert len(report) == 14 and all(r.status == "ok" for r in report.values())
     assert report[("silver", "channels")].rows == 10
+
+
+def test_landing_stream_exactly_once(spark):
+    from tidemark.streaming import run_landing_once
+
+    root = new_run_dir(spark, "test-stream")
+    os.makedirs(f"{root}/in", exist_ok=True)
+    hdr = "id_canal,type,nom,ville,region\n"
+    with open(f"{root}/in/a.csv", "w") as f:
+        f.write(hdr + "CH01,web,A,X,Y\nCH02,web,B,X,Y\n")
+    assert run_landing_once(spark, "channels", f"{root}/in", f"{root}/out", f"{root}/ck") == 2
+    assert run_landing_once(spark, "channels", f"{root}/in", f"{root}/out", f"{root}/ck") == 0
+    with open(f"{root}/in/b.csv", "w") as f:
+        f.write(hdr + "CH03,magasin,C,X,Y\n")
+    assert run_landing_once(spark, "channels", f"{root}/in", f"{root}/out", f"{root}/ck") == 1
+    out = spark.read.parquet(f"{root}/out")
+    assert sorted(r.id_canal for r in out.collect()) == ["CH01", "CH02", "CH03"]

@@ -38,22 +38,22 @@ def from_cents(x) -> Column:
 
 
 def half_up(num, den) -> Column:
-    """round(num / den) half-up for num >= 0, den > 0; NULL when den is not > 0.
+    """round(num / den), halves away from zero, for den > 0; NULL otherwise.
 
-    Computed as ``(2*num + den) div (2*den)`` in decimal(38,0) so that the
-    doubled numerator cannot overflow a bigint.
+    ``(2*num + sign(num)*den) div (2*den)`` with truncating ``div``, evaluated
+    in decimal(38,0) so that the doubled numerator cannot overflow a bigint.
     """
     n = _c(num).cast("decimal(38,0)")
     d = _c(den).cast("decimal(38,0)")
-    return F.when(d > 0, idiv(n * 2 + d, d * 2))
+    adj = F.when(n < 0, -d).otherwise(d)
+    return F.when(d > 0, idiv(n * 2 + adj, d * 2))
 
 
 def half_up_signed(num, den) -> Column:
     """Half-up (away from zero) rounding of num / den for any signs; NULL if den = 0."""
     n = _c(num)
     d = _c(den)
-    q = half_up(F.abs(n), F.abs(d))
-    return F.when((n < 0) != (d < 0), -q).otherwise(q)
+    return half_up(F.when(d < 0, -n).otherwise(n), F.abs(d))
 
 
 def pct_of(part, whole, scale: int = 2) -> Column:

@@ -21,6 +21,7 @@ from tidemark.plans.pipeline import run_pipeline
 from tidemark.session import new_run_dir
 from tidemark.sources import files, fixtures
 from tidemark.sources.sinks import write_table
+from tidemark.streaming.landing import run_landing_once
 
 # Fixed recency reference day for repeatable customer-basket results.
 AS_OF = "2002-01-01"
@@ -106,6 +107,25 @@ def q_ingest_all(spark, d):
     return out
 
 
+def q_ingest_csv_incremental(spark, d):
+    """Land sales in two drops (by order year) and ingest each drop incrementally.
+
+    Each run of the stream picks up only the files landed since the previous
+    run; the bronze table ends with every landed row exactly once.
+    """
+    root = new_run_dir(spark, "landing-stream")
+    bronze = _bronze(spark, d, "sales")
+    text = bronze.select(*[F.col(c).cast("string").alias(c) for c in bronze.columns])
+    early = F.col("date") < F.lit("1998-01-01")
+    for i, part in enumerate([text.filter(early), text.filter(~early | F.col("date").isNull())]):
+        (part.write.mode("overwrite").option("header", True)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .csv(f"{root}/landing/drop={i}"))
+        run_landing_once(spark, "sales", f"{root}/landing/drop=*", f"{root}/bronze",
+                         f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/bronze")
+
+
 def q_ingest_json(spark, d):
     return files.ingest_json(spark, _land_feed_nested(spark, d))
 
@@ -218,6 +238,7 @@ QUERIES: dict[str, Query] = {
     # sources
     "ingest_csv": q_ingest_csv,
     "ingest_all": q_ingest_all,
+    "ingest_csv_incremental": q_ingest_csv_incremental,
     "ingest_json": q_ingest_json,
     "ingest_json_envelope": q_ingest_json_envelope,
     # sinks
