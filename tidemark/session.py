@@ -50,7 +50,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "8g"))
+         .config("spark.driver.memory", "8g")
+         # no Python call-site capture per Column expression (error-message aid
+         # that costs a JVM round trip per function call while building plans)
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
