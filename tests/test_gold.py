@@ -93,3 +93,11 @@ def test_bucketed_rank_matches_window(spark, sf_small):
     joined = small.join(ref.select(*key, "r1", "r2"), key)
     assert joined.count() == ref.count()
     assert joined.filter("rang_ca <> r1 OR rang_quantite <> r2").count() == 0
+
+
+def test_approx_distinct_close_to_exact(spark, sf_small):
+    s = _silver(spark, sf_small)["sales"]
+    exact = {(r.annee, r.mois): r.clients_uniques for r in gold.distinct_customers(s).collect()}
+    approx = {(r.annee, r.mois): r.clients_uniques for r in gold.distinct_customers(s, 0.01).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[k] - exact[k]) <= max(2, 0.05 * exact[k]) for k in exact)

@@ -365,8 +365,19 @@ def product_margin(products: DataFrame) -> DataFrame:
 
 # ── smaller analytics ────────────────────────────────────────────────────
 
-def distinct_customers(sales: DataFrame) -> DataFrame:
-    """Unique customers and products per month."""
+def distinct_customers(sales: DataFrame, approx_rsd: float | None = None) -> DataFrame:
+    """Unique customers and products per month.
+
+    Exact by default.  ``approx_rsd`` (e.g. 0.01) switches to HyperLogLog++
+    sketches (``approx_count_distinct``): fixed-size partial aggregates and no
+    shuffle of the distinct values, for very large inputs where an estimate
+    is acceptable.
+    """
+    if approx_rsd is not None:
+        return sales.groupBy("annee", "mois").agg(
+            F.approx_count_distinct("id_client", approx_rsd).alias("clients_uniques"),
+            F.approx_count_distinct("id_produit", approx_rsd).alias("produits_distincts"),
+        )
     return sales.groupBy("annee", "mois").agg(
         F.countDistinct("id_client").alias("clients_uniques"),
         F.countDistinct("id_produit").alias("produits_distincts"),

@@ -2,7 +2,8 @@
 
 Returns one long table ``(table_name, check_name, value)`` so that new checks
 add rows, not columns.  Every figure is a distributed aggregate; orphan
-references are ``left_anti`` joins against the referenced key set.
+references are ``left_anti`` joins of per-key fact counts against the
+referenced key set.
 """
 
 from __future__ import annotations
@@ -50,9 +51,12 @@ def validate_layers(tables: dict[str, DataFrame]) -> DataFrame:
         )
         parts.append(_long(stats, name))
     for fact, fk, dim in REFERENCES:
+        # facts are first reduced to one row per key (map-side partial count),
+        # so a key holding a large share of the facts is one row in the join
+        per_key = (tables[fact].filter(F.col(fk).isNotNull())
+                   .groupBy(fk).agg(F.count(F.lit(1)).alias("_n")))
         ref = tables[dim].select(F.col(KEYS[dim]).alias(fk)).filter(F.col(fk).isNotNull())
-        orphans = (tables[fact].select(fk).filter(F.col(fk).isNotNull())
-                   .join(ref, fk, "left_anti")
-                   .agg(F.count(F.lit(1)).alias(f"orphan_{fk}")))
+        orphans = (per_key.join(ref, fk, "left_anti")
+                   .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias(f"orphan_{fk}")))
         parts.append(_long(orphans, fact))
     return reduce(DataFrame.unionByName, parts)
