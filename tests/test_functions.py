@@ -102,3 +102,13 @@ def test_typed_column_never_raises(spark):
                     F.weekofyear(typed_column(df, "d", "date")).alias("w")).collect()
     assert out[0]["d"] is None and out[0]["i"] is None and out[0]["x"] == 3.5
     assert out[1]["d"] == dt.date(2027, 1, 1) and out[1]["i"] == 7 and out[1]["w"] == 53
+
+
+def test_sizing_conf_scales_with_input():
+    from tidemark.session import sizing_conf
+
+    small = sizing_conf(10 << 20, cores=8)
+    big = sizing_conf(100 << 40, cores=8000)   # 100 TiB on 8000 cores
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    assert int(big["spark.sql.shuffle.partitions"]) == 409600
+    assert big["spark.sql.adaptive.enabled"] == "true"

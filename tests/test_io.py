@@ -73,3 +73,40 @@ def test_landing_stream_exactly_once(spark):
     assert run_landing_once(spark, "channels", f"{root}/in", f"{root}/out", f"{root}/ck") == 1
     out = spark.read.parquet(f"{root}/out")
     assert sorted(r.id_canal for r in out.collect()) == ["CH01", "CH02", "CH03"]
+
+
+def test_golden_sample_rows_through_csv_and_silver(spark):
+    """A few sample catalogue / channel rows, as shipped with the original data."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from tidemark.operators.silver import clean_channels, clean_products
+
+    d = new_run_dir(spark, "test-golden")
+    os.makedirs(f"{d}/products", exist_ok=True)
+    os.makedirs(f"{d}/channels", exist_ok=True)
+    products = [
+        ("PRD0001", "Smartphone Samsung", "Électronique", "Samsung", "3673.01", "1576.41", "7.62", "281"),
+        ("PRD0002", "Smartphone Apple", "Électronique", "Apple", "4055.79", "2258.85", "1.34", "375"),
+        ("PRD0003", "Smartphone Lenovo", "Électronique", "Lenovo", "502.43", "311.13", "14.14", "185"),
+        ("PRD0004", "Smartphone Sony", "Électronique", "Sony", "310.6", "178.61", "1.7", "443"),
+    ]
+    with open(f"{d}/products/products.csv", "w", encoding="utf-8") as f:
+        f.write("id_produit,nom_produit,categorie,marque,prix,prix_achat,poids_kg,stock_initial\n")
+        f.writelines(",".join(r) + "\n" for r in products)
+    with open(f"{d}/channels/channels.csv", "w", encoding="utf-8") as f:
+        f.write("id_canal,type,nom,ville,region\n")
+        f.write("CH01,magasin,Magasin Centre-Ville,Casablanca,Grand Casablanca\n")
+        f.write("CH03,magasin,Magasin Hay Riad,Rabat,Rabat-Salé-Kénitra\n")
+        f.write("CH04,web,Site E-commerce,N/A,National\n")
+
+    got = {r.id_produit: r for r in clean_products(files.ingest_csv(spark, "products", f"{d}/products")).collect()}
+    for pid, _, cat, brand, prix, achat, _, stock in products:
+        p, a = Decimal(prix), Decimal(achat)
+        pct = ((p - a) / p * 100).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+        band = "Bas" if p < 100 else "Moyen" if p < 500 else "Haut" if p < 2000 else "Premium"
+        r = got[pid]
+        assert (r.categorie, r.marque, r.stock_initial) == (cat, brand, int(stock))
+        assert r.marge == float(p - a) and r.marge_pct == float(pct) and r.taux_marge_pct == float(pct)
+        assert r.tranche_prix == band
+    ch = {r.id_canal: r for r in clean_channels(files.ingest_csv(spark, "channels", f"{d}/channels")).collect()}
+    assert ch["CH03"].region == "Rabat-Salé-Kénitra" and ch["CH04"].type == "web" and ch["CH04"].ville == "N/A"

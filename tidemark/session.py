@@ -44,6 +44,24 @@ RECOMMENDED_CONF = {
 }
 
 
+def sizing_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Shuffle / scan sizing for a given input volume (a starting point; AQE adjusts).
+
+    * shuffle partitions: enough that one partition is about ``partition_bytes``
+      of input (so a task's sort / aggregation buffers fit executor memory and
+      spill stays bounded), and at least two waves of tasks over all cores;
+      AQE then coalesces small partitions and splits skewed ones at runtime;
+    * ``maxPartitionBytes``: scan splits of the same size.
+    """
+    shuffle = max(2 * cores, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        **RECOMMENDED_CONF,
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "tidemark") -> SparkSession:
     """Local session for tests and benchmarks (Spark UI off)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
