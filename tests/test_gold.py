@@ -101,3 +101,21 @@ def test_approx_distinct_close_to_exact(spark, sf_small):
     approx = {(r.annee, r.mois): r.clients_uniques for r in gold.distinct_customers(s, 0.01).collect()}
     assert exact.keys() == approx.keys()
     assert all(abs(approx[k] - exact[k]) <= max(2, 0.05 * exact[k]) for k in exact)
+
+
+def test_bucketed_rank_with_heavy_ties(spark):
+    from pyspark.sql import Window
+
+    from tidemark.operators.ranking import group_rank
+
+    rows = [(m, m * 1000 + i, float(1 if i % 3 else i % 7), None if i == 5 else i % 4)
+            for m in (1, 2) for i in range(300)]
+    rows += [(None, 5000 + i, float(i % 5), i) for i in range(20)]
+    df = spark.createDataFrame(rows, "m int, id int, x double, y int")
+    got = group_rank(df, ["m"], {"rx": "x", "ry": "y"}, max_rows_per_task=10).alias("g")
+    w = Window.partitionBy("m")
+    ref = df.withColumns({"ex": F.rank().over(w.orderBy(F.col("x").desc_nulls_last())),
+                          "ey": F.rank().over(w.orderBy(F.col("y").desc_nulls_last()))}).alias("r")
+    j = got.join(ref, F.col("g.id") == F.col("r.id")).select("g.rx", "g.ry", "r.ex", "r.ey")
+    assert j.count() == df.count()
+    assert j.filter("rx <> ex OR ry <> ey").count() == 0

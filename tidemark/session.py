@@ -71,7 +71,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
          .config("spark.driver.memory", "8g")
          # no Python call-site capture per Column expression (error-message aid
          # that costs a JVM round trip per function call while building plans)
-         .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+         # let Spark's cleaner drop checkpoint files of RDDs no longer referenced
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
