@@ -119,3 +119,36 @@ def test_bucketed_rank_with_heavy_ties(spark):
     j = got.join(ref, F.col("g.id") == F.col("r.id")).select("g.rx", "g.ry", "r.ex", "r.ey")
     assert j.count() == df.count()
     assert j.filter("rx <> ex OR ry <> ey").count() == 0
+
+
+def test_empty_input_gives_empty_results(spark):
+    empty = silver.clean_sales(spark.createDataFrame([], schemas.SALES))
+    ch = silver.clean_channels(spark.createDataFrame([], schemas.CHANNELS))
+    pr = silver.clean_products(spark.createDataFrame([], schemas.PRODUCTS))
+    assert gold.sales_by_channel(empty, ch).count() == 0
+    assert gold.top_products(empty, pr).count() == 0
+    assert gold.category_growth(empty, pr).count() == 0
+
+
+def test_null_amounts_in_basic_profile(spark):
+    rows = [["1", "C1", "A", "X", "2024-01-10", "1", "10", None, "10.00", "x"],
+            ["2", "C1", "A", "X", "2024-01-11", "1", "10", None, None, "x"],
+            ["3", "C1", "A", "X", "2024-01-12", "1", "10", None, "abc", "x"]]
+    s = silver.clean_sales(spark.createDataFrame(rows, schemas.SALES), "basic")
+    s = s.withColumn("trimestre", F.quarter("date"))
+    ch = silver.clean_channels(spark.createDataFrame([["X", "web", "n", "v", "r"]], schemas.CHANNELS))
+    r = gold.sales_by_channel(s, ch).first()
+    # three orders, one amount: the basket average is over the known amount only
+    assert (r.nb_commandes, r.chiffre_affaires, r.panier_moyen, r.part_ca_pct) == (3, 10.0, 10.0, 100.0)
+
+
+def test_basic_profile_pipeline_fails_loudly(spark, sf_small):
+    import pytest
+
+    from tidemark.plans.pipeline import PipelineError, run_pipeline
+
+    with pytest.raises(PipelineError) as err:
+        run_pipeline(spark, sf_small, profile="basic", as_of="2002-01-01")
+    assert sorted(err.value.failed) == ["gold.sales_by_category", "gold.sales_daily", "gold.top_products"]
+    report = {r.table_name: r.status for r in err.value.report.collect()}
+    assert report["sales_by_region"] == "ok" and report["sales_daily"].startswith("failed")
