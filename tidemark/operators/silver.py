@@ -211,10 +211,9 @@ def stock_flags(net="stock_net", threshold="seuil_reappro") -> dict:
 def clean_stocks(bronze: DataFrame, profile: str = "strict") -> DataFrame:
     _check(profile)
     if profile == "basic":
-        typed = bronze.select(
-            *[F.col(n) for n in bronze.columns if n != "quantite_disponible"],
-            typed_column(bronze, "quantite_disponible", "int").alias("quantite_disponible"),
-        ).select(*bronze.columns)
+        # the lighter variant types one column and dedups on (product, depot)
+        typed = bronze.withColumn("quantite_disponible",
+                                  typed_column(bronze, "quantite_disponible", "int"))
         return keep_first(typed, ["id_produit", "depot"])
     typed = bronze.select(
         *_typed(bronze, STOCK_TYPES),
