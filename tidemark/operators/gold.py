@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.bands import frequency_band, return_band
 from tidemark.operators.ranking import DEFAULT_MAX_ROWS_PER_TASK, group_rank
+from tidemark.sources.sinks import materialize
 from tidemark.functions.money import (
     basis_points,
     cents,
@@ -111,11 +112,15 @@ def sales_by_channel(sales: DataFrame, channels: DataFrame) -> DataFrame:
 
     The month total is an aggregate joined back (one row per calendar month,
     broadcast), not a window over the month: a window would put every
-    channel of a month into one task.
+    channel of a month into one task.  The channel-month table feeds both
+    sides, so it is written once (``materialize``) instead of recomputing
+    the sales pipeline for each side.
     """
     keys = ["id_canal", "annee", "mois"]
-    pre = sales.groupBy(*keys).agg(*_partial_measures(),
-                                   F.countDistinct("id_client").alias("clients_uniques"))
+    # consumed twice (rows and month totals): written once, not recomputed
+    pre = materialize(sales.groupBy(*keys).agg(*_partial_measures(),
+                                               F.countDistinct("id_client").alias("clients_uniques")),
+                      "channel-month")
     months = pre.groupBy("annee", "mois").agg(F.sum("_ca").alias("_month_ca"))
     ch = _dim(channels, "id_canal", {"type": "type", "canal_nom": "nom"})
     joined = _null_safe_join(pre, F.broadcast(months), ["annee", "mois"])
@@ -130,8 +135,8 @@ def revenue_share(sales: DataFrame, channels: DataFrame) -> DataFrame:
     """Monthly revenue per channel type and its share of the month."""
     ch = _dim(channels, "id_canal", {"type": "type"})
     pre = sales.groupBy("id_canal", "annee", "mois").agg(F.sum(cents("montant")).alias("_ca"))
-    typed = pre.join(ch, "id_canal", "left").groupBy("type", "annee", "mois").agg(
-        F.sum("_ca").alias("_ca"))
+    typed = materialize(pre.join(ch, "id_canal", "left").groupBy("type", "annee", "mois").agg(
+        F.sum("_ca").alias("_ca")), "type-month")
     months = typed.groupBy("annee", "mois").agg(F.sum("_ca").alias("_month_ca"))
     joined = _null_safe_join(typed, F.broadcast(months), ["annee", "mois"])
     share = F.when(F.col("_month_ca") != 0, pct_of("_ca", "_month_ca")).otherwise(F.lit(0.0))

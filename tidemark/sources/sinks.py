@@ -22,6 +22,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tidemark.session import new_run_dir
+
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
                 audit_column: str | None = "_updated_at", compression: str = "snappy") -> int:
@@ -42,3 +44,17 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return int(obs.get["rows"])
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` once to the shared scratch folder and return it read back.
+
+    For intermediates consumed by several branches of one plan: each branch
+    would otherwise recompute the whole upstream (Spark reuses identical
+    shuffles, but branches pruned to different columns are not identical).
+    The written table also cuts the lineage, so a lost executor re-reads it
+    instead of recomputing from the sources.
+    """
+    path = new_run_dir(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
