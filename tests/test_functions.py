@@ -112,3 +112,14 @@ def test_sizing_conf_scales_with_input():
     assert small["spark.sql.shuffle.partitions"] == "16"
     assert int(big["spark.sql.shuffle.partitions"]) == 409600
     assert big["spark.sql.adaptive.enabled"] == "true"
+
+
+def test_rounding_falls_back_to_decimal_on_overflow(spark):
+    from decimal import Decimal
+
+    big = Decimal(9_000_000_000_000_000_001)  # 2*n overflows a bigint
+    got = _one(spark, half_up_signed("n", "d"), "n decimal(38,0), d long",
+               [(big, 2), (-big, 2), (big, -3)])
+    assert got == [4_500_000_000_000_000_001, -4_500_000_000_000_000_001, -3_000_000_000_000_000_000]
+    # part * 10000 overflows a bigint: 1e16 / 3e16 -> 33.33 %
+    assert _one(spark, pct_of("p", "w"), "p long, w long", [(10**16, 3 * 10**16)]) == [33.33]

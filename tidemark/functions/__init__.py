@@ -11,6 +11,7 @@ from tidemark.functions.money import (
     cents,
     from_cents,
     half_up,
+    half_up_ratio,
     half_up_signed,
     idiv,
     pct_of,
@@ -39,6 +40,7 @@ __all__ = [
     "frequency_band",
     "from_cents",
     "half_up",
+    "half_up_ratio",
     "half_up_signed",
     "idiv",
     "pct_of",

@@ -5,6 +5,9 @@ formula, so results do not depend on the order in which partial sums are
 combined (floating-point sums do, which makes rounded totals differ between
 runs and between engines).  The public columns stay ``double`` rounded to
 two decimals, as in the original pipeline.
+
+Per-row arithmetic runs in bigint (cheap, inside whole-stage codegen) and
+falls back to decimal(38,0) only for values whose bigint form overflows.
 """
 
 from __future__ import annotations
@@ -37,23 +40,49 @@ def from_cents(x) -> Column:
     return _c(x).cast("double") / 100
 
 
-def half_up(num, den) -> Column:
-    """round(num / den), halves away from zero, for den > 0; NULL otherwise.
+DECIMAL = "decimal(38,0)"
+
 
-    ``(2*num + sign(num)*den) div (2*den)`` with truncating ``div``, evaluated
-    in decimal(38,0) so that the doubled numerator cannot overflow a bigint.
+def _pair(nb: Column, db: Column, nd: Column, dd: Column) -> Column:
+    """Half-away-from-zero nb/db for db > 0, in bigint; decimal(38,0) on overflow.
+
+    ``(2n + sign(n)*d) div 2d`` with truncating ``div``.  The bigint form uses
+    ``try_*`` arithmetic, which yields NULL instead of overflowing; only then
+    is the decimal form (nd, dd: the same values, wide) evaluated.
     """
-    n = _c(num).cast("decimal(38,0)")
-    d = _c(den).cast("decimal(38,0)")
-    adj = F.when(n < 0, -d).otherwise(d)
-    return F.when(d > 0, idiv(n * 2 + adj, d * 2))
+    fast = idiv(F.try_add(F.try_multiply(nb, F.lit(2)), F.when(nb < 0, -db).otherwise(db)),
+                F.try_multiply(db, F.lit(2)))
+    slow = idiv(nd * 2 + F.when(nd < 0, -dd).otherwise(dd), dd * 2)
+    return F.coalesce(fast, slow)
+
+
+def half_up_ratio(num, den, wide_num=None) -> Column:
+    """round(num / den), halves away from zero, any signs; NULL if den is 0 or NULL.
+
+    ``num`` and ``den`` are integral.  ``wide_num`` optionally gives the same
+    numerator computed in decimal(38,0) for the overflow fallback (when the
+    numerator itself is a product that may overflow a bigint).
+    """
+    n, d = _c(num), _c(den)
+    nd = (_c(wide_num) if wide_num is not None else n).cast(DECIMAL)
+    dd = d.cast(DECIMAL)
+    nb, db = n.try_cast("bigint"), d.try_cast("bigint")
+    flip = d < 0
+    minus_one = F.lit(-1).cast("bigint")
+    q = _pair(F.when(flip, F.try_multiply(nb, minus_one)).otherwise(nb),
+              F.when(flip, F.try_multiply(db, minus_one)).otherwise(db),
+              F.when(flip, -nd).otherwise(nd), F.abs(dd))
+    return F.when(d != 0, q)
+
+
+def half_up(num, den) -> Column:
+    """round(num / den), halves away from zero, for den > 0; NULL otherwise."""
+    return F.when(_c(den) > 0, half_up_ratio(num, den))
 
 
 def half_up_signed(num, den) -> Column:
     """Half-up (away from zero) rounding of num / den for any signs; NULL if den = 0."""
-    n = _c(num)
-    d = _c(den)
-    return half_up(F.when(d < 0, -n).otherwise(n), F.abs(d))
+    return half_up_ratio(num, den)
 
 
 def pct_of(part, whole, scale: int = 2) -> Column:
@@ -62,5 +91,7 @@ def pct_of(part, whole, scale: int = 2) -> Column:
     Returns a double; NULL when ``whole`` is 0 or NULL.
     """
     factor = 10 ** scale
-    num = _c(part).cast("decimal(38,0)") * (100 * factor)
-    return half_up_signed(num, whole).cast("double") / factor
+    p = _c(part)
+    fast = F.try_multiply(p.try_cast("bigint"), F.lit(100 * factor).cast("bigint"))
+    wide = p.cast(DECIMAL) * (100 * factor)
+    return half_up_ratio(fast, whole, wide).cast("double") / factor

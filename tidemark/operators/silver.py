@@ -25,7 +25,7 @@ from tidemark.functions.money import (
     basis_points,
     cents,
     from_cents,
-    half_up_signed,
+    half_up_ratio,
     pct_of,
 )
 from tidemark.functions.text import (
@@ -67,8 +67,10 @@ def amount_calc(quantity="quantite", unit_price="prix_unitaire", discount="remis
     is NULL.
     """
     q = F.col(quantity).cast("bigint")
-    gross = cents(unit_price) * q
-    return from_cents(half_up_signed(gross * (10000 - basis_points(discount)), F.lit(10000)))
+    keep = 10000 - basis_points(discount)
+    fast = F.try_multiply(F.try_multiply(cents(unit_price), q), keep)
+    wide = cents(unit_price).cast("decimal(38,0)") * q * keep
+    return from_cents(half_up_ratio(fast, F.lit(10000), wide))
 
 
 def clean_sales(bronze: DataFrame, profile: str = "strict") -> DataFrame:
