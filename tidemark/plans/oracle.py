@@ -447,6 +447,16 @@ FROM silver_sales s LEFT JOIN silver_channels c ON s.id_canal = c.id_canal""",
 SELECT s.annee, s.mois, {fc(REM)} AS total_remises, {fc(REM_BRUT)} AS total_remises_brut
 FROM silver_sales s GROUP BY s.annee, s.mois""",
     "fix_encoding": f"SELECT id_retour, motif, {fix_enc('motif')} AS motif_repare FROM bronze_returns",
+    # the feeds are landed as JSON derived from `part`; cleaned values only
+    # depend on it (JSON keeps doubles exact through their shortest text)
+    "clean_feed_nested": """
+SELECT p_partkey AS id, p_name AS title, lower(p_type) AS category, p_retailprice AS price,
+       (p_size % 50) / 10 AS rating_rate, CAST(p_size * 7 AS INTEGER) AS rating_count
+FROM part""",
+    "clean_feed_flat": """
+SELECT p_partkey AS id, p_name AS title, lower(p_type) AS category, trim(p_brand) AS brand,
+       p_retailprice AS price, (p_size % 50) / 10 AS rating, CAST(p_size * 10 AS INTEGER) AS stock
+FROM part""",
     "dedup_single_key": _dedup(
         "(SELECT id_vente, id_client, id_produit, id_canal, date, quantite, prix_unitaire, "
         "CAST(remise_pct AS DOUBLE) AS remise_pct, montant, statut FROM bronze_sales)",
