@@ -28,9 +28,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.bands import frequency_band, return_band
 from tidemark.operators.ranking import DEFAULT_MAX_ROWS_PER_TASK, group_rank
 from tidemark.sources.sinks import materialize
+from tidemark.functions.calendar import calendar_columns
 from tidemark.functions.money import (
     basis_points,
     cents,
+    idiv,
     from_cents,
     half_up_signed,
     pct_of,
@@ -78,7 +80,7 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 # ── G1 daily sales by channel ────────────────────────────────────────────
 
-DAILY_KEYS = ["date", "annee", "mois", "semaine", "trimestre", "id_canal"]
+DAILY_KEYS = ["date", "annee", "mois", "semaine", "trimestre", "id_canal"]  # output grain
 
 
 def sales_daily(sales: DataFrame, channels: DataFrame) -> DataFrame:
@@ -90,12 +92,14 @@ def sales_daily(sales: DataFrame, channels: DataFrame) -> DataFrame:
     """
     bp = basis_points(F.coalesce(F.col("remise_pct"), F.lit(0.0)))
     gross = cents("prix_unitaire") * F.col("quantite").cast("bigint")
-    pre = sales.groupBy(*DAILY_KEYS).agg(
+    # year / month / week / quarter are functions of the date: group (and
+    # shuffle) on the date alone and derive them after the aggregation
+    pre = sales.groupBy("date", "id_canal").agg(
         *_partial_measures(),
         F.countDistinct("id_client").alias("clients_uniques"),
         F.sum((cents("montant") * bp).cast("decimal(38,0)")).alias("_rem"),
         F.sum((gross * bp).cast("decimal(38,0)")).alias("_rem_brut"),
-    )
+    ).withColumns(calendar_columns("date"))
     ch = _dim(channels, "id_canal", {"type": "type", "canal_nom": "nom"})
     return pre.join(ch, "id_canal", "left").select(
         *DAILY_KEYS[:-1], "id_canal", "type", "canal_nom",
@@ -308,11 +312,13 @@ def _growth(df: DataFrame, partition: list[str], calendar: bool = False) -> Data
 
 
 def _category_months(sales: DataFrame, products: DataFrame, keys: list[str]) -> DataFrame:
-    # pre-aggregate at (product, client, month): exact for the client distinct count
-    pre = sales.groupBy("id_produit", "id_client", "annee", "mois", "trimestre").agg(*_partial_measures())
+    # pre-aggregate at (product, client, month): exact for the client distinct
+    # count; the quarter is a function of the month, derived after grouping
+    pre = sales.groupBy("id_produit", "id_client", "annee", "mois").agg(*_partial_measures())
     pr = _dim(products, "id_produit", {"categorie": "categorie", "marque": "marque"})
-    return pre.join(pr, "id_produit", "left").groupBy(*keys, "annee", "mois", "trimestre").agg(
+    g = pre.join(pr, "id_produit", "left").groupBy(*keys, "annee", "mois").agg(
         *_resum(), F.countDistinct("id_client").alias("clients_uniques"))
+    return g.withColumn("trimestre", idiv(F.col("mois") + 2, F.lit(3)).cast("int"))
 
 
 def sales_by_category(sales: DataFrame, products: DataFrame) -> DataFrame:
