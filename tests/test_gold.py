@@ -147,8 +147,10 @@ def test_basic_profile_pipeline_fails_loudly(spark, sf_small):
 
     from tidemark.plans.pipeline import PipelineError, run_pipeline
 
+    # basic products carry no price band, so the product ranking cannot be
+    # built; the calendar columns are derived from the date by gold itself
     with pytest.raises(PipelineError) as err:
         run_pipeline(spark, sf_small, profile="basic", as_of="2002-01-01")
-    assert sorted(err.value.failed) == ["gold.sales_by_category", "gold.sales_daily", "gold.top_products"]
+    assert err.value.failed == ["gold.top_products"]
     report = {r.table_name: r.status for r in err.value.report.collect()}
-    assert report["sales_by_region"] == "ok" and report["sales_daily"].startswith("failed")
+    assert report["sales_daily"] == "ok" and report["top_products"].startswith("failed")
