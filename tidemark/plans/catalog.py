@@ -33,18 +33,21 @@ def _bronze(spark, d, name):
     return fixtures.BRONZE_BUILDERS[name](spark, d)
 
 
-def _silver(spark, d, *names, profile="strict"):
-    out = [silver.CLEANERS[n](_bronze(spark, d, n), profile) for n in names]
-    return out[0] if len(out) == 1 else out
+def _silver(spark, d, *names, profile="strict") -> list[DataFrame]:
+    return [silver.CLEANERS[n](_bronze(spark, d, n), profile) for n in names]
 
 
 def _gold(fn, *names, **kw) -> Query:
-    return lambda spark, d: fn(*_silver(spark, d, *names), **kw) if len(names) > 1 \
-        else fn(_silver(spark, d, *names), **kw)
+    """Query applying ``fn`` to the strict silver tables ``names``, in order."""
+    def query(spark, d):
+        return fn(*_silver(spark, d, *names), **kw)
+    return query
 
 
 def _clean(name, profile) -> Query:
-    return lambda spark, d: _silver(spark, d, name, profile=profile)
+    def query(spark, d):
+        return _silver(spark, d, name, profile=profile)[0]
+    return query
 
 
 # ── sources: land files derived from the test tables, then ingest them ──
@@ -146,7 +149,7 @@ def q_clean_feed_flat(spark, d):
 
 def q_sink_roundtrip(spark, d):
     path = new_run_dir(spark, "sink-roundtrip")
-    write_table(_silver(spark, d, "sales"), path, audit_column=None)
+    write_table(_silver(spark, d, "sales")[0], path, audit_column=None)
     return spark.read.parquet(path)
 
 
@@ -209,15 +212,15 @@ def q_dedup_composite_key(spark, d):
 
 
 def q_price_band(spark, d):
-    return _silver(spark, d, "products").select("id_produit", "prix", "tranche_prix")
+    return _silver(spark, d, "products")[0].select("id_produit", "prix", "tranche_prix")
 
 
 def q_margin_pct(spark, d):
-    return _silver(spark, d, "products").select("id_produit", "prix", "prix_achat", "marge_pct")
+    return _silver(spark, d, "products")[0].select("id_produit", "prix", "prix_achat", "marge_pct")
 
 
 def q_stock_flags(spark, d):
-    return _silver(spark, d, "stocks").select("id_stock", "stock_net", "en_rupture", "sous_seuil")
+    return _silver(spark, d, "stocks")[0].select("id_stock", "stock_net", "en_rupture", "sous_seuil")
 
 
 def q_frequency_band(spark, d):
