@@ -9,11 +9,15 @@ Plan shape shared by the queries:
   key.  The partial (map-side) aggregate runs before the first shuffle, so
   a customer or product holding a third of all sales leaves each map task
   as one row per period, and the join shuffles periods, not line items.
-* Joins carry no broadcast hints: Spark broadcasts a dimension only when
-  its (runtime, with AQE) size is under ``autoBroadcastJoinThreshold`` and
-  falls back to a sort-merge join otherwise.  The one explicit broadcast is
-  the month-total table of ``sales_by_channel``, whose size is bounded by
-  the number of calendar months, not by data volume.
+* Dimension joins carry no broadcast hints: Spark broadcasts a dimension
+  only when its (runtime, with AQE) size is under
+  ``autoBroadcastJoinThreshold`` and falls back to a sort-merge join
+  otherwise.  Explicit broadcasts are limited to tables whose size is bounded
+  by the calendar, not by data volume: the month totals of
+  ``sales_by_channel`` / ``revenue_share`` and the per-month statistics of
+  ``operators.ranking``.
+* Calendar columns that are functions of the grouping date or month are
+  derived after aggregating instead of being carried through the shuffle.
 * Money is summed in integer cents; rounded outputs use the integer half-up
   formula of ``functions.money`` (exact and independent of summation order).
 """
