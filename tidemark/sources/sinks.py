@@ -3,11 +3,11 @@
 * Full refresh: ``mode("overwrite")`` replaces data and schema of the path
   (with a transactional table format the same frame goes to
   ``writeTo(...).createOrReplace()``).
-* Partitioned layout: rows are range-partitioned on the partition columns
-  plus a tie-breaker before the write.  Range partitioning bounds the number
-  of files (each task covers a contiguous slice of partition values) and,
-  thanks to the tie-breaker, still splits one oversized partition value
-  (a hot month) across several tasks instead of sending it to one.
+* Partitioned layout: rows are rebalanced on the partition columns before
+  the write (``rebalance`` hint): rows of one partition value are grouped so
+  few files are written per value, and AQE splits an oversized value (a hot
+  month) across several tasks and merges small ones, so files stay near the
+  advisory size.
 * Files are sorted by the partition columns then the first other column
   (``date`` for daily tables), which also tightens parquet min/max
   statistics for range filters on it.
@@ -33,10 +33,11 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     if partition_by:
         rest = [c for c in df.columns if c not in partition_by and c != audit_column]
         order = [*partition_by, *rest[:1]]
-        # sorted within each task by (partition values, tie-breaker): satisfies
-        # the writer's own ordering requirement, so it replaces (not adds) a sort
-        df = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    # observed above the exchange: the range-boundary sampling job must not count
+        # rebalance: hash on the partition columns, then AQE splits oversized
+        # partitions (a hot month) and merges small ones — bounded file sizes,
+        # no sampling pass.  The sort satisfies the writer's own ordering
+        # requirement, so it replaces (not adds) a sort.
+        df = df.hint("rebalance", *partition_by).sortWithinPartitions(*order)
     obs = Observation()
     df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     w = df.write.mode("overwrite").option("compression", compression)
