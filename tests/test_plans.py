@@ -46,3 +46,45 @@ def test_dimension_joins_carry_no_broadcast_hint(spark, sf_small):
     sales, products = _silver(spark, sf_small, "sales", "products")
     plan = gold.sales_by_category(sales, products)._jdf.queryExecution().analyzed().toString()
     assert "BROADCAST" not in plan.upper().replace("BROADCASTHASHJOIN", "")
+
+
+def test_hot_key_row_join_is_split_by_aqe(spark):
+    """A fact key holding a third of the rows: AQE splits the skewed join partition."""
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.enrich import enrich_sales
+
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30000
+        sales = spark.range(n).select(
+            F.col("id").cast("string").alias("id_vente"),
+            F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+            .otherwise((F.col("id") % 997).cast("string")).alias("id_canal"),
+            F.lit(1.0).alias("montant"))
+        channels = spark.range(997).select(
+            F.col("id").cast("string").alias("id_canal"), F.lit("web").alias("type"),
+            F.lit("n").alias("nom"), F.lit("v").alias("ville"), F.lit("r").alias("region"))
+        channels = channels.unionByName(channels.limit(1).withColumn("id_canal", F.lit("HOT")))
+        out = enrich_sales(sales, channels)
+        rows = out.collect()  # runs this plan, so its adaptive plan is final
+        assert len(rows) == n and sum(r.type == "web" for r in rows) == n
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan and "skew=true" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
