@@ -104,3 +104,20 @@ def test_clean_returns_stocks_channels(spark):
     c = silver.clean_channels(_bronze(spark, "channels", [
         ["CH1", " Magasin ", " Centre ", "FÃ\"s", "Nord"], ["CH1", "web", "Site", "N/A", "National"]])).collect()
     assert len(c) == 1 and c[0].type == "magasin" and c[0].nom == "Centre" and c[0].ville == "Fès"
+
+
+def test_keep_first_with_a_hot_key(spark):
+    """A third of the rows are copies of one key: one survivor, the first in order."""
+    from pyspark.sql import functions as F
+
+    n = 30000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("k"),
+        (F.col("id") % 1000).alias("v"), F.col("id").alias("seq")).repartition(8)
+    out = keep_first(df, ["k"])
+    rows = {r.k: r for r in out.collect()}
+    assert len(rows) == 1 + (n - n // 3)
+    hot = rows["HOT"]
+    assert (hot.v, hot.seq) == (0, 0)  # smallest v, then smallest seq, among the copies
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "row_number(), 1, Partial" in plan
