@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -14,24 +16,36 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared scratch folder for written intermediate tables.
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (shared
-    storage every executor can reach).  Only when the session leaves it unset
-    (local runs, tests) is a local temporary folder created and recorded in
-    the session so later calls reuse it.
+    storage every executor can reach) or set with ``setCheckpointDir``.  Only a
+    local session that has neither (tests, a laptop) gets a temporary folder of
+    its own; any other master without shared storage is an error.
     """
-    d = spark.conf.get(CHECKPOINT_CONF, None)
-    if not d:
-        d = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    sc = spark.sparkContext
+    d = sc.getConf().get(CHECKPOINT_CONF) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set(CHECKPOINT_CONF, d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
 def new_run_dir(spark: SparkSession, label: str) -> str:
-    """A fresh, unique sub-folder of the scratch folder for one run."""
-    return f"{scratch_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique sub-folder of the scratch folder, removed when the driver process ends."""
+    d = f"{scratch_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex[:12]}"
+    atexit.register(remove_dir, spark, d)
+    return d
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, if the session still runs (a stopped one can't reach its storage)."""
+    jsc = spark.sparkContext._jsc
+    if jsc is None or jsc.sc().isStopped():
+        return
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
 
 
 # Settings the library is designed around (AQE re-plans joins and coalesces
