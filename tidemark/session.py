@@ -23,7 +23,7 @@ def scratch_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getConf().get(CHECKPOINT_CONF) or sc.getCheckpointDir()
     if not d:
-        if not sc.master.startswith("local"):
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tidemark-")
         atexit.register(shutil.rmtree, d, ignore_errors=True)
