@@ -33,7 +33,8 @@ def frequent_digests(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
     """At most ``counters / 2`` candidate digests, among them each with over ``8 / counters`` of the rows."""
     local = (digests.groupBy((F.spark_partition_id() % MERGE_GROUPS).alias("g"))
              .agg(F.expr(f"approx_top_k_accumulate(digest, {counters}) AS sketch")))
-    merged = local.agg(F.expr(f"approx_top_k_combine(sketch, {counters}) AS sketch"))
+    # grouped, though into one: without a group the aggregate also runs on empty partitions, and fails there
+    merged = local.groupBy(F.col("g") < 0).agg(F.expr(f"approx_top_k_combine(sketch, {counters}) AS sketch"))
     top = merged.select(F.explode(F.expr(f"approx_top_k_estimate(sketch, {counters // 2})")).alias("top"))
     return top.where("top.count > 1").select(F.col("top.item").alias("digest"))
 
