@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, url_filter
-from .common import table
+from . import bpe, exact_dedup, packing, url_filter
+from .common import table, tokenizer_path
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.with_crc(pieces).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,9 +23,15 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(table(spark, sf_dir, "documents"))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
 QUERIES = {
+    "op1_packing": op1_packing,
     "op6_url_filter": op6_url_filter,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_bpe": op8_bpe,
 }
 
 _SHRINK = """
