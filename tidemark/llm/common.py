@@ -31,3 +31,9 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    """Tells rows apart that repeat an id with another text; rows that repeat both are copies of one row."""
+    return F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")),
+                       F.xxhash64(text_or_empty(text_col)).cast("string"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, url_filter
+from . import bpe, exact_dedup, packing, pii, simhash, url_filter
 from .common import table, tokenizer_path
 
 
@@ -14,6 +15,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.find(table(spark, sf_dir, "documents")))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).select(
         "page_id", "host", "path", "rule", "verdict")
@@ -27,11 +32,18 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.decide(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_pii": op2_pii,
     "op6_url_filter": op6_url_filter,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_bpe": op8_bpe,
+    "op10_simhash": op10_simhash,
 }
 
 _SHRINK = """

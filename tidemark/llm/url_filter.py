@@ -29,6 +29,7 @@ MAX_BAD_RATE = 0.3   # a host is blocked if its bad rate is above this ...
 BOUND_SDS = 1.0      # ... by so many posterior standard deviations
 PRIOR_OUTCOMES = 2.0   # outcomes that the Beta(1, 1) prior of the global rate counts as
 MIN_STRENGTH, MAX_STRENGTH = 1.0, 1000.0
+HOST_SALTS = 32
 
 
 def host_of(url: Column) -> Column:
@@ -63,15 +64,13 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _shrink(level: DataFrame, by: str, above: DataFrame, above_by: str) -> DataFrame:
-    """Posterior (alpha, beta) of each member of ``level`` (by, above_by, n, bad) under the mean of the level above.
+def _shrink(joined: DataFrame, by: str) -> DataFrame:
+    """Posterior (alpha, beta) of each member of ``joined`` (by, n, bad, m), where m is the mean of the level above.
 
     Method of moments: with prior mean m, a member's squared distance from m is
     m (1 - m) (1 + rho (n - 1)) / n, with rho = 1 / (strength + 1) from the
     spread.  The strength is one figure for the whole level.
     """
-    joined = level.join(above.select(F.col(above_by), (F.col("alpha") / (F.col("alpha") + F.col("beta"))).alias("m")),
-                        above_by)
     var = F.col("m") * (1 - F.col("m"))
     distance = F.col("n") * (F.col("bad") / F.col("n") - F.col("m")) ** 2 - var
     rho = joined.agg(F.try_divide(F.sum(distance), F.sum((F.col("n") - 1) * var))).first()[0]
@@ -80,21 +79,21 @@ def _shrink(level: DataFrame, by: str, above: DataFrame, above_by: str) -> DataF
                                ((1 - F.col("m")) * s + F.col("n") - F.col("bad")).alias("beta")), f"reputation-{by}")
 
 
-def reputation(outcomes: DataFrame) -> dict[str, DataFrame]:
-    """Beta posteriors (key, alpha, beta) by level, from ``outcomes`` (host, bad 0 / 1)."""
+def reputation(outcomes: DataFrame) -> dict:
+    """Beta posteriors by level, from ``outcomes`` (host, bad 0 / 1): frames of (key, alpha, beta), and a pair for all."""
     counted = F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")
     again = F.sum("n").alias("n"), F.sum("bad").alias("bad")
     hosts = saved(outcomes.groupBy("host").agg(*counted).select(
         "host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), "n", "bad"),
         "reputation-hosts")
     domains = hosts.groupBy("domain", "suffix").agg(*again)
-    suffixes = domains.groupBy("suffix").agg(*again).withColumn("all", F.lit("all"))
-    world = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")).select(
-        F.lit("all").alias("all"), (PRIOR_OUTCOMES / 2 + F.col("bad")).alias("alpha"),
-        (PRIOR_OUTCOMES / 2 + F.col("n") - F.col("bad")).alias("beta"))
-    by_suffix = _shrink(suffixes, "suffix", world, "all")
-    by_domain = _shrink(domains, "domain", by_suffix, "suffix")
-    by_host = _shrink(hosts, "host", by_domain, "domain")
+    suffixes = domains.groupBy("suffix").agg(*again)
+    n, bad = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
+    world = PRIOR_OUTCOMES / 2 + bad, PRIOR_OUTCOMES / 2 + n - bad
+    mean = (F.col("alpha") / (F.col("alpha") + F.col("beta"))).alias("m")
+    by_suffix = _shrink(suffixes.withColumn("m", F.lit(world[0] / (world[0] + world[1]))), "suffix")
+    by_domain = _shrink(domains.join(by_suffix.select("suffix", mean), "suffix"), "domain")
+    by_host = _shrink(hosts.join(by_domain.select("domain", mean), "domain"), "host")
     return {"all": world, "suffix": by_suffix, "domain": by_domain, "host": by_host}
 
 
@@ -112,16 +111,20 @@ def judge(pages: DataFrame, labels: DataFrame, rules=RULES, max_bad_rate: float
                         .select("host", "bad"))
     # reputations are joined to distinct hosts first: the pages then take one join, on the host
     hosts = base.select("host").distinct().select(
-        "host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), F.lit("all").alias("all"))
-    for name in ("host", "domain", "suffix", "all"):
+        "host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"))
+    for name in ("host", "domain", "suffix"):
         post = levels[name].select(name, F.struct(F.lit(name).alias("level"), "alpha", "beta").alias(f"at_{name}"))
         hosts = hosts.join(post, name, "left")
-    best = hosts.select("host", F.coalesce("at_host", "at_domain", "at_suffix", "at_all").alias("p")).select(
+    world = F.struct(F.lit("all").alias("level"), *(F.lit(x).alias(k) for k, x in zip(("alpha", "beta"), levels["all"])))
+    best = hosts.select("host", F.coalesce("at_host", "at_domain", "at_suffix", world).alias("p")).select(
         "host", "p.level", (F.col("p.alpha") / (F.col("p.alpha") + F.col("p.beta"))).alias("bad_rate"),
         (F.col("p.alpha") + F.col("p.beta") + 1).alias("weight"))
     bound = F.col("bad_rate") - sds * F.sqrt(F.col("bad_rate") * (1 - F.col("bad_rate")) / F.col("weight"))
     best = best.select("host", "level", "bad_rate", bound.alias("bound"))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     method = F.when(F.col("bound") > max_bad_rate, "block").otherwise("allow")
-    return base.join(best, "host").select("page_id", "host", "path", rule.alias("rule"),
+    # a host may have a third of all pages: its rows are spread over the salts, each with a copy of the host's row
+    best = best.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(HOST_SALTS - 1))))
+    base = base.withColumn("salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(HOST_SALTS)).cast("int"))
+    return base.join(best, ["host", "salt"]).select("page_id", "host", "path", rule.alias("rule"),
                                           F.coalesce(verdict, method).alias("verdict"), "bad_rate", "bound", "level")
