@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, pii, simhash, url_filter
+from . import bpe, exact_dedup, line_dedup, packing, pii, simhash, url_filter
 from .common import table, tokenizer_path
 
 
@@ -19,6 +19,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digests(pii.find(table(spark, sf_dir, "documents")))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).select(
         "page_id", "host", "path", "rule", "verdict")
@@ -40,6 +44,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_pii": op2_pii,
+    "op5_line_dedup": op5_line_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_bpe": op8_bpe,
