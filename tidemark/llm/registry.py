@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, line_dedup, packing, pii, simhash, url_filter
+from . import bpe, exact_dedup, language_id, line_dedup, packing, pii, simhash, url_filter
 from .common import table, tokenizer_path
 
 
@@ -36,6 +36,13 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path()))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(language_id.remainder("doc_id") == 1, F.lit(False))
+    return language_id.predict(docs, language_id.learn(docs)).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "accepted")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.decide(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -48,6 +55,7 @@ QUERIES = {
     "op6_url_filter": op6_url_filter,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_bpe": op8_bpe,
+    "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
 }
 
