@@ -22,8 +22,10 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -33,11 +35,13 @@ from pyspark.sql import functions as F
 
 # texts are encoded in groups of about so many characters, which bounds a task's memory
 GROUP_CHARS = 2_000_000
-CACHE_CHUNKS = 300_000
+CACHE_CHUNKS = 500_000
 LONG_WORD = 2_000  # bytes
 _NO_RANK = np.iinfo(np.int32).max
-_PLAIN = regex.compile(r"[\x21-\x7e\xa1-\xff]+")  # one Latin-1 chunk: lower-casing is all of its normalisation
-_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+# Latin-1 chunks, one a line: lower-casing is all of their normalisation
+_PLAIN = re.compile(r"[\x21-\x7e\xa1-\xff\n]*")
+_LATIN, _NUMERAL = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"  # of Latin-1, in lower case
+_WORDS = re.compile(rf"[{_LATIN}]+|[{_NUMERAL}]|\n|'(?:s|t|re|ve|m|ll|d)|[^\n{_LATIN}{_NUMERAL}]+")
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")  # str.split() splits at these, the tokenizer does not
 
 
@@ -79,15 +83,23 @@ class WordBpe:
         self._index: dict[str, int] = {}
         self._lens, self._flat = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
+    def _plain_words(self, chunks: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """Of Latin-1 chunks: all words' bytes, the size of each word, the number of words of each chunk."""
+        text = "\n".join(chunks).lower()
+        words = _WORDS.findall(text)  # with the line ends they make up the whole text
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        end = np.fromiter(map("\n".__eq__, words), bool, len(words))
+        wide = np.append(0, np.cumsum(np.frombuffer(text.encode("latin-1"), np.uint8) >= 128))
+        at = np.append(0, np.cumsum(size))
+        size = (size + wide[at[1:]] - wide[at[:-1]])[~end]  # bytes: letters from 128 take two
+        line = np.cumsum(end)[~end]
+        return text.replace("\n", "").encode(), size, np.bincount(line, minlength=len(chunks))
+
     def words(self, chunk: str) -> list[bytes | int]:
-        """A chunk's words as bytes, and the ids of special tokens in it."""
+        """Any chunk's words as bytes, and the ids of special tokens in it."""
         if "<" in chunk and self._special and self._special.search(chunk):
             parts = self._special.split(chunk)
             return [w for k, p in enumerate(parts) for w in ([self.special[p]] if k % 2 else self.words(p) if p else [])]
-        if chunk.isascii() and chunk.isalpha():
-            return [chunk.lower().encode()]
-        if _PLAIN.fullmatch(chunk):
-            return [w.encode() for w in _WORDS.findall(chunk.lower())]
         return [bytes(map(self._byte_of.__getitem__, w)) for w, _ in self._split(self._normalize(chunk))]
 
     def _rank(self, left: np.ndarray, right: np.ndarray, joined: np.ndarray) -> np.ndarray:
@@ -96,11 +108,10 @@ class WordBpe:
         at = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
         return np.where((self._keys[at] == key) & joined, self._ranks[at], _NO_RANK)
 
-    def merge(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words in one flat array, and each word's number of ids."""
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        word = np.repeat(np.arange(len(words)), size)
-        data = np.frombuffer(b"".join(words), np.uint8)
+    def merge(self, data: bytes, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of words of so many bytes: the ids of all in one flat array, and each word's number of ids."""
+        word = np.repeat(np.arange(len(size)), size)
+        data = np.frombuffer(data, np.uint8)
         last = np.zeros(len(data), np.int64)
         last[np.cumsum(size) - 1] = 1
         sym = self._start[last, data]
@@ -139,10 +150,10 @@ class WordBpe:
                 nxt = np.minimum(changed + 1, len(sym) - 1)
                 rank[changed] = self._rank(sym[changed], sym[nxt], (word[changed] == word[nxt]) & (nxt > changed))
         if not done_w:
-            return np.zeros(0, np.int32), np.zeros(len(words), np.int64)
+            return np.zeros(0, np.int32), np.zeros(len(size), np.int64)
         w, s = np.concatenate(done_w), np.concatenate(done_s)
         order = np.argsort(w, kind="stable")
-        return s[order].astype(np.int32), np.bincount(w, minlength=len(words))
+        return s[order].astype(np.int32), np.bincount(w, minlength=len(size))
 
     def _merge_long(self, sym: np.ndarray) -> np.ndarray:
         """The ids of one long word: its pairs wait in a heap, by rank and place."""
@@ -182,20 +193,26 @@ class WordBpe:
 
     def _learn(self, chunks: list[str]) -> None:
         """Encode new chunks into the cache."""
+        odd = []
+        text = "\n".join(chunks)
+        if not _PLAIN.fullmatch(text) or self._special and self._special.search(text):
+            odd = [c for c in chunks if not _PLAIN.fullmatch(c) or self._special and self._special.search(c)]
+            chunks = [*set(chunks).difference(odd), *odd]
+        data, size, of = self._plain_words(chunks[:len(chunks) - len(odd)]) if len(odd) < len(chunks) else (b"", [], [])
         words: list[bytes] = []
         fixed: list[tuple[int, int]] = []  # (place among words, id) of special tokens
-        of = np.zeros(len(chunks), np.int64)
-        for k, chunk in enumerate(chunks):
+        n_odd = []
+        for chunk in odd:
             found = self.words(chunk)
-            of[k] = len(found)
+            n_odd.append(len(found))
             for w in found:
                 if isinstance(w, int):
-                    fixed.append((len(words), w))
+                    fixed.append((len(size) + len(words), w))
                     w = b"\x00"
                 words.append(w)
-        ids, n = self.merge(words)
+        of = np.concatenate([of, n_odd]).astype(np.int64)
+        ids, n = self.merge(data + b"".join(words), np.concatenate([size, [len(w) for w in words]]).astype(np.int64))
         if fixed:
-            ids = ids.copy()
             ids[(np.cumsum(n) - n)[[p for p, _ in fixed]]] = [i for _, i in fixed]
         ends = np.append(0, np.cumsum(n))[np.append(0, np.cumsum(of))]
         first = len(self._index)
@@ -212,11 +229,12 @@ class WordBpe:
             ends.append(len(chunks))
         if len(self._index) > CACHE_CHUNKS:
             self._forget()
-        known = list(map(self._index.get, chunks))
-        if None in known:
-            self._learn(list({c for c, k in zip(chunks, known) if k is None}))
-            known = [self._index[c] if k is None else k for c, k in zip(chunks, known)]
-        at = np.array(known, np.int64)
+        at = np.fromiter(map(self._index.get, chunks, repeat(-1)), np.int64, len(chunks))
+        new = np.flatnonzero(at < 0).tolist()
+        if new:
+            met = list(map(chunks.__getitem__, new))
+            self._learn(list(set(met)))
+            at[new] = list(map(self._index.__getitem__, met))
         n = self._lens[at]
         out = np.append(0, np.cumsum(n))
         begin = (np.cumsum(self._lens) - self._lens)[at]

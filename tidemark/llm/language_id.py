@@ -27,6 +27,7 @@ import math
 import re
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -178,11 +179,13 @@ class Scorer:
         flat = [w for ws in by_text for w in ws]
         if len(self._index) > CACHE_WORDS:
             self._forget()
-        known = list(map(self._index.get, flat))
-        if None in known:
-            self._learn(list({w for w, k in zip(flat, known) if k is None}))
-            known = [self._index[w] if k is None else k for w, k in zip(flat, known)]
-        sums = np.concatenate([np.zeros((1, len(self.models) + 1)), np.cumsum(self._scores[np.array(known, np.int64)], axis=0)])
+        at = np.fromiter(map(self._index.get, flat, repeat(-1)), np.int64, len(flat))
+        new = np.flatnonzero(at < 0).tolist()
+        if new:
+            met = list(map(flat.__getitem__, new))
+            self._learn(list(set(met)))
+            at[new] = list(map(self._index.__getitem__, met))
+        sums = np.concatenate([np.zeros((1, len(self.models) + 1)), np.cumsum(self._scores[at], axis=0)])
         ends = np.cumsum([0, *map(len, by_text)])
         total = sums[ends[1:]] - sums[ends[:-1]]
         n = np.rint(total[:, -1])

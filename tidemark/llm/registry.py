@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, kd_shards, language_id, line_dedup, packing, pii, simhash, url_filter
+from . import bpe, exact_dedup, kd_shards, language_id, line_dedup, nn_descent, packing, pii, simhash, url_filter
 from .common import table, tokenizer_path
 
 
@@ -23,6 +23,10 @@ def op3_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_shards.shard(table(spark, sf_dir, "documents"))
 
 
+def op4_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_pii": op2_pii,
     "op3_kd_shards": op3_kd_shards,
+    "op4_nn_descent": op4_nn_descent,
     "op5_line_dedup": op5_line_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_exact_dedup": op7_exact_dedup,
