@@ -73,9 +73,10 @@ def _top(u: np.ndarray, v: np.ndarray, d: np.ndarray, k: int) -> pd.DataFrame:
     """The k nearest distinct v of each u."""
     by = np.lexsort((v, d, u))
     u, v, d = u[by], v[by], d[by]
-    same = np.append(False, (u[1:] == u[:-1]) & (v[1:] == v[:-1]))  # equal pairs have equal distances
-    u, v, d = u[~same], v[~same], d[~same]
-    first = np.flatnonzero(np.append(True, u[1:] != u[:-1])) if len(u) else np.zeros(0, int)
+    begins = lambda *columns: np.append(True, np.any([c[1:] != c[:-1] for c in columns], axis=0))[:len(u)]
+    once = begins(u, v)  # equal pairs have equal distances
+    u, v, d = u[once], v[once], d[once]
+    first = np.flatnonzero(begins(u))
     place = np.arange(len(u)) - np.repeat(first, np.diff(np.append(first, len(u))))
     keep = place < k
     return pd.DataFrame({"u": u[keep], "v": v[keep], "d": d[keep]})
