@@ -104,6 +104,16 @@ def test_typed_column_never_raises(spark):
     assert out[1]["d"] == dt.date(2027, 1, 1) and out[1]["i"] == 7 and out[1]["w"] == 53
 
 
+def test_typed_column_keeps_whole_numbers_and_drops_non_finite(spark):
+    df = spark.createDataFrame([("3.0", "NaN"), ("2.7", "Infinity"), ("-4", "1e20"), ("1e99", "12.5"), (None, None)], "i string, x string")
+    out = df.select(typed_column(df, "i", "int").alias("i"), typed_column(df, "x", "double").alias("x"),
+                    cents(typed_column(df, "x", "double")).alias("c")).collect()
+    assert [tuple(r) for r in out] == [(3, None, None), (2, None, None), (-4, 1e20, None), (None, 12.5, 1250), (None, None, None)]
+    df = spark.createDataFrame([(float("nan"), 2.0), (float("inf"), float("nan"))], "x double, i double")
+    out = df.select(typed_column(df, "x", "double").alias("x"), typed_column(df, "i", "int").alias("i"), cents("x").alias("c")).collect()
+    assert [tuple(r) for r in out] == [(None, 2, None), (None, None, None)]
+
+
 def test_sizing_conf_scales_with_input():
     from tidemark.session import sizing_conf
 

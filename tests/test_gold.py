@@ -84,7 +84,7 @@ def test_bucketed_rank_matches_window(spark, sf_small):
     from pyspark.sql import Window
 
     s = _silver(spark, sf_small)
-    small = gold.top_products(s["sales"], s["products"], max_rows_per_task=7)
+    small = gold.top_products(s["sales"], s["products"], buckets=7)
     w = Window.partitionBy("annee", "mois")
     ref = gold._product_month(s["sales"], s["products"]).withColumns({
         "r1": F.rank().over(w.orderBy(F.col("chiffre_affaires").desc_nulls_last())),
@@ -108,11 +108,12 @@ def test_bucketed_rank_with_heavy_ties(spark):
 
     from tidemark.operators.ranking import group_rank
 
+    # two thirds of a group share a value
     rows = [(m, m * 1000 + i, float(1 if i % 3 else i % 7), None if i == 5 else i % 4)
             for m in (1, 2) for i in range(300)]
     rows += [(None, 5000 + i, float(i % 5), i) for i in range(20)]
     df = spark.createDataFrame(rows, "m int, id int, x double, y int")
-    got = group_rank(df, ["m"], {"rx": "x", "ry": "y"}, max_rows_per_task=10).alias("g")
+    got = group_rank(df, ["m"], {"rx": "x", "ry": "y"}, buckets=10).alias("g")
     w = Window.partitionBy("m")
     ref = df.withColumns({"ex": F.rank().over(w.orderBy(F.col("x").desc_nulls_last())),
                           "ey": F.rank().over(w.orderBy(F.col("y").desc_nulls_last()))}).alias("r")
@@ -154,3 +155,10 @@ def test_basic_profile_pipeline_fails_loudly(spark, sf_small):
     assert err.value.failed == ["gold.top_products"]
     report = {r.table_name: r.status for r in err.value.report.collect()}
     assert report["sales_daily"] == "ok" and report["top_products"].startswith("failed")
+
+
+def test_sales_daily_ordered(spark, sf_small):
+    s = _silver(spark, sf_small)
+    rows = gold.sales_daily(s["sales"], s["channels"], ordered=True).select("date", "id_canal").collect()
+    key = [(r.date is not None, r.date, r.id_canal) for r in rows]
+    assert len(rows) > 100 and key == sorted(key)

@@ -3,6 +3,8 @@
 import json
 import os
 
+import pytest
+
 from tidemark.plans.pipeline import run_pipeline
 from tidemark.session import new_run_dir
 from tidemark.sources import files
@@ -54,8 +56,10 @@ def test_write_table_counts_once(spark):
 
 def test_pipeline_report(spark, sf_small):
     report = {(r.layer, r.table_name): r for r in run_pipeline(spark, sf_small, as_of="2002-01-01").collect()}
-    assert len(report) == 14 and all(r.status == "ok" for r in report.values())
+    assert len(report) == 25 and all(r.status == "ok" for r in report.values())
     assert report[("silver", "channels")].rows == 10
+    assert report[("bronze", "sales")].rows == 6000 and report[("bronze", "feed_flat")].corrupt_rows == 0
+    assert report[("silver", "sales_enriched")].rows == report[("silver", "sales")].rows
 
 
 def test_landing_stream_exactly_once(spark):
@@ -153,3 +157,120 @@ def test_repair_mojibake_matches_python_redecode(spark, sf_small):
     assert len(rows) == 2
     for r in rows:
         assert r.motif_repare == brute(r.motif)
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write(text)
+
+
+def test_csv_columns_bind_by_name(spark, tmp_path):
+    from tidemark.sources import schemas
+
+    _write(f"{tmp_path}/a/x.csv", "ville,nom,extra,id_canal\nRabat,Site,9,CH01\n")
+    row = files.ingest_csv(spark, "channels", f"{tmp_path}/a").first()
+    assert (row.id_canal, row.nom, row.ville, row.type, row.region) == ("CH01", "Site", "Rabat", None, None)
+    assert row._corrupt_record is None
+    found = files.csv_columns(spark, f"{tmp_path}/a")
+    assert files.header_difference(found, schemas.CHANNELS) == (["type", "region"], ["extra"])
+
+
+def test_csv_files_of_one_folder_in_another_order_fail_loudly(spark, tmp_path):
+    _write(f"{tmp_path}/x.csv", "id_canal,type,nom,ville,region\n1,2,3,4,5\n")
+    _write(f"{tmp_path}/y.csv", "id_canal,nom,type,ville,region\n1,3,2,4,5\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.ingest_csv(spark, "channels", str(tmp_path)).collect()
+
+
+def test_corrupt_lines_and_documents_are_kept_counted_and_left_out(spark, tmp_path, sf_small):
+    from tidemark.operators.silver import clean_channels, clean_feed_flat
+    from tidemark.sources import fixtures
+    from tidemark.sources.sinks import write_counted
+
+    _write(f"{tmp_path}/c/x.csv", "id_canal,type,nom,ville,region\nCH01,web,a,b,c\nCH02,short\nCH03,web,a,b,c,long\n")
+    bronze = files.ingest_csv(spark, "channels", f"{tmp_path}/c")
+    assert write_counted(bronze, f"{tmp_path}/out/channels", audit_column=None) == (3, 2)
+    assert [r.id_canal for r in clean_channels(bronze).collect()] == ["CH01"]
+    good = json.dumps({"products": [{"id": 1, "title": "A"}, {"id": 2, "title": "B"}]})
+    _write(f"{tmp_path}/f/good.json", good)
+    _write(f"{tmp_path}/f/bad.json", '{"products": [{"id": 3,')
+    _write(f"{tmp_path}/f/none.json", '{"products": []}')
+    feed = files.ingest_json_envelope(spark, f"{tmp_path}/f")
+    rows = feed.collect()
+    assert sorted((r.id or "", bool(r._corrupt_record)) for r in rows) == [("", True), ("1", False), ("2", False)]
+    assert sorted(r.id for r in clean_feed_flat(feed).collect()) == [1, 2]
+    tables = {**fixtures.bronze_tables(spark, sf_small), "channels": bronze, "feed_flat": feed}
+    report = {(r.layer, r.table_name): r for r in run_pipeline(spark, bronze=tables, out=f"{tmp_path}/p").collect()}
+    assert report["bronze", "channels"].corrupt_rows == 2 and report["bronze", "feed_flat"].corrupt_rows == 1
+    assert report["silver", "channels"].rows == 1 and report["silver", "feed_flat"].rows == 2
+
+
+def test_failing_rewrite_leaves_the_old_table(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    write_table(spark.range(5), path)
+    bad = spark.range(9).selectExpr("id", "assert_true(id < 7) AS x", "1 AS y")
+    with pytest.raises(Exception):
+        write_table(bad, path)
+    assert spark.read.parquet(path).count() == 5 and os.listdir(tmp_path) == ["t"]
+    write_table(spark.range(6), path)
+    assert spark.read.parquet(path).count() == 6 and os.listdir(tmp_path) == ["t"]
+
+
+def test_failed_tables_are_reported_with_their_message(spark, sf_small, tmp_path):
+    from tidemark.plans.pipeline import PipelineError
+    from tidemark.sources import fixtures
+
+    bronze = fixtures.bronze_tables(spark, sf_small)
+    bronze["channels"] = bronze["channels"].drop("nom")
+    with pytest.raises(PipelineError) as e:
+        run_pipeline(spark, bronze=bronze, out=str(tmp_path))
+    status = {(r.layer, r.table_name): r.status for r in e.value.report.collect()}
+    assert "nom" in status["silver", "channels"] and status["gold", "sales_daily"].startswith("skipped")
+    assert status["silver", "sales"] == "ok" and status["gold", "top_products"] == "ok"
+
+
+def test_catalog_tables(spark, tmp_path):
+    from tidemark.sources.sinks import list_layer, write_catalog_table
+
+    df = spark.range(10).selectExpr("id", "id % 2 AS annee")
+    for n in (10, 4):
+        write_catalog_table(df.limit(n), "tidemark_test.sales", ["annee"], path=f"{tmp_path}/sales")
+    try:
+        assert spark.table("tidemark_test.sales").count() == 4 and list_layer(spark, "tidemark_test") == ["sales"]
+    finally:
+        spark.sql("DROP SCHEMA tidemark_test CASCADE")
+
+
+def test_landing_checkpoints_by_source_and_target(spark, tmp_path):
+    from tidemark.streaming.landing import run_landing_once
+
+    _write(f"{tmp_path}/in/a.csv", "nom,id_canal\nx,1\ny,2\n")
+    assert run_landing_once(spark, "channels", f"{tmp_path}/in", f"{tmp_path}/one") == 2
+    assert run_landing_once(spark, "channels", f"{tmp_path}/in", f"{tmp_path}/two") == 2
+    _write(f"{tmp_path}/in/b.csv", "nom,id_canal\nz,3\n")
+    assert run_landing_once(spark, "channels", f"{tmp_path}/in", f"{tmp_path}/one") == 1
+    assert {r.nom for r in spark.read.parquet(f"{tmp_path}/one").collect()} == {"x", "y", "z"}
+
+
+def test_scratch_folder_on_a_plain_session(spark, monkeypatch):
+    from tidemark import session
+
+    class Plain:  # a session without the setting
+        def __init__(self, master):
+            self.sparkContext = self
+            self.master, self.dir = master, None
+
+        def getConf(self):
+            return {}
+
+        def getCheckpointDir(self):
+            return self.dir
+
+        def setCheckpointDir(self, d):
+            self.dir = d
+
+    assert os.path.isdir(session.scratch_dir(Plain("local[2]")))
+    for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
+        with pytest.raises(RuntimeError, match="checkpoint"):
+            session.scratch_dir(Plain(master))

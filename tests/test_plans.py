@@ -31,7 +31,37 @@ def test_sales_pre_aggregated_before_dimension_joins(spark, sf_small):
     plan = _optimized(gold.sales_by_region(sales, customers))
     assert re.search(r"Aggregate \[id_client#\d+, annee#\d+, mois#\d+\]", plan)
     plan = _optimized(gold.customer_segments(sales, customers, channels))
-    assert re.search(r"Aggregate \[id_client#\d+, id_canal#\d+, annee#\d+, mois#\d+\]", plan)
+    assert re.search(r"Aggregate \[id_client#\d+, type#\d+, annee#\d+, mois#\d+\]", plan)
+    # no pre-aggregate that keeps nearly every row
+    assert not re.search(r"Aggregate \[id_client#\d+, id_canal#\d+, annee#\d+, mois#\d+\]", plan)
+
+
+def test_category_aggregates_after_the_join(spark, sf_small):
+    sales, products = _silver(spark, sf_small, "sales", "products")
+    plan = _optimized(gold.category_growth(sales, products))
+    assert not re.search(r"Aggregate \[id_produit#\d+, id_client#\d+", plan)
+    assert re.search(r"Aggregate \[categorie#\d+, annee#\d+, mois#\d+, id_client#\d+\]", plan)
+
+
+def test_ranks_never_window_a_whole_month(spark, sf_small):
+    sales, products = _silver(spark, sf_small, "sales", "products")
+    plan = _physical(gold.top_products(sales, products))
+    assert "BroadcastExchange" not in "".join(re.findall(r".*\bHint.*", plan))
+    assert not re.search(r"rank\(", plan)
+    assert re.search(r"hashpartitioning\(annee#\d+, mois#\d+, _bk#\d+", plan)
+
+
+def test_distinct_customers_without_expand(spark, sf_small):
+    (sales,) = _silver(spark, sf_small, "sales")
+    assert "Expand" not in _optimized(gold.distinct_customers(sales))
+
+
+def test_validation_reads_sales_once(spark, sf_small):
+    from tidemark.operators import quality
+
+    plan = _optimized(quality.validate_layers(fixtures.bronze_tables(spark, sf_small)))
+    # lineitem feeds three tables (sales, returns, stocks), each read once
+    assert len(re.findall(r"Relation \[l_orderkey#", plan)) == 3 and len(re.findall(r"Relation \[o_orderkey#", plan)) == 1
 
 
 def test_scans_are_pruned_and_filtered(spark, sf_small):

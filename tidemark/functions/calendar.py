@@ -15,8 +15,8 @@ def typed_column(df: DataFrame, name: str, target: str) -> Column:
     Bronze tables read from CSV are all-string; bronze views built from
     typed sources already carry the right type.  Text is parsed with
     ``try_cast`` / ``try_to_date`` so malformed values become NULL (ANSI mode
-    would otherwise fail the whole job); a value already of the target type
-    is passed through untouched so Catalyst has nothing to evaluate.
+    would otherwise fail the whole job), and so do NaN and infinities.  A text,
+    date or integer already of the target type is passed through untouched.
     """
     src = df.schema[name].dataType
     c = F.col(name)
@@ -28,9 +28,22 @@ def typed_column(df: DataFrame, name: str, target: str) -> Column:
         return F.try_to_date(c.cast("string"), DATE_FORMAT)
     if target == "string":
         return c if isinstance(src, T.StringType) else c.cast("string")
+    if target in ("double", "float"):
+        return finite(c.try_cast(target))
+    if target in ("int", "bigint") and not isinstance(src, T.IntegralType):
+        # "3.0" (how a reader that saw an empty field writes integers) is 3; fractions are cut, as a cast of the
+        # number would
+        number = c if isinstance(src, T.FractionalType) else c.try_cast("double")
+        whole = finite(number).try_cast(target)
+        return whole if isinstance(src, T.FractionalType) else F.coalesce(c.try_cast(target), whole)
     return c.try_cast(target)
 
 
+def finite(c: Column) -> Column:
+    """NULL for NaN and infinities, which compare as larger than any amount and cannot be summed as cents."""
+    return F.when(F.abs(c) < float("inf"), c)
+
+
 def calendar_columns(date_col: str = "date", with_quarter: bool = True) -> dict[str, Column]:
     """annee / mois / semaine (ISO week) / trimestre of a date column."""
     d = F.col(date_col)

@@ -26,13 +26,13 @@ def idiv(num, den) -> Column:
 
 
 def cents(x) -> Column:
-    """Currency amount (double) -> bigint cents, rounded half-up."""
-    return F.round(_c(x) * 100).cast("bigint")
+    """Currency amount (double) -> bigint cents, rounded half-up; NULL if not finite or beyond a bigint."""
+    return F.round(_c(x) * 100).try_cast("bigint")
 
 
 def basis_points(x) -> Column:
     """Percentage (double) -> bigint hundredths of a percent."""
-    return F.round(_c(x) * 100).cast("bigint")
+    return F.round(_c(x) * 100).try_cast("bigint")
 
 
 def from_cents(x) -> Column:

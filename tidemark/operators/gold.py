@@ -2,20 +2,24 @@
 
 Plan shape shared by the queries:
 
-* Sales are first aggregated at the grain of the foreign key they join on
-  (customer-month, product-month, ...).  Dimension keys are unique after
-  silver dedup, so aggregating before the join is exact — including the
-  distinct counts, because the distinct column is part of the pre-aggregate
-  key.  The partial (map-side) aggregate runs before the first shuffle, so
-  a customer or product holding a third of all sales leaves each map task
-  as one row per period, and the join shuffles periods, not line items.
+* Where the grain of a foreign key is much coarser than the sales (channel-day,
+  customer-month, product-month), sales are first aggregated to it: exact,
+  because dimension keys are unique after silver dedup, and a customer or
+  product with a third of all sales leaves each map task as one row per period.
+* Where a query needs distinct customers per attribute of another dimension
+  (``sales_by_category``, ``customer_segments``), such a pre-aggregate would
+  keep nearly every row.  There the narrow dimension is joined to the sales
+  first (a hot key is left to AQE's skew splitting), and one aggregate by
+  (attribute, period, customer) follows, which also spreads a hot attribute.
 * Dimension joins carry no broadcast hints: Spark broadcasts a dimension
   only when its (runtime, with AQE) size is under
   ``autoBroadcastJoinThreshold`` and falls back to a sort-merge join
   otherwise.  Explicit broadcasts are limited to tables whose size is bounded
   by the calendar, not by data volume: the month totals of
-  ``sales_by_channel`` / ``revenue_share`` and the per-month statistics of
-  ``operators.ranking``.
+  ``sales_by_channel`` / ``revenue_share``.
+* ``sales_by_channel``, ``revenue_share`` and ``top_products`` write one
+  intermediate to the scratch folder while their plan is built (see
+  ``sources.sinks.materialize``); all other queries are lazy.
 * Calendar columns that are functions of the grouping date or month are
   derived after aggregating instead of being carried through the shuffle.
 * Money is summed in integer cents; rounded outputs use the integer half-up
@@ -30,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.bands import frequency_band, return_band
-from tidemark.operators.ranking import DEFAULT_MAX_ROWS_PER_TASK, group_rank
+from tidemark.operators.ranking import BUCKETS, group_rank
 from tidemark.sources.sinks import materialize
 from tidemark.functions.calendar import calendar_columns
 from tidemark.functions.money import (
@@ -87,12 +91,13 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 DAILY_KEYS = ["date", "annee", "mois", "semaine", "trimestre", "id_canal"]  # output grain
 
 
-def sales_daily(sales: DataFrame, channels: DataFrame) -> DataFrame:
+def sales_daily(sales: DataFrame, channels: DataFrame, ordered: bool = False) -> DataFrame:
     """Per day and channel: orders, units, revenue, basket, customers, discounts.
 
     ``total_remises`` applies the discount rate to the (already discounted)
     line amount, as the original report does; ``total_remises_brut`` applies
-    it to the gross amount quantity x unit price.
+    it to the gross amount quantity x unit price.  ``ordered`` sorts the
+    result by date (then channel), for display; files are sorted by the writer.
     """
     bp = basis_points(F.coalesce(F.col("remise_pct"), F.lit(0.0)))
     gross = cents("prix_unitaire") * F.col("quantite").cast("bigint")
@@ -105,12 +110,13 @@ def sales_daily(sales: DataFrame, channels: DataFrame) -> DataFrame:
         F.sum((gross * bp).cast("decimal(38,0)")).alias("_rem_brut"),
     ).withColumns(calendar_columns("date"))
     ch = _dim(channels, "id_canal", {"type": "type", "canal_nom": "nom"})
-    return pre.join(ch, "id_canal", "left").select(
+    out = pre.join(ch, "id_canal", "left").select(
         *DAILY_KEYS[:-1], "id_canal", "type", "canal_nom",
         *_final_measures(), "clients_uniques",
         from_cents(half_up_signed("_rem", F.lit(10000))).alias("total_remises"),
         from_cents(half_up_signed("_rem_brut", F.lit(10000))).alias("total_remises_brut"),
     )
+    return out.orderBy("date", "id_canal") if ordered else out
 
 
 # ── G2 monthly sales by channel, with share of the month ─────────────────
@@ -177,19 +183,17 @@ def _product_month(sales: DataFrame, products: DataFrame) -> DataFrame:
     )
 
 
-def top_products(sales: DataFrame, products: DataFrame,
-                 max_rows_per_task: int = DEFAULT_MAX_ROWS_PER_TASK) -> DataFrame:
+def top_products(sales: DataFrame, products: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Product-month measures ranked by revenue and by units within the month.
 
     ``rank``: ties share a rank and the next rank skips.  A month holds one
-    row per product sold; ``group_rank`` uses one window per month while the
-    largest month fits a task and splits months into value buckets beyond.
+    row per product sold; ``group_rank`` splits it into ``buckets`` ranges of values.
     """
     g = _product_month(sales, products)
     return group_rank(g, ["annee", "mois"], {
         "rang_ca": "chiffre_affaires",
         "rang_quantite": "total_quantite_vendue",
-    }, max_rows_per_task)
+    }, buckets)
 
 
 def top_products_k(sales: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
@@ -315,13 +319,17 @@ def _growth(df: DataFrame, partition: list[str], calendar: bool = False) -> Data
     })
 
 
+def _by_customer(sales: DataFrame, keys: list[str]) -> DataFrame:
+    """Measures by ``keys`` and month, with the number of distinct customers: one row per customer, then its count."""
+    pre = sales.groupBy(*keys, "annee", "mois", "id_client").agg(*_partial_measures())
+    return pre.groupBy(*keys, "annee", "mois").agg(*_resum(), F.count("id_client").alias("clients_uniques"))
+
+
 def _category_months(sales: DataFrame, products: DataFrame, keys: list[str]) -> DataFrame:
-    # pre-aggregate at (product, client, month): exact for the client distinct
-    # count; the quarter is a function of the month, derived after grouping
-    pre = sales.groupBy("id_produit", "id_client", "annee", "mois").agg(*_partial_measures())
     pr = _dim(products, "id_produit", {"categorie": "categorie", "marque": "marque"})
-    g = pre.join(pr, "id_produit", "left").groupBy(*keys, "annee", "mois").agg(
-        *_resum(), F.countDistinct("id_client").alias("clients_uniques"))
+    narrow = sales.select("id_produit", "id_client", "annee", "mois", "id_vente", "quantite", "montant")
+    g = _by_customer(narrow.join(pr, "id_produit", "left"), keys)
+    # the quarter is a function of the month, derived after grouping
     return g.withColumn("trimestre", idiv(F.col("mois") + 2, F.lit(3)).cast("int"))
 
 
@@ -346,12 +354,14 @@ def category_growth(sales: DataFrame, products: DataFrame, calendar: bool = Fals
 # ── G8 customer segments by channel type ─────────────────────────────────
 
 def customer_segments(sales: DataFrame, customers: DataFrame, channels: DataFrame) -> DataFrame:
-    pre = sales.groupBy("id_client", "id_canal", "annee", "mois").agg(*_partial_measures())
-    cu = _dim(customers, "id_client", {"segment": "segment"})
+    # channels become their type first: (client, type, month) is far coarser than (client, channel, month)
     ch = _dim(channels, "id_canal", {"type": "type"})
-    g = (pre.join(cu, "id_client", "left").join(ch, "id_canal", "left")
-         .groupBy("segment", "type", "annee", "mois")
-         .agg(*_resum(), F.countDistinct("id_client").alias("nb_clients")))
+    cu = _dim(customers, "id_client", {"segment": "segment"})
+    narrow = sales.select("id_canal", "id_client", "annee", "mois", "id_vente", "quantite", "montant")
+    pre = narrow.join(ch, "id_canal", "left").groupBy("id_client", "type", "annee", "mois").agg(*_partial_measures())
+    # one row per client: counting rows counts clients
+    g = (pre.join(cu, "id_client", "left").groupBy("segment", "type", "annee", "mois")
+         .agg(*_resum(), F.count("id_client").alias("nb_clients")))
     return g.select(
         "segment", "type", "annee", "mois", "nb_clients",
         F.col("_n").alias("nb_commandes"),
@@ -393,10 +403,11 @@ def distinct_customers(sales: DataFrame, approx_rsd: float | None = None) -> Dat
             F.approx_count_distinct("id_client", approx_rsd).alias("clients_uniques"),
             F.approx_count_distinct("id_produit", approx_rsd).alias("produits_distincts"),
         )
-    return sales.groupBy("annee", "mois").agg(
-        F.countDistinct("id_client").alias("clients_uniques"),
-        F.countDistinct("id_produit").alias("produits_distincts"),
-    )
+    # two single counts joined on the month: both in one aggregate would double every row first (Expand)
+    clients, produits = (
+        sales.groupBy("annee", "mois").agg(F.countDistinct(c).alias(name))
+        for c, name in (("id_client", "clients_uniques"), ("id_produit", "produits_distincts")))
+    return _null_safe_join(clients, produits, ["annee", "mois"])
 
 
 def discount_total(sales: DataFrame) -> DataFrame:

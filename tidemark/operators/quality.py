@@ -1,9 +1,10 @@
 """Layer validation: row counts, NULL keys, duplicate keys, orphan references.
 
 Returns one long table ``(table_name, check_name, value)`` so that new checks
-add rows, not columns.  Every figure is a distributed aggregate; orphan
-references are ``left_anti`` joins of per-key fact counts against the
-referenced key set.
+add rows, not columns.  All checks come from one pass: every table is read once
+as (table, column, value) of its key and reference columns and counted per
+value (with map-side combine, so a hot key is one row), and the counts meet the
+referenced keys in one join.
 """
 
 from __future__ import annotations
@@ -33,30 +34,29 @@ REFERENCES = [
 ]
 
 
-def _long(df: DataFrame, table: str) -> DataFrame:
-    cols = [c for c in df.columns]
-    stack = ", ".join(f"'{c}', `{c}`" for c in cols)
-    return df.select(F.lit(table).alias("table_name"),
-                     F.expr(f"stack({len(cols)}, {stack}) AS (check_name, value)"))
+def _values(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
+    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns))
+    return df.select(F.lit(table).alias("table_name"), F.explode(pairs).alias("p")).select("table_name", "p.*")
 
 
 def validate_layers(tables: dict[str, DataFrame]) -> DataFrame:
-    parts = []
-    for name, key in KEYS.items():
-        k = F.col(key)
-        stats = tables[name].agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count(F.when(k.isNull(), 1)).alias("null_keys"),
-            (F.count(k) - F.countDistinct(k)).alias("duplicate_keys"),
-        )
-        parts.append(_long(stats, name))
-    for fact, fk, dim in REFERENCES:
-        # facts are first reduced to one row per key (map-side partial count),
-        # so a key holding a large share of the facts is one row in the join
-        per_key = (tables[fact].filter(F.col(fk).isNotNull())
-                   .groupBy(fk).agg(F.count(F.lit(1)).alias("_n")))
-        ref = tables[dim].select(F.col(KEYS[dim]).alias(fk)).filter(F.col(fk).isNotNull())
-        orphans = (per_key.join(ref, fk, "left_anti")
-                   .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias(f"orphan_{fk}")))
-        parts.append(_long(orphans, fact))
-    return reduce(DataFrame.unionByName, parts)
+    foreign = {t: [fk for fact, fk, _ in REFERENCES if fact == t] for t in KEYS}
+    values = reduce(DataFrame.unionByName, (_values(tables[t], t, [key, *foreign[t]]) for t, key in KEYS.items()))
+    counts = values.groupBy("table_name", "column", "value").agg(F.count(F.lit(1)).alias("n"))
+    known = reduce(DataFrame.unionByName, (
+        tables[dim].select(F.lit(fact).alias("table_name"), F.lit(fk).alias("column"),
+                           F.col(KEYS[dim]).cast("string").alias("value")) for fact, fk, dim in REFERENCES))
+    known = known.where("value IS NOT NULL").distinct().withColumn("known", F.lit(True))
+    there = F.col("value").isNotNull()
+    n = F.col("n")
+    stats = counts.join(known, ["table_name", "column", "value"], "left").groupBy("table_name", "column").agg(
+        F.sum(n).alias("rows"), F.sum(F.when(~there, n)).alias("null_keys"),
+        F.sum(F.when(there, n - 1)).alias("duplicate_keys"),
+        F.sum(F.when(there & F.col("known").isNull(), n)).alias("orphans"))
+    # every check is a row, also of an empty table
+    checks = [(t, key, c, c) for t, key in KEYS.items() for c in ("rows", "null_keys", "duplicate_keys")]
+    checks += [(t, fk, "orphans", f"orphan_{fk}") for t, fk, _ in REFERENCES]
+    spark = values.sparkSession
+    wanted = spark.createDataFrame(checks, "table_name string, column string, figure string, check_name string")
+    value = F.coalesce(*(F.when(F.col("figure") == c, F.col(c)) for c in ("rows", "null_keys", "duplicate_keys", "orphans")), F.lit(0))
+    return wanted.join(stats, ["table_name", "column"], "left").select("table_name", "check_name", value.alias("value"))

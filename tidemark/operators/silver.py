@@ -38,6 +38,7 @@ from tidemark.functions.text import (
     strip_spaces,
 )
 from tidemark.operators.dedup import keep_first
+from tidemark.sources.files import well_formed
 
 PROFILES = ("strict", "basic")
 
@@ -75,6 +76,7 @@ def amount_calc(quantity="quantite", unit_price="prix_unitaire", discount="remis
 
 def clean_sales(bronze: DataFrame, profile: str = "strict") -> DataFrame:
     _check(profile)
+    bronze = well_formed(bronze)
     cols = _typed(bronze, SALES_TYPES)
     if profile == "strict":
         statut = fix_sale_status("statut")
@@ -101,6 +103,7 @@ CUSTOMER_TYPES = {"id_client": "string", "date_inscription": "date", "age": "int
 
 def clean_customers(bronze: DataFrame, profile: str = "strict") -> DataFrame:
     _check(profile)
+    bronze = well_formed(bronze)
     c = F.col
     if profile == "strict":
         text = [
@@ -148,6 +151,7 @@ def margin_pct(price="prix", cost="prix_achat"):
 
 def clean_products(bronze: DataFrame, profile: str = "strict") -> DataFrame:
     _check(profile)
+    bronze = well_formed(bronze)
     c = F.col
     categorie = fix_category(F.trim(c("categorie"))) if profile == "strict" else F.trim(c("categorie"))
     typed = bronze.select(
@@ -183,6 +187,7 @@ RETURN_TYPES = {
 
 def clean_returns(bronze: DataFrame, profile: str = "strict") -> DataFrame:
     _check(profile)
+    bronze = well_formed(bronze)
     c = F.col
     if profile == "strict":
         motif = F.trim(fix_reason(c("motif")))
@@ -212,6 +217,7 @@ def stock_flags(net="stock_net", threshold="seuil_reappro") -> dict:
 
 def clean_stocks(bronze: DataFrame, profile: str = "strict") -> DataFrame:
     _check(profile)
+    bronze = well_formed(bronze)
     if profile == "basic":
         # the lighter variant types one column and dedups on (product, depot)
         typed = bronze.withColumn("quantite_disponible",
@@ -230,6 +236,7 @@ def clean_stocks(bronze: DataFrame, profile: str = "strict") -> DataFrame:
 
 def clean_channels(bronze: DataFrame, profile: str = "strict") -> DataFrame:
     _check(profile)
+    bronze = well_formed(bronze)
     c = F.col
     if profile == "strict":
         text = [fix_encoding(F.trim(c("nom"))), fix_encoding(c("ville")), fix_encoding(c("region"))]
@@ -247,7 +254,7 @@ def clean_channels(bronze: DataFrame, profile: str = "strict") -> DataFrame:
 
 def clean_feed_nested(bronze: DataFrame) -> DataFrame:
     """Feed whose ``rating`` is a record {rate, count}: flatten and type it."""
-    typed = bronze.select(
+    typed = well_formed(bronze).select(
         F.col("id").try_cast("bigint").alias("id"),
         F.trim("title").alias("title"),
         F.lower(F.trim("category")).alias("category"),
@@ -260,7 +267,7 @@ def clean_feed_nested(bronze: DataFrame) -> DataFrame:
 
 def clean_feed_flat(bronze: DataFrame) -> DataFrame:
     """Feed with scalar fields (rating is a number)."""
-    typed = bronze.select(
+    typed = well_formed(bronze).select(
         F.col("id").try_cast("bigint").alias("id"),
         F.trim("title").alias("title"),
         F.lower(F.trim("category")).alias("category"),

@@ -2,8 +2,10 @@
 
 Each query reads the test tables of ``sf_dir`` through the fixture adapter
 (``sources.fixtures``), cleans them (silver, strict profile unless the key
-says ``_basic``) and applies one operator.  Nothing is cached or collected:
-the returned frame is a lazy plan over the whole input tables.
+says ``_basic``) and applies one operator over the whole input tables.  Most
+frames are lazy plans.  ``sales_by_channel``, ``revenue_share`` and
+``top_products`` write an intermediate when they are built, and queries about
+ingestion, sinks and the pipeline write the files that they are about.
 """
 
 from __future__ import annotations
@@ -52,52 +54,26 @@ def _clean(name, profile) -> Query:
 
 # ── sources: land files derived from the test tables, then ingest them ──
 
-def _land_csv(spark, d, names) -> dict[str, str]:
+def _land_csv(spark, d, names, text=False) -> dict[str, str]:
     root = new_run_dir(spark, "landing-csv")
-    paths = {}
-    for name in names:
-        path = f"{root}/{name}"
-        df = _bronze(spark, d, name).select(
-            *[F.col(c).cast("string").alias(c) for c in _bronze(spark, d, name).columns])
-        (df.write.mode("overwrite").option("header", True)
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-         .csv(path))
-        paths[name] = path
-    return paths
-
-
-def _feed_records(spark, d) -> DataFrame:
-    p = fixtures.read_table(spark, d, "part")
-    return p.select(
-        F.col("p_partkey").alias("id"),
-        F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")).alias("title"),
-        F.upper("p_type").alias("category"),
-        F.col("p_brand").alias("brand"),
-        F.col("p_retailprice").alias("price"),
-        F.struct((F.col("p_size") % 50 / 10).alias("rate"),
-                 (F.col("p_size") * 7).alias("count")).alias("rating"),
-        (F.col("p_size") * 10).alias("stock"),
-    )
-
-
-def _land_feed_nested(spark, d) -> str:
-    path = new_run_dir(spark, "landing-feed-nested")
-    _feed_records(spark, d).drop("brand", "stock").write.mode("overwrite").json(path)
-    return path
-
-
-def _land_feed_envelope(spark, d) -> str:
-    """One ``{"products": [...]}`` document per 100 consecutive product ids."""
-    path = new_run_dir(spark, "landing-feed-envelope")
-    rec = _feed_records(spark, d).withColumn("rating", F.col("rating.rate"))
-    docs = rec.groupBy(F.floor(F.col("id") / 100).alias("_doc")).agg(
-        F.collect_list(F.struct(*[c for c in rec.columns])).alias("products"))
-    docs.select("products").write.mode("overwrite").json(path)
-    return path
+    return {n: fixtures.land_csv(spark, fixtures.as_text(n, _bronze(spark, d, n)) if text else _bronze(spark, d, n),
+                                 f"{root}/{n}") for n in names}
+
+
+def _lineage(df, pattern):
+    """Load times and absolute paths differ by run: keep the part of the path that doesn't."""
+    return df.withColumn("source", F.regexp_extract("_source_file", pattern, 1)).drop("_ingested_at", "_source_file")
 
 
 def q_ingest_csv(spark, d):
-    return files.ingest_csv(spark, "sales", _land_csv(spark, d, ["sales"])["sales"])
+    return _lineage(files.ingest_csv(spark, "sales", _land_csv(spark, d, ["sales"])["sales"]), "([^/]+)/[^/]+$")
+
+
+def _clean_from_text(name) -> Query:
+    """Bronze landed as text CSV with its columns in another order, ingested, then cleaned."""
+    def query(spark, d):
+        return silver.CLEANERS[name](files.ingest_csv(spark, name, _land_csv(spark, d, [name], text=True)[name]))
+    return query
 
 
 def q_ingest_all(spark, d):
@@ -118,31 +94,28 @@ def q_ingest_csv_incremental(spark, d):
     """
     root = new_run_dir(spark, "landing-stream")
     bronze = _bronze(spark, d, "sales")
-    text = bronze.select(*[F.col(c).cast("string").alias(c) for c in bronze.columns])
     early = F.col("date") < F.lit("1998-01-01")
-    for i, part in enumerate([text.filter(early), text.filter(~early | F.col("date").isNull())]):
-        (part.write.mode("overwrite").option("header", True)
-         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-         .csv(f"{root}/landing/drop={i}"))
-        run_landing_once(spark, "sales", f"{root}/landing/drop=*", f"{root}/bronze",
-                         f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/bronze")
+    for i, part in enumerate([bronze.filter(early), bronze.filter(~early | F.col("date").isNull())]):
+        fixtures.land_csv(spark, part, f"{root}/landing/drop={i}")
+        run_landing_once(spark, "sales", f"{root}/landing/drop=*", f"{root}/bronze", f"{root}/checkpoint")
+    return _lineage(spark.read.parquet(f"{root}/bronze"), "drop=([0-9])")
 
 
 def q_ingest_json(spark, d):
-    return files.ingest_json(spark, _land_feed_nested(spark, d))
+    df = _lineage(fixtures.feed_nested(spark, d), "(landing-feed-nested)")
+    return df.select("*", F.col("rating.rate").alias("rating_rate"), F.col("rating.count").alias("rating_count")).drop("rating")
 
 
 def q_ingest_json_envelope(spark, d):
-    return files.ingest_json_envelope(spark, _land_feed_envelope(spark, d), multi_line=False)
+    return _lineage(fixtures.feed_flat(spark, d), "(landing-feed-envelope)")
 
 
 def q_clean_feed_nested(spark, d):
-    return silver.clean_feed_nested(q_ingest_json(spark, d))
+    return silver.clean_feed_nested(fixtures.feed_nested(spark, d))
 
 
 def q_clean_feed_flat(spark, d):
-    return silver.clean_feed_flat(q_ingest_json_envelope(spark, d))
+    return silver.clean_feed_flat(fixtures.feed_flat(spark, d))
 
 
 # ── sinks ────────────────────────────────────────────────────────────────
@@ -192,8 +165,8 @@ def q_segment_canonical(spark, d):
 
 
 def q_fix_encoding(spark, d):
-    b = _bronze(spark, d, "returns")
-    return b.select("id_retour", "motif", fix_encoding("motif").alias("motif_repare"))
+    b = _bronze(spark, d, "customers")
+    return b.select("id_client", "ville", fix_encoding("ville").alias("ville_reparee"))
 
 
 def q_repair_mojibake(spark, d):
@@ -251,6 +224,7 @@ QUERIES: dict[str, Query] = {
     # silver
     **{f"clean_{n}": _clean(n, "strict") for n in silver.CLEANERS},
     **{f"clean_{n}_basic": _clean(n, "basic") for n in silver.CLEANERS},
+    **{f"clean_{n}_from_text": _clean_from_text(n) for n in ("sales", "customers", "products")},
     "clean_feed_nested": q_clean_feed_nested,
     "clean_feed_flat": q_clean_feed_flat,
     "sales_enriched": _gold(enrich.enrich_sales, "sales", "channels"),

@@ -16,7 +16,7 @@ AS_OF = "2002-01-01"
 # ── expression helpers (SQL text) ────────────────────────────────────────
 
 def cents(x: str) -> str:
-    return f"CAST(round(({x}) * 100) AS BIGINT)"
+    return f"TRY_CAST(round(({x}) * 100) AS BIGINT)"
 
 
 def bp(x: str) -> str:
@@ -76,16 +76,16 @@ DISC = f"CAST(round(l.l_discount * 100) AS INTEGER)"
 
 BRONZE = {
     "bronze_sales": f"""
-SELECT CAST(l.l_orderkey * 10 + l.l_linenumber AS VARCHAR) AS id_vente,
-       CAST(o.o_custkey AS VARCHAR) AS id_client,
-       CAST(l.l_partkey AS VARCHAR) AS id_produit,
+SELECT CASE WHEN l.l_orderkey % 1009 <> 0 THEN CAST(l.l_orderkey * 10 + l.l_linenumber AS VARCHAR) END AS id_vente,
+       CASE WHEN l.l_orderkey % 97 <> 0 THEN CAST(o.o_custkey AS VARCHAR) END AS id_client,
+       CASE WHEN l.l_orderkey % 101 <> 0 THEN CAST(l.l_partkey AS VARCHAR) END AS id_produit,
        CAST(l.l_suppkey AS VARCHAR) AS id_canal,
        CAST(o.o_orderdate AS DATE) AS date,
-       CAST(l.l_quantity AS INTEGER) AS quantite,
+       CASE WHEN l.l_orderkey % 89 = 0 THEN -CAST(l.l_quantity AS INTEGER) ELSE CAST(l.l_quantity AS INTEGER) END AS quantite,
        CAST(CASE WHEN CAST(l.l_quantity AS BIGINT) > 0
                  THEN {EXT} // CAST(l.l_quantity AS BIGINT) END AS DOUBLE) / 100 AS prix_unitaire,
        CASE WHEN l.l_linenumber = 7 THEN NULL ELSE {DISC} END AS remise_pct,
-       CAST((2 * {EXT} * (100 - {DISC}) + 100) // 200 AS DOUBLE) / 100 AS montant,
+       CAST(CASE WHEN l.l_orderkey % 83 = 0 THEN 0 ELSE (2 * {EXT} * (100 - {DISC}) + 100) // 200 END AS DOUBLE) / 100 AS montant,
        CASE o.o_orderstatus WHEN 'F' THEN ' Livré ' WHEN 'P' THEN 'LivrÃ©' ELSE 'EN COURS' END AS statut
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey""",
     "bronze_channels": """
@@ -94,19 +94,25 @@ SELECT CAST(s.s_suppkey AS VARCHAR) AS id_canal, ' ' || r.r_name || ' ' AS type,
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey""",
     "bronze_customers": """
-SELECT CAST(c.c_custkey AS VARCHAR) AS id_client, c.c_name AS nom, CAST(NULL AS VARCHAR) AS prenom,
+SELECT CAST(c.c_custkey AS VARCHAR) AS id_client, c.c_name AS nom, ' ' || lower(c.c_name) AS prenom,
        CASE WHEN c.c_custkey % 50 = 0 THEN NULL ELSE ' ' || upper(c.c_name) || '@EX.COM ' END AS email,
-       CAST(NULL AS VARCHAR) AS telephone, n.n_name AS ville, r.r_name AS region,
-       c.c_mktsegment AS segment, CAST(NULL AS VARCHAR) AS genre, CAST(NULL AS DATE) AS date_inscription,
+       '06 12  ' || CAST(c.c_custkey AS VARCHAR) || ' ' AS telephone,
+       CASE c.c_custkey % 13 WHEN 0 THEN 'FÃ"s' WHEN 1 THEN 'MarrakÃ©ch' WHEN 2 THEN 'KhÃ©misset' WHEN 3 THEN 'LÃ -bas'
+            ELSE n.n_name END AS ville, r.r_name AS region,
+       CASE c.c_custkey % 7 WHEN 0 THEN ' PREMIUM' WHEN 1 THEN 'vip' WHEN 2 THEN 'Standard '
+            ELSE c.c_mktsegment END AS segment,
+       CASE c.c_custkey % 3 WHEN 0 THEN ' f' WHEN 1 THEN 'M ' END AS genre,
+       DATE '2015-01-01' + CAST(c.c_custkey % 3000 AS INTEGER) AS date_inscription,
        CASE WHEN c.c_custkey % 11 = 0 THEN NULL ELSE CAST(c.c_custkey % 80 + 10 AS INTEGER) END AS age
 FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
 JOIN region r ON n.n_regionkey = r.r_regionkey""",
     "bronze_products": f"""
-SELECT CAST(p_partkey AS VARCHAR) AS id_produit, p_name AS nom_produit, p_type AS categorie,
+SELECT CAST(p_partkey AS VARCHAR) AS id_produit, p_name AS nom_produit,
+       CASE p_partkey % 17 WHEN 0 THEN 'A%olectronique' WHEN 1 THEN 'Ã©lectronique' ELSE p_type END AS categorie,
        p_brand AS marque,
        CAST(CASE WHEN p_size = 50 THEN 0 ELSE ({cents('p_retailprice')} * p_size) // 20 END AS DOUBLE) / 100 AS prix,
        CAST((({cents('p_retailprice')} * p_size) // 20 * (p_size + 40)) // 100 AS DOUBLE) / 100 AS prix_achat,
-       CAST(NULL AS DOUBLE) AS poids_kg, CAST(p_size * 10 AS INTEGER) AS stock_initial
+       CAST(p_size AS DOUBLE) / 10 AS poids_kg, CAST(p_size * 10 AS INTEGER) AS stock_initial
 FROM part""",
     "bronze_returns": f"""
 SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS id_retour,
@@ -114,7 +120,7 @@ SELECT CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS id_retour,
        CAST(l_quantity AS INTEGER) AS quantite_retournee,
        CAST({cents('l_extendedprice')} AS DOUBLE) / 100 AS montant_rembourse,
        CASE WHEN l_linestatus = 'F' THEN 'ArrivÃ© endommagÃ©' ELSE ' Mauvais produit ' END AS motif,
-       CAST(NULL AS VARCHAR) AS statut_retour
+       CASE l_linenumber % 4 WHEN 0 THEN 'remboursÃ©' WHEN 1 THEN 'remboursÃ@' WHEN 2 THEN 'refusÃ' END AS statut_retour
 FROM lineitem WHERE l_returnflag = 'R'""",
     "bronze_stocks": """
 SELECT CAST(l_partkey * 1000000 + l_suppkey AS VARCHAR) AS id_stock,
@@ -126,6 +132,20 @@ FROM lineitem GROUP BY l_partkey, l_suppkey""",
 }
 
 
+# what typing makes of the landed text (``fixtures.as_text``)
+TEXT = {
+    "text_sales": """
+SELECT * REPLACE (CASE WHEN CAST(id_vente AS BIGINT) % 29 = 0 THEN NULL ELSE date END AS date,
+                  CASE WHEN CAST(id_vente AS BIGINT) % 31 = 0 THEN NULL ELSE montant END AS montant) FROM bronze_sales""",
+    "text_customers": """
+SELECT * REPLACE (CASE WHEN CAST(id_client AS BIGINT) % 19 = 0 THEN NULL ELSE date_inscription END AS date_inscription)
+FROM bronze_customers""",
+    "text_products": """
+SELECT * REPLACE (CASE CAST(id_produit AS BIGINT) % 23 WHEN 0 THEN NULL WHEN 1 THEN 1e20 ELSE prix END AS prix)
+FROM bronze_products""",
+}
+
+
 # ── silver ───────────────────────────────────────────────────────────────
 
 def _dedup(src: str, key: list[str], cols: list[str], where: str = "TRUE") -> str:
@@ -246,6 +266,16 @@ SELECT id_canal, lower(trim(type)) AS type, trim(nom) AS nom, ville, region FROM
 }
 
 
+# the strict silver tables again, over the landed text
+for _t in ("sales", "customers", "products"):
+    for _level in ("t", "d", "silver"):
+        if f"{_level}_{_t}" in SILVER:
+            _sql = SILVER[f"{_level}_{_t}"]
+            for _below in (f"bronze_{_t}", f"t_{_t}", f"d_{_t}"):
+                _sql = _sql.replace(f"FROM {_below}", f"FROM text_{_t}" if _below[0] == "b" else f"FROM x{_below}")
+            TEXT[f"x{_level}_{_t}"] = _sql
+
+
 # ── gold ─────────────────────────────────────────────────────────────────
 
 def measures(qty: str = "total_quantite", alias: str = "s") -> str:
@@ -368,7 +398,7 @@ SELECT {cols}, annee, mois, trimestre, nb_commandes, total_quantite, chiffre_aff
 FROM (SELECT *, {prev} AS _prev FROM {src})"""
 
 
-CTES = {**BRONZE, **SILVER, **GOLD}
+CTES = {**BRONZE, **SILVER, **TEXT, **GOLD}
 
 
 def sql(select: str) -> str:
@@ -384,20 +414,31 @@ def _cols(*names: str) -> str:
 DAILY_COLS = ("date, annee, mois, semaine, trimestre, id_canal, type, canal_nom, nb_commandes, total_quantite, "
               "chiffre_affaires, panier_moyen, clients_uniques, total_remises, total_remises_brut")
 
-LOAD_TABLES = [("silver", t) for t in ("sales", "customers", "products", "returns", "stocks", "channels")] + [
+BRONZE_TABLES = ("sales", "customers", "products", "stocks", "returns", "channels")
+FEEDS = ("feed_nested", "feed_flat")
+LOAD_TABLES = [("bronze", t) for t in (*BRONZE_TABLES, *FEEDS)] + [("silver", t) for t in (*FEEDS, "sales_enriched")] + [
+    ("silver", t) for t in ("sales", "customers", "products", "returns", "stocks", "channels")] + [
     ("gold", t) for t in ("sales_daily", "sales_by_channel", "sales_by_region", "top_products",
                           "customer_basket", "return_rate", "sales_by_category", "customer_segments")]
 
 
+SALES_TEXT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in SALES_COLS)
+
+
 def _load_report() -> str:
     parts = []
     for layer, t in LOAD_TABLES:
-        src = f"silver_{t}" if layer == "silver" else f"g_{t}"
+        src = f"{layer}_{t}" if layer != "gold" else f"g_{t}"
+        if t in FEEDS:
+            src = "part"
+        if t == "sales_enriched":
+            src = "silver_sales"
         if t == "return_rate":
             src = "g_return_joined"
         if t == "sales_by_category":
             src = "g_category_brand"
-        parts.append(f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS rows, 'ok' AS status FROM {src}")
+        parts.append(f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS rows, 'ok' AS status, "
+                     f"CAST(0 AS BIGINT) AS corrupt_rows FROM {src}")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -446,7 +487,25 @@ FROM silver_sales s LEFT JOIN silver_channels c ON s.id_canal = c.id_canal""",
     "discount_total": f"""
 SELECT s.annee, s.mois, {fc(REM)} AS total_remises, {fc(REM_BRUT)} AS total_remises_brut
 FROM silver_sales s GROUP BY s.annee, s.mois""",
-    "fix_encoding": f"SELECT id_retour, motif, {fix_enc('motif')} AS motif_repare FROM bronze_returns",
+    "fix_encoding": f"SELECT id_client, ville, {fix_enc('ville')} AS ville_reparee FROM bronze_customers",
+    # code points below 256 are the bytes that the text was decoded from
+    "repair_mojibake": """
+SELECT id_retour, motif, CASE WHEN regexp_matches(motif, '[Â-ô][\u0080-¿]')
+  THEN coalesce(try(decode(unhex(array_to_string(list_transform(string_split(motif, ''), lambda c: printf('%02X', unicode(c))), '')))), motif)
+  ELSE motif END AS motif_repare
+FROM bronze_returns""",
+    **{name: f"SELECT {SALES_TEXT}, CAST(NULL AS VARCHAR) AS _corrupt_record, {source} AS source FROM bronze_sales"
+       for name, source in (("ingest_csv", "'sales'"),
+                            ("ingest_csv_incremental", "CASE WHEN date < DATE '1998-01-01' THEN '0' ELSE '1' END"))},
+    **{name: f"""
+SELECT CAST(p_partkey AS VARCHAR) AS id, ' ' || p_name || ' ' AS title, upper(p_type) AS category,
+       CAST(p_retailprice AS VARCHAR) AS price, CAST(NULL AS VARCHAR) AS _corrupt_record, {more}
+FROM part""" for name, more in (
+        ("ingest_json", "CAST((p_size % 50) / 10 AS VARCHAR) AS rating_rate, CAST(p_size * 7 AS VARCHAR) AS rating_count, "
+                        "'landing-feed-nested' AS source"),
+        ("ingest_json_envelope", "p_brand AS brand, CAST((p_size % 50) / 10 AS VARCHAR) AS rating, "
+                                 "CAST(p_size * 10 AS VARCHAR) AS stock, 'landing-feed-envelope' AS source"))},
+    **{f"clean_{t}_from_text": f"SELECT * FROM xsilver_{t}" for t in ("sales", "customers", "products")},
     # the feeds are landed as JSON derived from `part`; cleaned values only
     # depend on it (JSON keeps doubles exact through their shortest text)
     "clean_feed_nested": """

@@ -1,10 +1,13 @@
 """End-to-end run: bronze -> silver -> gold, with a load report.
 
-Silver tables are written and read back before gold is computed.  The
-written table cuts the lineage (a lost executor re-reads silver instead of
-recomputing bronze), and every gold table reads the same silver snapshot.
-Failures are isolated per table and summarised in the report, and the run
-then *fails* (``PipelineError``) so that a scheduler sees it.
+Every layer is written and read back before the next one: silver starts from
+the written bronze tables (with their lineage columns), gold from the written
+silver tables.  That cuts the lineage (a lost executor re-reads a table instead
+of recomputing the layers below), and all tables of a layer see one snapshot.
+Failures are isolated per table and summarised with their message in the
+report, and the run then *fails* (``PipelineError``) so that a scheduler sees
+it.  Tables are published only when complete (``sources.sinks``), so the last
+good version of a failed table stays readable.
 """
 
 from __future__ import annotations
@@ -15,12 +18,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tidemark.operators import gold
-from tidemark.operators.silver import CLEANERS
+from tidemark.operators.enrich import enrich_sales
+from tidemark.operators.silver import CLEANERS, clean_feed_flat, clean_feed_nested
 from tidemark.session import new_run_dir
 from tidemark.sources import fixtures
-from tidemark.sources.sinks import write_table
+from tidemark.sources.files import CORRUPT
+from tidemark.sources.sinks import write_counted
 
 SILVER_PARTITIONS = {"sales": ["annee", "mois"]}
+FEED_CLEANERS = {"feed_nested": clean_feed_nested, "feed_flat": clean_feed_flat}
+AUDIT = ("_updated_at", "_ingested_at", "_source_file")
 
 # gold table -> (builder, silver inputs, partition columns)
 GOLD_TABLES = {
@@ -39,6 +46,7 @@ REPORT_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("rows", T.LongType()),
     T.StructField("status", T.StringType()),
+    T.StructField("corrupt_rows", T.LongType()),
 ])
 
 
@@ -52,43 +60,57 @@ class PipelineError(RuntimeError):
 def run_pipeline(spark: SparkSession, sf_dir: str | None = None, out: str | None = None,
                  bronze: dict[str, DataFrame] | None = None, profile: str = "strict",
                  as_of=None, parallel_jobs: int = 4) -> DataFrame:
-    """Build all silver and gold tables under ``out``; return the load report.
+    """Build all tables under ``out``; return the load report.
 
-    Tables of one layer are independent, so their writes are submitted as
-    concurrent Spark jobs (``parallel_jobs`` at a time): small tables no longer
-    leave most executors idle while they run one after another.
+    ``bronze`` holds the six raw tables and, optionally, the two product feeds;
+    by default they are derived from the test tables of ``sf_dir``.  Tables of
+    one layer are independent, so their writes are submitted as concurrent Spark
+    jobs (``parallel_jobs`` at a time): small tables no longer leave most
+    executors idle while they run one after another.
     """
     out = (out or new_run_dir(spark, "pipeline")).rstrip("/")
     if bronze is None:
-        bronze = fixtures.bronze_tables(spark, sf_dir)
+        bronze = {**fixtures.bronze_tables(spark, sf_dir), "feed_nested": fixtures.feed_nested(spark, sf_dir),
+                  "feed_flat": fixtures.feed_flat(spark, sf_dir)}
 
-    def attempt(layer: str, name: str, build, partition_by) -> tuple:
+    def attempt(layer: str, name: str, build, partition_by, audit="_updated_at") -> tuple:
         try:
-            n = write_table(build(), f"{out}/{layer}/{name}", partition_by)
-            return (layer, name, n, "ok")
+            n, corrupt = write_counted(build(), f"{out}/{layer}/{name}", partition_by, audit)
+            return (layer, name, n, "ok", corrupt)
         except Exception as e:  # isolate, report, fail at the end
-            return (layer, name, None, f"failed: {type(e).__name__}")
+            return (layer, name, None, f"failed: {type(e).__name__}: {str(e).strip()[:500]}", None)
 
     def run_layer(tasks: list[tuple]) -> list[tuple]:
         with ThreadPoolExecutor(max_workers=max(1, parallel_jobs)) as pool:
             return list(pool.map(lambda t: attempt(*t), tasks))
 
-    rows = run_layer([("silver", name, (lambda c=clean, n=name: c(bronze[n], profile)),
-                       SILVER_PARTITIONS.get(name, [])) for name, clean in CLEANERS.items()])
-    silver = {name: spark.read.parquet(f"{out}/silver/{name}").drop("_updated_at")
-              for layer, name, n, status in rows if status == "ok"}
+    def written(rows: list[tuple]) -> dict[str, DataFrame]:
+        return {name: spark.read.parquet(f"{out}/{layer}/{name}") for layer, name, _, status, _ in rows if status == "ok"}
+
+    def with_skipped(layer: str, names, done: list[tuple]) -> list[tuple]:
+        found = {r[1]: r for r in done}
+        return [found.get(n, (layer, n, None, "skipped: input failed", None)) for n in names]
+
+    landed = run_layer([("bronze", name, (lambda f=df: f), [], None if "_ingested_at" in df.columns else "_ingested_at")
+                        for name, df in bronze.items()])
+    raw = {name: df.drop(*AUDIT) for name, df in written(landed).items()}
+    cleaners = {name: (lambda c=clean, n=name: c(raw[n], profile)) for name, clean in CLEANERS.items()}
+    cleaners |= {name: (lambda c=clean, n=name: c(raw[n])) for name, clean in FEED_CLEANERS.items() if name in bronze}
+    cleaned = with_skipped("silver", cleaners, run_layer(
+        [("silver", name, build, SILVER_PARTITIONS.get(name, [])) for name, build in cleaners.items() if name in raw]))
+    silver = {name: df.drop(*AUDIT, CORRUPT) for name, df in written(cleaned).items()}
+
+    builders = {name: ("gold", *spec) for name, spec in GOLD_TABLES.items()}
+    builders["sales_enriched"] = ("silver", enrich_sales, ("sales", "channels"), ["annee", "mois"])
     tasks = []
-    for name, (build, inputs, parts) in GOLD_TABLES.items():
-        if not all(i in silver for i in inputs):
-            continue
-        kwargs = {"as_of": as_of} if name == "customer_basket" else {}
-        tasks.append(("gold", name, (lambda b=build, i=inputs, k=kwargs: b(*[silver[x] for x in i], **k)),
-                      parts))
-    done = {r[1]: r for r in run_layer(tasks)}
-    for name, (build, inputs, parts) in GOLD_TABLES.items():
-        rows.append(done.get(name, ("gold", name, None, "skipped: input failed")))
-
-    failed = [f"{layer}.{name}" for layer, name, n, status in rows if status != "ok"]
+    for name, (layer, build, inputs, parts) in builders.items():
+        if all(i in silver for i in inputs):
+            kwargs = {"as_of": as_of} if name == "customer_basket" else {}
+            tasks.append((layer, name, (lambda b=build, i=inputs, k=kwargs: b(*[silver[x] for x in i], **k)), parts))
+    done = run_layer(tasks)
+    rows = landed + cleaned + with_skipped("silver", ["sales_enriched"], done) + with_skipped("gold", GOLD_TABLES, done)
+
+    failed = [f"{layer}.{name}" for layer, name, _, status, _ in rows if status != "ok"]
     report = spark.createDataFrame(rows, REPORT_SCHEMA)
     if failed:
         raise PipelineError(failed, report)

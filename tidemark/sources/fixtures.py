@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.money import cents, idiv
+from tidemark.session import new_run_dir
+from tidemark.sources import files
 
 # Declared layout of the test tables (FIXTURES.md §2).  Reading with a
 # declared schema skips the footer-reading job that schema inference runs for
@@ -63,17 +65,19 @@ def bronze_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     qty = F.col("l_quantity").cast("bigint")
     ext = cents("l_extendedprice")
     disc = F.round(F.col("l_discount") * 100).cast("int")
+    order = F.col("l_orderkey")
     return j.select(
-        _str(F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id_vente"),
-        _str(F.col("o_custkey")).alias("id_client"),
-        _str(F.col("l_partkey")).alias("id_produit"),
+        F.when(order % 1009 != 0, _str(order * 10 + F.col("l_linenumber"))).alias("id_vente"),
+        F.when(order % 97 != 0, _str(F.col("o_custkey"))).alias("id_client"),
+        F.when(order % 101 != 0, _str(F.col("l_partkey"))).alias("id_produit"),
         _str(F.col("l_suppkey")).alias("id_canal"),
         F.col("o_orderdate").cast("date").alias("date"),
-        F.col("l_quantity").cast("int").alias("quantite"),
+        F.when(order % 89 == 0, -F.col("l_quantity").cast("int")).otherwise(F.col("l_quantity").cast("int")).alias("quantite"),
         _money(F.when(qty > 0, idiv(ext, qty))).alias("prix_unitaire"),
         F.when(F.col("l_linenumber") == 7, F.lit(None).cast("int"))
         .otherwise(disc).alias("remise_pct"),
-        _money(idiv(ext * 2 * (100 - disc) + 100, F.lit(200))).alias("montant"),
+        _money(F.when(order % 83 == 0, F.lit(0).cast("bigint"))
+               .otherwise(idiv(ext * 2 * (100 - disc) + 100, F.lit(200)))).alias("montant"),
         F.when(F.col("o_orderstatus") == "F", " Livré ")
         .when(F.col("o_orderstatus") == "P", "LivrÃ©")
         .otherwise("EN COURS").alias("statut"),
@@ -103,16 +107,18 @@ def bronze_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         _str(key).alias("id_client"),
         F.col("c_name").alias("nom"),
-        F.lit(None).cast("string").alias("prenom"),
+        F.concat(F.lit(" "), F.lower("c_name")).alias("prenom"),
         F.when(key % 50 == 0, F.lit(None).cast("string"))
         .otherwise(F.concat(F.lit(" "), F.upper("c_name"), F.lit("@EX.COM ")))
         .alias("email"),
-        F.lit(None).cast("string").alias("telephone"),
-        F.col("n_name").alias("ville"),
+        F.concat(F.lit("06 12  "), _str(key), F.lit(" ")).alias("telephone"),
+        F.when(key % 13 == 0, 'FÃ"s').when(key % 13 == 1, "MarrakÃ©ch").when(key % 13 == 2, "KhÃ©misset")
+        .when(key % 13 == 3, "LÃ -bas").otherwise(F.col("n_name")).alias("ville"),
         F.col("r_name").alias("region"),
-        F.col("c_mktsegment").alias("segment"),
-        F.lit(None).cast("string").alias("genre"),
-        F.lit(None).cast("date").alias("date_inscription"),
+        F.when(key % 7 == 0, " PREMIUM").when(key % 7 == 1, "vip").when(key % 7 == 2, "Standard ")
+        .otherwise(F.col("c_mktsegment")).alias("segment"),
+        F.when(key % 3 == 0, " f").when(key % 3 == 1, "M ").alias("genre"),
+        F.date_add(F.lit("2015-01-01").cast("date"), (key % 3000).cast("int")).alias("date_inscription"),
         F.when(key % 11 == 0, F.lit(None).cast("int"))
         .otherwise((key % 80 + 10).cast("int")).alias("age"),
     )
@@ -124,11 +130,12 @@ def bronze_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(
         _str(F.col("p_partkey")).alias("id_produit"),
         F.col("p_name").alias("nom_produit"),
-        F.col("p_type").alias("categorie"),
+        F.when(F.col("p_partkey") % 17 == 0, "A%olectronique").when(F.col("p_partkey") % 17 == 1, "Ã©lectronique")
+        .otherwise(F.col("p_type")).alias("categorie"),
         F.col("p_brand").alias("marque"),
         _money(F.when(F.col("p_size") == 50, F.lit(0).cast("bigint")).otherwise(scaled)).alias("prix"),
         _money(idiv(scaled * (F.col("p_size") + 40), F.lit(100))).alias("prix_achat"),
-        F.lit(None).cast("double").alias("poids_kg"),
+        (F.col("p_size").cast("double") / 10).alias("poids_kg"),
         (F.col("p_size") * 10).cast("int").alias("stock_initial"),
     )
 
@@ -143,7 +150,8 @@ def bronze_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
         _money(cents("l_extendedprice")).alias("montant_rembourse"),
         F.when(F.col("l_linestatus") == "F", "ArrivÃ© endommagÃ©")
         .otherwise(" Mauvais produit ").alias("motif"),
-        F.lit(None).cast("string").alias("statut_retour"),
+        F.when(F.col("l_linenumber") % 4 == 0, "remboursÃ©").when(F.col("l_linenumber") % 4 == 1, "remboursÃ@")
+        .when(F.col("l_linenumber") % 4 == 2, "refusÃ").alias("statut_retour"),
     )
 
 
@@ -176,5 +184,65 @@ BRONZE_BUILDERS = {
 }
 
 
+# ── the same tables as landed text: columns in another order, numbers and dates as careless exports write them ──
+
+def as_text(name: str, df: DataFrame) -> DataFrame:
+    """``df`` as all text, columns reversed, with values that typing has to mend or reject."""
+    out = df.select(*[_str(F.col(c)).alias(c) for c in reversed(df.columns)])
+    key = F.col(df.columns[0]).cast("bigint")
+    if name == "sales":
+        return out.withColumns({
+            "quantite": F.concat("quantite", F.lit(".0")),
+            "date": F.when(key % 29 == 0, "2020-13-45").otherwise(F.col("date")),
+            "montant": F.when(key % 31 == 0, "NaN").otherwise(F.col("montant"))})
+    if name == "customers":
+        return out.withColumns({
+            "age": F.concat("age", F.lit(".0")),
+            "date_inscription": F.when(key % 19 == 0, "n/a").otherwise(F.col("date_inscription"))})
+    if name == "products":
+        return out.withColumn("prix", F.when(key % 23 == 0, "Infinity").when(key % 23 == 1, "1e20").otherwise(F.col("prix")))
+    return out
+
+
+def land_csv(spark: SparkSession, df: DataFrame, path: str) -> str:
+    """Write ``df`` as CSV files with a header, values as they are."""
+    (df.select(*[_str(F.col(c)).alias(c) for c in df.columns]).write.mode("overwrite").option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
+# ── product feeds, landed as JSON ────────────────────────────────────────
+
+def _feed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read_table(spark, sf_dir, "part")
+    return p.select(
+        F.col("p_partkey").alias("id"),
+        F.concat(F.lit(" "), F.col("p_name"), F.lit(" ")).alias("title"),
+        F.upper("p_type").alias("category"),
+        F.col("p_brand").alias("brand"),
+        F.col("p_retailprice").alias("price"),
+        F.struct((F.col("p_size") % 50 / 10).alias("rate"),
+                 (F.col("p_size") * 7).alias("count")).alias("rating"),
+        (F.col("p_size") * 10).alias("stock"),
+    )
+
+
+def feed_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed whose rating is a record, landed and read back."""
+    path = new_run_dir(spark, "landing-feed-nested")
+    _feed_records(spark, sf_dir).drop("brand", "stock").write.mode("overwrite").json(path)
+    return files.ingest_json(spark, path)
+
+
+def feed_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed in envelopes: one ``{"products": [...]}`` document per 100 consecutive product ids."""
+    path = new_run_dir(spark, "landing-feed-envelope")
+    rec = _feed_records(spark, sf_dir).withColumn("rating", F.col("rating.rate"))
+    docs = rec.groupBy(F.floor(F.col("id") / 100).alias("_doc")).agg(
+        F.collect_list(F.struct(*[c for c in rec.columns])).alias("products"))
+    docs.select("products").write.mode("overwrite").json(path)
+    return files.ingest_json_envelope(spark, path, multi_line=False)
+
+
 def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: build(spark, sf_dir) for name, build in BRONZE_BUILDERS.items()}

@@ -68,6 +68,3 @@ FEED_FLAT_RECORD = T.StructType([
     T.StructField("rating", T.StringType()),
     T.StructField("stock", T.StringType()),
 ])
-FEED_FLAT_ENVELOPE = T.StructType([
-    T.StructField("products", T.ArrayType(FEED_FLAT_RECORD)),
-])

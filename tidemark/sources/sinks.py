@@ -1,8 +1,8 @@
 """Table writers.
 
-* Full refresh: ``mode("overwrite")`` replaces data and schema of the path
-  (with a transactional table format the same frame goes to
-  ``writeTo(...).createOrReplace()``).
+* Full refresh: the new table is written beside the old one and published by
+  renaming only when it is complete, so a failed run leaves the old table as it
+  was.  ``write_catalog_table`` does the same refresh in the session's catalog.
 * Partitioned layout: rows are rebalanced on the partition columns before
   the write (``rebalance`` hint): rows of one partition value are grouped so
   few files are written per value, and AQE splits an oversized value (a hot
@@ -17,17 +17,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import new_run_dir
+from tidemark.session import new_run_dir, remove_dir
+from tidemark.sources.files import CORRUPT
 
 
-def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
-                audit_column: str | None = "_updated_at", compression: str = "snappy") -> int:
-    """Write ``df`` to ``path`` as parquet (full refresh); return the row count."""
+def _prepared(df: DataFrame, partition_by: Sequence[str], audit_column: str | None) -> DataFrame:
     if audit_column:
         df = df.withColumn(audit_column, F.current_timestamp())
     if partition_by:
@@ -38,13 +38,70 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
         # no sampling pass.  The sort satisfies the writer's own ordering
         # requirement, so it replaces (not adds) a sort.
         df = df.hint("rebalance", *partition_by).sortWithinPartitions(*order)
+    return df
+
+
+def write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+                  audit_column: str | None = "_updated_at", compression: str = "snappy") -> tuple[int, int]:
+    """Write ``df`` to ``path`` as parquet (full refresh); return its rows, and those that could not be parsed."""
+    df = _prepared(df, partition_by, audit_column)
     obs = Observation()
-    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    corrupt = F.count(F.col(CORRUPT) if CORRUPT in df.columns else F.lit(None))
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"), corrupt.alias("corrupt"))
+    new = f"{path.rstrip('/')}.new-{uuid.uuid4().hex[:12]}"
     w = df.write.mode("overwrite").option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return int(obs.get["rows"])
+    try:
+        w.parquet(new)
+    except Exception:
+        remove_dir(df.sparkSession, new)
+        raise
+    _publish(df.sparkSession, new, path)
+    return int(obs.get["rows"]), int(obs.get["corrupt"] or 0)
+
+
+def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+                audit_column: str | None = "_updated_at", compression: str = "snappy") -> int:
+    """Write ``df`` to ``path`` as parquet (full refresh); return the row count."""
+    return write_counted(df, path, partition_by, audit_column, compression)[0]
+
+
+def _publish(spark: SparkSession, new: str, path: str) -> None:
+    """Put a complete table in the place of the old one, which is deleted last."""
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    fs = p(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = p(f"{new}.old")
+    replaced = fs.exists(p(path)) and fs.rename(p(path), old)
+    if not fs.rename(p(new), p(path)):
+        if replaced:
+            fs.rename(old, p(path))
+        raise OSError(f"could not publish {path}")
+    if replaced:
+        fs.delete(old, True)
+
+
+def write_catalog_table(df: DataFrame, name: str, partition_by: Sequence[str] = (), path: str | None = None,
+                        audit_column: str | None = "_updated_at") -> None:
+    """Full refresh of ``schema.table`` in the session's catalog, creating the schema.
+
+    With ``path`` the table's files lie there instead of in the warehouse.
+    """
+    spark = df.sparkSession
+    schema = name.rpartition(".")[0]
+    if schema:
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
+    w = _prepared(df, partition_by, audit_column).write.mode("overwrite").format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
+
+
+def list_layer(spark: SparkSession, schema: str) -> list[str]:
+    """The tables of a layer in the session's catalog."""
+    return sorted(t.name for t in spark.catalog.listTables(schema) if not t.isTemporary)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """Landing folder -> bronze table, incrementally.
 
 The batch ingestion (``sources.files.ingest_csv``) re-reads every landed file
-on each run.  Here the same read (declared schema, header, malformed lines
+on each run.  Here the same read (columns by the header's names, malformed lines
 kept in ``_corrupt_record``, lineage columns) is a file-source stream:
 
 * ``trigger(availableNow=True)`` processes whatever has landed since the last
@@ -13,36 +13,32 @@ kept in ``_corrupt_record``, lineage columns) is a file-source stream:
   never see a half-written batch.
 
 The checkpoint belongs in shared storage; by default it goes under the
-session's ``spark.checkpoint.dir``.
+session's ``spark.checkpoint.dir``, by landing folder and target.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.session import scratch_dir
 from tidemark.sources import schemas
-from tidemark.sources.files import CORRUPT, _with_corrupt
+from tidemark.sources.files import by_name, csv_columns, csv_reader
 
 
 def ingest_landing(spark: SparkSession, table: str, landing_dir: str, bronze_dir: str,
                    checkpoint_dir: str | None = None, max_files_per_trigger: int | None = None,
                    ) -> StreamingQuery:
     """Start an available-now stream from ``landing_dir`` (CSV) into ``bronze_dir`` (parquet)."""
-    reader = (spark.readStream.schema(_with_corrupt(schemas.BRONZE[table]))
-              .option("header", True)
-              .option("encoding", "UTF-8")
-              .option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", CORRUPT))
+    reader = csv_reader(spark.readStream, csv_columns(spark, landing_dir))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(landing_dir).withColumns({
-        "_ingested_at": F.current_timestamp(),
-        "_source_file": F.col("_metadata.file_path"),
-    })
-    ckpt = checkpoint_dir or f"{scratch_dir(spark)}/streams/{table}"
+    stream = by_name(reader.csv(landing_dir), schemas.BRONZE[table])
+    # one checkpoint per source and target: a second target starts from the beginning
+    key = hashlib.sha256(f"{landing_dir}\n{bronze_dir}".encode()).hexdigest()[:16]
+    ckpt = checkpoint_dir or f"{scratch_dir(spark)}/streams/{table}-{key}"
     return (stream.writeStream.format("parquet")
             .option("checkpointLocation", ckpt)
             .trigger(availableNow=True)
@@ -52,8 +48,18 @@ def ingest_landing(spark: SparkSession, table: str, landing_dir: str, bronze_dir
 def run_landing_once(spark: SparkSession, table: str, landing_dir: str, bronze_dir: str,
                      checkpoint_dir: str | None = None) -> int:
     """Ingest what has landed, wait for completion, return the rows ingested in this run."""
+    before = _rows(spark, bronze_dir)
     q = ingest_landing(spark, table, landing_dir, bronze_dir, checkpoint_dir)
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+    return _rows(spark, bronze_dir) - before
+
+
+def _rows(spark: SparkSession, bronze_dir: str) -> int:
+    """Committed rows (from the files' footers); 0 if nothing was written yet."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(bronze_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{bronze_dir}/_spark_metadata")):
+        return 0
+    return spark.read.parquet(bronze_dir).count()
