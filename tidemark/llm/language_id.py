@@ -31,13 +31,15 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import groups
+from .common import saved
 
 ORDER = 5
-MAX_GRAMS = 800_000       # n-grams in all models together
+MAX_GRAMS = 400_000       # n-grams in all models together
 MAX_WORD = 64             # letters; longer runs of letters are cut
 FLUSH_WORDS = 200_000     # distinct words that a task counts before it emits n-grams
 CACHE_WORDS = 300_000
@@ -87,6 +89,14 @@ def _hashes(points: np.ndarray, orders: int) -> list[np.ndarray]:
     return out
 
 
+def _distinct(hashes: list[np.ndarray], at: np.ndarray, before: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of the longest n-grams (up to ``order``) that end at ``at``: the place of each one's first, and each place's n-gram."""
+    k = np.minimum(before[at] + 1, order)
+    h = np.choose(k - 1, [x[at] for x in hashes]) * np.uint64(8) + k.astype(np.uint64)
+    _, first, group = np.unique(h, return_index=True, return_inverse=True)
+    return first, group
+
+
 def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, missing: float) -> np.ndarray:
     if not len(keys):
         return np.full(len(wanted), missing)
@@ -166,9 +176,13 @@ class Scorer:
 
     def _learn(self, words: list[str]) -> None:
         _, points, word, before = _flat(_cut(words))
-        hashes = _hashes(points, max((len(m.grams) for m in self.models), default=1))
+        order = max((len(m.grams) for m in self.models), default=1)
+        hashes = _hashes(points, order)
         at = np.flatnonzero(before)
-        scores = [np.bincount(word[at], m.log_probs(hashes, at, before[at]), len(words)) for m in self.models]
+        # a letter's probability depends on its n-gram only, and n-grams repeat: each is looked up once
+        first, gram = _distinct(hashes, at, before, order)
+        once = at[first]
+        scores = [np.bincount(word[at], m.log_probs(hashes, once, before[once])[gram], len(words)) for m in self.models]
         first = len(self._index)
         self._index.update(zip(words, range(first, first + len(words))))
         self._scores = np.concatenate([self._scores, np.stack([*scores, np.bincount(word[at], minlength=len(words))], axis=1)])
@@ -241,10 +255,10 @@ def _count(order: int):
             n = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [min(len(w), MAX_WORD) + 2 for w in words])
             hashes = _hashes(points, order)
             at = np.flatnonzero(before)
-            k = np.minimum(before[at] + 1, order)
-            h = np.choose(k - 1, [x[at] for x in hashes]) * np.uint64(8) + k.astype(np.uint64)
-            _, first, group = np.unique(h, return_index=True, return_inverse=True)
-            grams = [text[p - size + 1:p + 1] for p, size in zip(at[first].tolist(), k[first].tolist())]
+            first, group = _distinct(hashes, at, before, order)
+            once = at[first]
+            sizes = np.minimum(before[once] + 1, order)
+            grams = [text[p - size + 1:p + 1] for p, size in zip(once.tolist(), sizes.tolist())]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()),
                  pa.array(np.rint(np.bincount(group, n[at])).astype(np.int64))], ["lang", "gram", "n"])
@@ -265,7 +279,8 @@ def _count(order: int):
 def _grams(rows: DataFrame, order: int, max_grams: int) -> dict[str, dict[int, tuple[list[str], np.ndarray]]]:
     """Of rows (text, lang): the most frequent n-grams and their Kneser-Ney counts, by language and order."""
     counted = rows.mapInArrow(_count(order), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    counted = counted.withColumn("k", F.length("gram"))
+    # written once: every order below reads it
+    counted = saved(counted.withColumn("k", F.length("gram")), "language-grams")
     level = counted.where(F.col("k") == order)
     levels = [level]
     for k in range(order - 1, 0, -1):
@@ -276,14 +291,17 @@ def _grams(rows: DataFrame, order: int, max_grams: int) -> dict[str, dict[int, t
     everything = levels[0]
     for level in levels[1:]:
         everything = everything.unionByName(level)
-    langs = [r.lang for r in rows.select("lang").distinct().limit(max_grams // order).collect()]
-    each = max(1, max_grams // max(1, len(langs) * order))
+    langs = counted.select("lang").distinct().count()
+    each = max(1, max_grams // max(1, langs * order))
     ranked = everything.withColumn("rank", F.row_number().over(
         Window.partitionBy("lang", "k").orderBy(F.desc("n"), "gram"))).where(F.col("rank") <= each)
     out: dict = {}
-    found = ranked.select("lang", "k", "gram", "n").toPandas()
-    for (lang, k), part in found.groupby(["lang", "k"]):
-        out.setdefault(lang, {})[int(k)] = (part["gram"].tolist(), part["n"].to_numpy())
+    found = ranked.select("lang", "k", "gram", "n").toArrow()  # ``max_grams`` rows at most
+    for lang in found["lang"].unique().to_pylist():
+        for k in range(1, order + 1):
+            part = found.filter(pc.and_(pc.equal(found["lang"], lang), pc.equal(found["k"], k)))
+            if len(part):
+                out.setdefault(lang, {})[k] = (part["gram"].to_pylist(), part["n"].to_numpy())
     return out
 
 
