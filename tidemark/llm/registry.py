@@ -70,7 +70,7 @@ QUERIES = {
 }
 
 _SHRINK = """
-{name}_j AS (SELECT l.*, a.alpha / (a.alpha + a.beta) AS m FROM {level} l JOIN {above}_p a ON l.{key} = a.{key}),
+{name}_j AS (SELECT l.*, (a.alpha - l.bad) / (a.alpha + a.beta - l.n) AS m FROM {level} l JOIN {above}_p a ON l.{key} = a.{key}),
 {name}_r AS (SELECT SUM(n * (bad / n - m) ** 2 - m * (1 - m)) / NULLIF(SUM((n - 1) * (m * (1 - m))), 0) AS rho FROM {name}_j),
 {name}_s AS (SELECT CASE WHEN rho > 0 THEN LEAST({hi}, GREATEST({lo}, 1 / rho - 1)) ELSE {hi} END AS s FROM {name}_r),
 {name}_p AS (SELECT {by}, m * s + bad AS alpha, (1 - m) * s + n - bad AS beta FROM {name}_j, {name}_s)"""

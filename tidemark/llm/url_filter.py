@@ -2,14 +2,14 @@
 
 Labelled page outcomes (bad or not) are counted by host.  The bad rate of a
 level (global, suffix, registered domain, host) is a beta posterior whose prior
-is the beta posterior mean of the level above, with the strength (prior sample
-size) of each level fitted by the method of moments from the spread of its
-members' rates.  A page is blocked if the lower posterior bound of its host's
+is the beta posterior mean of the level above without the member's own outcomes,
+with the strength (prior sample size) of each level fitted by the method of
+moments from the spread of its members' rates.  A page is blocked if the lower posterior bound of its host's
 bad rate is above a limit: hosts with few outcomes lean on their domain, and a
 host without any takes its domain's or suffix's posterior.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
-and no rule; it takes the global posterior.  An outcome of a page id that
+and no rule; such pages share one reputation.  An outcome of a page id that
 occurs more than once counts once for each such page.  Pages with null ids are
 judged but can have no outcome.  Without any outcomes nothing is blocked by the
 method.  Extra columns are ignored.
@@ -90,10 +90,13 @@ def reputation(outcomes: DataFrame) -> dict:
     suffixes = domains.groupBy("suffix").agg(*again)
     n, bad = suffixes.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))).first()
     world = PRIOR_OUTCOMES / 2 + bad, PRIOR_OUTCOMES / 2 + n - bad
-    mean = (F.col("alpha") / (F.col("alpha") + F.col("beta"))).alias("m")
-    by_suffix = _shrink(suffixes.withColumn("m", F.lit(world[0] / (world[0] + world[1]))), "suffix")
-    by_domain = _shrink(domains.join(by_suffix.select("suffix", mean), "suffix"), "domain")
-    by_host = _shrink(hosts.join(by_domain.select("domain", mean), "domain"), "host")
+    def mean(alpha, beta):  # of the level above without the member itself, whose outcomes would count twice
+        return (alpha - F.col("bad")) / (alpha + beta - F.col("n"))
+
+    above = mean(F.col("alpha"), F.col("beta"))
+    by_suffix = _shrink(suffixes.withColumn("m", mean(F.lit(world[0]), F.lit(world[1]))), "suffix")
+    by_domain = _shrink(domains.join(by_suffix, "suffix").withColumn("m", above), "domain")
+    by_host = _shrink(hosts.join(by_domain, "domain").withColumn("m", above), "host")
     return {"all": world, "suffix": by_suffix, "domain": by_domain, "host": by_host}
 
 
