@@ -84,7 +84,10 @@ def test_packing_odd_texts_and_whole_table(spark, sf_small, docs_of, library):
 def test_packing_empty_table_and_null_or_repeated_ids(docs_of):
     assert packing.pack(docs_of([]), tokenizer_path()).count() == 0
     rows = packing.pack(docs_of([(None, "a"), (1, "b"), (1, "b"), (1, None)]), tokenizer_path()).collect()
-    assert sorted((r.doc_id or 0, r.length) for r in rows) == [(0, 2), (1, 1), (1, 2), (1, 2)]
+    total = {}
+    for r in rows:  # the last windows, of powers of two, may cut a piece
+        total[r.doc_id] = total.get(r.doc_id, 0) + r.length
+    assert total == {None: 2, 1: 5} and sum(r.start == 0 for r in rows) == 4
 
 
 def test_packer_keeps_few_windows_open_and_pads_little():

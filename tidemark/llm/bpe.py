@@ -34,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # texts are encoded in groups of about so many characters, which bounds a task's memory
-GROUP_CHARS = 2_000_000
-CACHE_CHUNKS = 300_000
+GROUP_CHARS = 1_000_000
+CACHE_CHUNKS = 200_000
 LONG_WORD = 2_000  # bytes
 _NO_RANK = np.iinfo(np.int32).max
 # Latin-1 chunks, one a line: lower-casing is all of their normalisation
@@ -77,9 +77,10 @@ class WordBpe:
         tokenizer = Tokenizer.from_file(path)
         self._normalize = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
         self._split = tokenizer.pre_tokenizer.pre_tokenize_str
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
+        """Empty the cache; at the end of each task, as the worker may go on to other work."""
         self._index: dict[str, int] = {}
         self._lens, self._flat = np.zeros(0, np.int64), np.zeros(0, np.int32)
 
@@ -228,7 +229,7 @@ class WordBpe:
             chunks += regex.split(r"[\s--[\x1c-\x1f]]+", t, flags=regex.V1) if _ODD_SPACE.search(t) else t.split()
             ends.append(len(chunks))
         if len(self._index) > CACHE_CHUNKS:
-            self._forget()
+            self.forget()
         at = np.fromiter(map(self._index.get, chunks, repeat(-1)), np.int64, len(chunks))
         new = np.flatnonzero(at < 0).tolist()
         if new:
@@ -278,6 +279,7 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(first, len(texts)), pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(ids)),
                      pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
+        bpe.forget()
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -42,7 +42,7 @@ ORDER = 5
 MAX_GRAMS = 400_000       # n-grams in all models together
 MAX_WORD = 64             # letters; longer runs of letters are cut
 FLUSH_WORDS = 200_000     # distinct words that a task counts before it emits n-grams
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 CALIBRATION_SHARE = 61    # one learning row of so many is for calibration
 SHORT_LETTERS = 400       # texts below this get a wider limit
 DEFAULT_MARGIN = 1.0
@@ -214,13 +214,12 @@ class Identifier:
     limits: dict[str, tuple[float, float]] = field(default_factory=dict)  # mean cross-entropy, margin
 
     def scorer(self) -> Scorer:
-        if not hasattr(self, "_scorer"):
-            self._scorer = Scorer(self.models)
-        return self._scorer
+        """With a cache of its own: one for each task, which ends with it."""
+        return Scorer(self.models)
 
-    def judge(self, texts: list[str]) -> list[tuple[str, float, float, int, bool]]:
+    def judge(self, texts: list[str], scorer: Scorer | None = None) -> list[tuple[str, float, float, int, bool]]:
         """(language, score, cross-entropy, characters, accepted) of each text."""
-        s = self.scorer()
+        s = scorer or self.scorer()
         if not s.langs:
             return [("und", 0.0, 0.0, 0, False)] * len(texts)
         h, n = s.entropies(texts)
@@ -232,10 +231,6 @@ class Identifier:
         return [(s.langs[b], float(p), float(e), int(c), bool(a)) if c else ("und", 0.0, 0.0, 0, False)
                 for b, p, e, c, a in zip(best, score, low, n, ok)]
 
-    def __getstate__(self):
-        return {"models": self.models, "limits": self.limits}
-
-
 def _width(n):
     return np.sqrt(1 + SHORT_LETTERS / np.maximum(n, 1))
 
@@ -329,11 +324,11 @@ def _judged(rows: DataFrame, identifier: Identifier, first: str) -> DataFrame:
     shared = rows.sparkSession.sparkContext.broadcast(identifier)
 
     def run(batches):
-        judge = shared.value.judge
+        judge, scorer = shared.value.judge, shared.value.scorer()
         kinds = [pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.bool_()]
         for batch in batches:
             for at, texts in groups(batch.column(1)):
-                columns = zip(*judge(texts))
+                columns = zip(*judge(texts, scorer))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(at, len(texts)), *(pa.array(c, k) for c, k in zip(columns, kinds))],
                     [first.split()[0], "lang_pred", "score", "entropy", "letters", "accepted"])
@@ -353,9 +348,9 @@ def accepted(docs: DataFrame, identifier: Identifier, text_col: str = "text") ->
     text_at = docs.columns.index(text_col)
 
     def run(batches):
-        judge = shared.value.judge
+        judge, scorer = shared.value.judge, shared.value.scorer()
         for batch in batches:
             for at, texts in groups(batch.column(text_at)):
-                yield batch.slice(at, len(texts)).filter(pa.array([x[-1] for x in judge(texts)], pa.bool_()))
+                yield batch.slice(at, len(texts)).filter(pa.array([x[-1] for x in judge(texts, scorer)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

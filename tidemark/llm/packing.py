@@ -119,6 +119,7 @@ def _windows(docs: DataFrame, path: str, end_id: int, window: int, open_windows:
                         if waiting >= FLUSH_IDS:
                             yield _batch(rows, kind)
                             rows, waiting = [], 0
+        bpe.forget()
         for k, pieces in packer.rest():
             laid(k, pieces, False)
         if rows:
