@@ -26,7 +26,8 @@ def components(links: DataFrame) -> DataFrame:
     before, now = None, _state(links)
     while now != before:
         both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(links.select("lo", "hi"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # written before it is joined: adaptive execution splits a hot key only between plain exchanges
+        least = saved(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "links-least")
         # large star: the larger neighbours of each node go to its smallest
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         # small star: a node and its smaller neighbours go to the smallest of them

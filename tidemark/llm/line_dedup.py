@@ -112,11 +112,13 @@ def _text_hash(text_col: str) -> Column:
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, text_hash, runs (array of first, last), sources (ids of the documents with the earliest copies)."""
     selected = saved(fingerprints(docs, id_col, text_col, min_words), "winnowing")
-    shared = selected.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp")
+    # counts are written before they are joined: adaptive execution splits a hot key only between plain exchanges
+    shared = saved(selected.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fp"), "winnowing-repeated")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "first").alias("place")
     found = saved(selected.join(shared, "fp", "left_semi").select("doc_id", "text_hash", F.explode("windows").alias("w"))
                   .select("doc_id", "text_hash", "w.*"), "winnowing-shared")
     earliest = found.groupBy("digest").agg(F.min(place).alias("source"), F.max(place).alias("latest")).where("latest > source")
+    earliest = saved(earliest.select("digest", "source"), "winnowing-earliest")
     later = found.withColumn("place", place).join(earliest, "digest").where("place > source")
     runs = later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("first", "last")).alias("runs"),
                                                     F.collect_set("source.doc_id").alias("sources"))

@@ -226,7 +226,9 @@ def decide(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     # every node with its component; those without links are their own
     linked = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    return fps.join(linked.select("fp", "root").join(named, "root"), "fp").select("doc_id", "row", "fp", "root", "component_id")
+    # written before it is joined: adaptive execution splits a hot fingerprint only between plain exchanges
+    labels = saved(linked.select("fp", "root").join(named, "root"), "simhash-labels")
+    return fps.join(labels, "fp").select("doc_id", "row", "fp", "root", "component_id")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS) -> DataFrame:
