@@ -8,8 +8,11 @@ the list, compares list members with each other ("neighbours of neighbours"),
 and keeps each node's ``NEIGHBOURS`` nearest.  Pairs that were compared in an
 earlier round are skipped; rounds end when few links change.
 
-The lists are dealt by node into buckets of a bounded number of nodes, and a
-vector is sent once to each bucket that needs it.
+The lists are dealt by node into buckets of a bounded number of nodes (at least
+16 buckets, so that small tables have as many tasks), and a vector is sent once
+to each bucket that needs it: at most once for each list that names it, of which
+there are about ``NEIGHBOURS + REVERSE``.  Lists compare single-precision
+vectors; a search, and so the result, works in double precision.
 
 Searching.  All queries walk the graph together.  Each keeps the ``POOL``
 nearest nodes it has met; a round expands the ``BEAM`` nearest that are not
@@ -40,7 +43,7 @@ WALK_REVERSE = 48              # of those, in a search
 LINES, BLOCK = 3, 128
 ROUNDS, LEAST_CHANGE = 8, 0.02
 POOL, BEAM = 256, 80
-BUCKET_NODES = 4096
+BUCKET_NODES, LEAST_BUCKETS = 4096, 16
 BUCKET_QUERIES = 256
 
 
@@ -58,6 +61,10 @@ def nodes(vectors: DataFrame, members: int, id_col: str = "vec_id", vec_col: str
     return saved(found, "nn-nodes"), rows.select("vec_id", "node")
 
 
+def _buckets(n: int) -> int:
+    return max(LEAST_BUCKETS, -(-n // BUCKET_NODES))
+
+
 def _bucket(col: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(col), F.lit(buckets)).cast("int")
 
@@ -88,7 +95,7 @@ def _distances(x: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(square[..., :, None] + square[..., None, :] - 2 * x @ np.swapaxes(x, -1, -2), 0))
 
 
-def _along_lines(found: DataFrame, k: int, buckets: int) -> DataFrame:
+def _along_lines(found: DataFrame, k: int, ranges: int) -> DataFrame:
     """First links: the nearest in sorted blocks along random lines."""
 
     def project(parts):
@@ -119,7 +126,7 @@ def _along_lines(found: DataFrame, k: int, buckets: int) -> DataFrame:
     placed = saved(found.select("node", "vec").mapInPandas(project, f"node long, vec array<double>, {lines}"), "nn-lines")
     links = None
     for t in range(LINES):
-        by = placed.select("node", "vec", f"at{t}").repartitionByRange(buckets, f"at{t}").sortWithinPartitions(f"at{t}", "node")
+        by = placed.select("node", "vec", f"at{t}").repartitionByRange(max(1, ranges), f"at{t}").sortWithinPartitions(f"at{t}", "node")
         part = by.select("node", "vec").mapInPandas(near, "u long, v long, d double, new boolean")
         links = part if links is None else links.unionByName(part)
     return _nearest(links, k)
@@ -165,8 +172,8 @@ def _reverse(edges: DataFrame, most: int, salt: int = 0) -> DataFrame:
 def graph(found: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
     """(u, v, d) the approximate k nearest nodes of each node."""
     n = found.count()
-    buckets = max(1, -(-n // BUCKET_NODES))
-    edges = saved(_along_lines(found, k, buckets), "nn-graph")
+    buckets = _buckets(n)
+    edges = saved(_along_lines(found, k, -(-n // BUCKET_NODES)), "nn-graph")
     for r in range(rounds):
         lists = edges.select(F.col("u").alias("x"), "v", "new").unionByName(_reverse(edges, REVERSE, r))
         lists = lists.groupBy("x").agg(F.collect_list(F.struct("v", "new")).alias("list"))  # k + REVERSE at most
@@ -176,7 +183,7 @@ def graph(found: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFr
             F.col("u").alias("node"), F.when(F.col("n") < k, float("inf")).otherwise(F.col("far")).alias("far"))
         needed = lists.select(F.col("bucket").alias("at"), F.explode("list").alias("e")).select("at", F.col("e.v").alias("v")).distinct()
         vectors = needed.join(found.join(far, "node", "left"), F.col("v") == F.col("node")).select(
-            "at", "v", "vec", F.coalesce("far", F.lit(float("inf"))).alias("far"))
+            "at", "v", F.col("vec").cast("array<float>").alias("vec"), F.coalesce("far", F.lit(float("inf"))).alias("far"))
         compared = lists.groupBy("bucket").cogroup(vectors.groupBy("at")).applyInPandas(_compare(k), "u long, v long, d double")
         edges = saved(_nearest(edges.withColumn("new", F.lit(False)).unionByName(compared.withColumn("new", F.lit(True))), k), "nn-graph")
         if edges.where("new").count() <= LEAST_CHANGE * n * k:
@@ -236,7 +243,7 @@ _STATE = "q long, vec array<double>, bound double, ids array<long>, d array<doub
 
 def search(found: DataFrame, edges: DataFrame, wanted: DataFrame, pool: int = POOL, beam: int = BEAM) -> DataFrame:
     """(q, node, d): the nearest nodes met of each node q in ``wanted``, itself included."""
-    buckets = max(1, -(-found.count() // BUCKET_NODES))
+    buckets = _buckets(found.count())
     near = edges.select(F.col("u").alias("x"), "v").unionByName(
         _reverse(edges.withColumn("new", F.lit(False)), WALK_REVERSE).select("x", "v"))
     near = near.groupBy("x").agg(F.collect_set("v").alias("near"))
