@@ -94,3 +94,34 @@ def test_odd_rows_and_rejection(spark, sf_small, docs_of):
 def test_bounded_model(spark, sf_small):
     found = lid._grams(spark.read.parquet(f"{sf_small}/documents.parquet").select("text", "lang"), 4, 1600)
     assert all(len(g[0]) <= 100 for by in found.values() for g in by.values())
+
+
+def test_every_n_gram_is_kept(spark, docs_of):
+    rng = random.Random(9)
+    many = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(20_000)]
+    docs = docs_of([(3 * k, " ".join(many[k::20])) for k in range(20)], lang="x")
+    learned = {r.doc_id for r in docs.where((lid.remainder("doc_id") != 1) & (
+        lid.F.crc32(lid.F.col("doc_id").cast("string")) % (3 * lid.CALIBRATION_SHARE) >= 3)).collect()}
+    counts = grams_of([w for k in range(20) if 3 * k in learned for w in many[k::20]], lid.ORDER)
+    assert len(counts[lid.ORDER]) > 80_000  # what each order of one language was cut to
+    got = lid.learn(docs).models["x"]
+    assert [len(keys) for keys, _ in got.grams] == [len(counts[k]) for k in range(1, lid.ORDER + 1)]
+    want = lid.fit({k: (list(c), np.array(list(c.values()))) for k, c in counts.items()})
+    texts = many[:50] + ["zzq", "abcabc"]
+    assert lid.Scorer({"x": got}).entropies(texts)[0] == pytest.approx(lid.Scorer({"x": want}).entropies(texts)[0], rel=1e-9)
+
+
+def test_joined_models_as_broadcast_ones(spark, sf_small, docs_of):
+    table = spark.read.parquet(f"{sf_small}/documents.parquet").where("doc_id < 60")
+    one, two = lid.learn(table), lid.learn(table, broadcast_grams=0)
+    assert isinstance(two, lid.Tabled) and two.grams.count() > 1000
+    assert set(one.limits) == set(two.limits)
+    for lang, limit in one.limits.items():
+        assert two.limits[lang] == pytest.approx(limit, rel=1e-9)
+    odd = [(1, None), (2, ""), (3, "12 34 ²½ !!"), (5, "x"), (None, "日本語 テスト 한국어 " * 40), (7, "x"), (7, "qzx kjwq " * 90)]
+    docs = docs_of(odd + [(r.doc_id + 100, r.text) for r in table.where("doc_id < 30").collect()])
+    told = lambda found: sorted(((r.doc_id or 0, r.letters, r.lang_pred, r.accepted, round(r.score, 8), round(r.entropy, 8))
+                                 for r in found.collect()), key=str)
+    assert told(lid.predict(docs, two)) == told(lid.predict(docs, one))
+    kept = lambda found: sorted((r.doc_id or 0, r.text, r.digest) for r in found.collect())
+    assert kept(lid.accepted(docs, two)) == kept(lid.accepted(docs, one)) != []

@@ -3,11 +3,12 @@
 One model per language over the letters of words (lower case, a blank before
 and after each).  Counting covers all learning rows: tasks count the n-grams of
 their distinct words, Spark sums them, and derives the lower orders' type
-counts ("continuations": in how many letters' company an n-gram occurs).  Of
-each language and order the most frequent n-grams are kept, ``MAX_GRAMS`` in all
-models together, which bounds the model that is broadcast.  A model is sorted
-arrays: n-gram hashes with their interpolated log probability, and context
-hashes with the log weight of the next lower order.
+counts ("continuations": in how many letters' company an n-gram occurs).  Every
+n-gram is kept.  Models of up to ``BROADCAST_GRAMS`` n-grams are broadcast as
+sorted arrays: n-gram hashes with their interpolated log probability, and
+context hashes with the log weight of the next lower order.  Larger ones stay
+tables (``Tabled``), to which the distinct n-grams of the texts are joined, with
+the same results.
 
 A text's language is the one of the lowest cross-entropy per letter.  As the
 models see words one by one, a task scores each distinct word once and keeps a
@@ -39,7 +40,7 @@ from .bpe import groups
 from .common import saved
 
 ORDER = 5
-MAX_GRAMS = 400_000       # n-grams in all models together
+BROADCAST_GRAMS = 1_000_000  # n-grams in all models together; larger models are joined instead
 MAX_WORD = 64             # letters; longer runs of letters are cut
 FLUSH_WORDS = 200_000     # distinct words that a task counts before it emits n-grams
 CACHE_WORDS = 150_000
@@ -142,8 +143,7 @@ def fit(grams: dict[int, tuple[list[str], np.ndarray]], order: int = ORDER) -> M
         gram = (points[:, ::-1] * power).sum(axis=1, dtype=np.uint64)
         context = (points[:, -2::-1] * power[:-1]).sum(axis=1, dtype=np.uint64) if k > 1 else np.zeros(len(texts), np.uint64)
         keys, group = np.unique(context, return_inverse=True)
-        once, twice = (counts == 1).sum(), (counts == 2).sum()
-        discount = min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+        discount = _discount((counts == 1).sum(), (counts == 2).sum())
         total = np.bincount(group, counts)
         weight = np.minimum(discount, counts)
         weight = np.bincount(group, weight) / total
@@ -222,14 +222,31 @@ class Identifier:
         s = scorer or self.scorer()
         if not s.langs:
             return [("und", 0.0, 0.0, 0, False)] * len(texts)
-        h, n = s.entropies(texts)
-        best = h.argmin(axis=1)
-        low = h[np.arange(len(h)), best]
-        score = 1 / np.exp(SHARPNESS * (low[:, None] - h)).sum(axis=1)
-        mean, margin = np.array([self.limits[k] for k in s.langs]).reshape(-1, 2)[best].T
-        ok = low <= mean + margin * _width(n)
-        return [(s.langs[b], float(p), float(e), int(c), bool(a)) if c else ("und", 0.0, 0.0, 0, False)
-                for b, p, e, c, a in zip(best, score, low, n, ok)]
+        return _decided(s.langs, self.limits, *s.entropies(texts))
+
+
+@dataclass
+class Tabled:
+    """Models of any size as tables, with their calibrated limits."""
+
+    langs: list[str]
+    order: int
+    grams: DataFrame      # gram, by_lang: its last letter's log probability in each language, null where it is not met
+    contexts: DataFrame   # context, by_lang: the log weight of the next lower order
+    unseen: list[float]   # by language
+    limits: dict[str, tuple[float, float]]
+
+
+def _decided(langs: list[str], limits: dict, h: np.ndarray, n: np.ndarray) -> list[tuple[str, float, float, int, bool]]:
+    """From cross-entropies (texts x languages) and numbers of characters."""
+    best = h.argmin(axis=1)
+    low = h[np.arange(len(h)), best]
+    score = 1 / np.exp(SHARPNESS * (low[:, None] - h)).sum(axis=1)
+    mean, margin = np.array([limits[k] for k in langs]).reshape(-1, 2)[best].T
+    ok = low <= mean + margin * _width(n)
+    return [(langs[b], float(p), float(e), int(c), bool(a)) if c else ("und", 0.0, 0.0, 0, False)
+            for b, p, e, c, a in zip(best, score, low, n, ok)]
+
 
 def _width(n):
     return np.sqrt(1 + SHORT_LETTERS / np.maximum(n, 1))
@@ -271,8 +288,18 @@ def _count(order: int):
     return run
 
 
-def _grams(rows: DataFrame, order: int, max_grams: int) -> dict[str, dict[int, tuple[list[str], np.ndarray]]]:
-    """Of rows (text, lang): the most frequent n-grams and their Kneser-Ney counts, by language and order."""
+def _text_grams(text: str, order: int) -> Counter:
+    """The longest n-grams (up to ``order``) that end at each letter of a text's words, with their counts."""
+    out: Counter = Counter()
+    for word, n in Counter(_cut(words_of(text))).items():
+        padded = f" {word} "
+        for p in range(1, len(padded)):
+            out[padded[max(0, p - order + 1):p + 1]] += n
+    return out
+
+
+def _levels(rows: DataFrame, order: int) -> DataFrame:
+    """Of rows (text, lang): lang, k, gram, n: every n-gram of every order and its Kneser-Ney count."""
     counted = rows.mapInArrow(_count(order), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # written once: every order below reads it
     counted = saved(counted.withColumn("k", F.length("gram")), "language-grams")
@@ -286,12 +313,12 @@ def _grams(rows: DataFrame, order: int, max_grams: int) -> dict[str, dict[int, t
     everything = levels[0]
     for level in levels[1:]:
         everything = everything.unionByName(level)
-    langs = counted.select("lang").distinct().count()
-    each = max(1, max_grams // max(1, langs * order))
-    ranked = everything.withColumn("rank", F.row_number().over(
-        Window.partitionBy("lang", "k").orderBy(F.desc("n"), "gram"))).where(F.col("rank") <= each)
+    return everything
+
+
+def _collected(levels: DataFrame, order: int) -> dict[str, dict[int, tuple[list[str], np.ndarray]]]:
     out: dict = {}
-    found = ranked.select("lang", "k", "gram", "n").toArrow()  # ``max_grams`` rows at most
+    found = levels.select("lang", "k", "gram", "n").toArrow()
     for lang in found["lang"].unique().to_pylist():
         for k in range(1, order + 1):
             part = found.filter(pc.and_(pc.equal(found["lang"], lang), pc.equal(found["k"], k)))
@@ -300,15 +327,142 @@ def _grams(rows: DataFrame, order: int, max_grams: int) -> dict[str, dict[int, t
     return out
 
 
+def _grams(rows: DataFrame, order: int, max_grams: int | None = None) -> dict[str, dict[int, tuple[list[str], np.ndarray]]]:
+    """Of rows (text, lang): n-grams and their Kneser-Ney counts, by language and order.
+
+    With ``max_grams`` the most frequent ones only, to look at; models are made of all.
+    """
+    levels = _levels(rows, order)
+    if max_grams is not None:
+        each = max(1, max_grams // max(1, levels.select("lang").distinct().count() * order))
+        levels = levels.withColumn("rank", F.row_number().over(
+            Window.partitionBy("lang", "k").orderBy(F.desc("n"), "gram"))).where(F.col("rank") <= each)
+    return _collected(levels, order)
+
+
+def _discount(once: int, twice: int) -> float:
+    return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
+
+
+def _tabled(levels: DataFrame, order: int) -> Tabled:
+    """What ``fit`` computes, as tables."""
+    told = {(r.lang, r.k): r for r in levels.groupBy("lang", "k").agg(
+        F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"),
+        F.count(F.lit(1)).alias("types")).collect()}
+    langs = sorted({lang for lang, _ in told})
+    value = lambda by: F.element_at(F.create_map(*(F.lit(x) for kv in by.items() for x in kv)), F.col("lang"))
+    lower, probs, weights, unseen, entropy = None, [], [], {}, {}
+    for k in range(1, order + 1):
+        here = {lang: r for (lang, kk), r in told.items() if kk == k}
+        if not here:
+            break
+        level = levels.where(F.col("k") == k).select(
+            "lang", "gram", "n", value({lang: _discount(r.once, r.twice) for lang, r in here.items()}).alias("d"),
+            F.expr(f"left(gram, {k - 1})").alias("context"), F.expr("substring(gram, 2)").alias("rest"))
+        context = saved(level.groupBy("lang", "context").agg(
+            F.sum("n").alias("total"), (F.sum(F.least("d", F.col("n").cast("double"))) / F.sum("n")).alias("weight")), "language-contexts")
+        rows = level.join(context, ["lang", "context"])
+        if k == 1:
+            rows = rows.withColumn("lower", 1 / (value({lang: r.types for lang, r in here.items()}) + 1))
+            unseen = {r.lang: math.log(max(r.weight, 1e-6) / (here[r.lang].types + 1)) for r in context.collect()}
+        else:
+            rows = rows.join(lower.select("lang", F.col("gram").alias("rest"), F.exp("p").alias("lower")), ["lang", "rest"])
+            weights.append(context.select("lang", "context", F.log("weight").alias("p")))
+        p = F.greatest(F.col("n") - F.col("d"), F.lit(0.0)) / F.col("total") + F.col("weight") * F.col("lower")
+        lower = saved(rows.select("lang", "gram", "n", F.log(p).alias("p")), "language-probabilities")
+        probs.append(lower.select("lang", "gram", "p"))
+        entropy |= {r.lang: r.h for r in lower.groupBy("lang").agg((-F.sum(F.col("n") * F.col("p")) / F.sum("n")).alias("h")).collect()}
+
+    def by_lang(tables, key, label):
+        rows = tables[0]
+        for t in tables[1:]:
+            rows = rows.unionByName(t)
+        each = F.array(*(F.max(F.when(F.col("lang") == lang, F.col("p"))) for lang in langs))
+        return saved(rows.groupBy(key).agg(each.alias("by_lang")), label)
+
+    return Tabled(langs, len(probs), by_lang(probs, "gram", "language-model"), by_lang(weights, "context", "language-weights"),
+                  [unseen[lang] for lang in langs], {lang: (entropy[lang], DEFAULT_MARGIN) for lang in langs})
+
+
+def _gram_scores(wanted: DataFrame, model: Tabled) -> DataFrame:
+    """Of distinct n-grams (gram): gram, scores (the log probability of the last letter in each language)."""
+    wanted = saved(wanted.withColumn("k", F.length("gram")), "language-wanted")
+    needs, need = [], None
+    for k in range(model.order, 0, -1):  # those n-grams and, order by order, what they back off to
+        own = wanted.where(F.col("k") == k).select("gram")
+        if need is not None:
+            own = own.unionByName(need.select(F.expr("substring(gram, 2)").alias("gram"))).distinct()
+        need = saved(own, "language-needed")
+        needs.append((k, need))
+    lower, scores = None, []
+    # one order after the other: no n-gram is joined by more others than there are letters
+    for k, need in reversed(needs):
+        rows = need.join(model.grams.withColumnRenamed("by_lang", "p"), "gram", "left")
+        if k == 1:
+            score = [F.coalesce(F.col("p")[i], F.lit(u)) for i, u in enumerate(model.unseen)]
+        else:
+            rows = rows.withColumn("context", F.expr(f"left(gram, {k - 1})")).withColumn("rest", F.expr("substring(gram, 2)"))
+            rows = rows.join(model.contexts.withColumnRenamed("by_lang", "w"), "context", "left")
+            rows = rows.join(lower.select(F.col("gram").alias("rest"), F.col("scores").alias("lower")), "rest")
+            score = [F.coalesce(F.col("p")[i], F.coalesce(F.col("w")[i], F.lit(0.0)) + F.col("lower")[i])
+                     for i in range(len(model.langs))]
+        lower = saved(rows.select("gram", F.array(*score).alias("scores")), "language-scores")
+        scores.append(lower)
+    out = scores[0]
+    for level in scores[1:]:
+        out = out.unionByName(level)
+    return out
+
+
+def _by_joins(rows: DataFrame, model: Tabled, first: str) -> DataFrame:
+    """As ``_judged``: the texts' n-grams are joined to the tables."""
+    langs, limits, order = model.langs, model.limits, model.order
+    gram = pa.list_(pa.struct([("gram", pa.string()), ("n", pa.int64())]))
+    named = first.split()[0]
+
+    def count(batches):
+        for batch in batches:
+            for at, texts in groups(batch.column(2)):
+                found = [_text_grams(t, order) for t in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(texts)), batch.column(1).slice(at, len(texts)),
+                     pa.array([sum(x.values()) for x in found], pa.int64()),
+                     pa.array([[{"gram": g, "n": n} for g, n in x.items()] for x in found], gram)],
+                    [named, "row", "letters", "grams"])
+
+    def decide(batches):
+        kinds = [pa.string(), pa.float64(), pa.float64(), pa.int64(), pa.bool_()]
+        for batch in batches:
+            n = batch.column(1).to_numpy()
+            h = np.array([x or [0.0] * len(langs) for x in batch.column(2).to_pylist()]).reshape(-1, len(langs))
+            columns = list(zip(*_decided(langs, limits, h, n))) or [[]] * 5
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))],
+                                             [named, "lang_pred", "score", "entropy", "letters", "accepted"])
+
+    # the row numbers hold because they are written with what belongs to them
+    counted = saved(rows.select(rows.columns[0], F.monotonically_increasing_id().alias("row"), rows.columns[1]).mapInArrow(
+        count, f"{first}, row long, letters long, grams array<struct<gram:string,n:long>>"), "language-texts")
+    each = counted.select("row", F.explode("grams").alias("g")).select("row", "g.*")
+    scores = _gram_scores(each.select("gram").distinct(), model)
+    mean = F.array(*(-F.sum(F.col("n") * F.col("scores")[i]) / F.sum("n") for i in range(len(langs))))
+    entropies = saved(each.join(scores, "gram").groupBy("row").agg(mean.alias("h")), "language-entropies")
+    return counted.select(named, "row", "letters").join(entropies, "row", "left").select(named, "letters", "h").mapInArrow(
+        decide, f"{first}, lang_pred string, score double, entropy double, letters long, accepted boolean")
+
+
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", order: int = ORDER,
-          max_grams: int = MAX_GRAMS) -> Identifier:
+          broadcast_grams: int = BROADCAST_GRAMS) -> Identifier | Tabled:
     """Models of the languages that ``docs`` name, from rows that are not held out."""
     rows = docs.where((remainder(id_col) != 1) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     left_out = F.crc32(F.col(id_col).cast("string")) % (3 * CALIBRATION_SHARE) < 3
     rows = rows.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), left_out.alias("left_out"))
-    models = {k: fit(g, order) for k, g in _grams(rows.where("NOT left_out").select("text", "lang"), order, max_grams).items()}
+    levels = saved(_levels(rows.where("NOT left_out").select("text", "lang"), order), "language-levels")
     # a language without calibration texts (in a small table) keeps the fit's own figure and a wide margin
-    identifier = Identifier(models, {k: (m.entropy, DEFAULT_MARGIN) for k, m in models.items()})
+    if levels.count() > broadcast_grams:
+        identifier = _tabled(levels, order)
+    else:
+        models = {k: fit(g, order) for k, g in _collected(levels, order).items()}
+        identifier = Identifier(models, {k: (m.entropy, DEFAULT_MARGIN) for k, m in models.items()})
     judged = _judged(rows.where("left_out").select("lang", "text"), identifier, "lang string")
     right = judged.where("lang = lang_pred AND letters > 0")
     means = {r.lang: r.m for r in right.groupBy("lang").agg(F.avg("entropy").alias("m")).collect()}
@@ -319,8 +473,10 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     return identifier
 
 
-def _judged(rows: DataFrame, identifier: Identifier, first: str) -> DataFrame:
+def _judged(rows: DataFrame, identifier: Identifier | Tabled, first: str) -> DataFrame:
     """Of rows (anything, text): the first column and the judgement."""
+    if isinstance(identifier, Tabled):
+        return _by_joins(rows, identifier, first)
     shared = rows.sparkSession.sparkContext.broadcast(identifier)
 
     def run(batches):
@@ -336,14 +492,19 @@ def _judged(rows: DataFrame, identifier: Identifier, first: str) -> DataFrame:
     return rows.mapInArrow(run, f"{first}, lang_pred string, score double, entropy double, letters long, accepted boolean")
 
 
-def predict(docs: DataFrame, identifier: Identifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, identifier: Identifier | Tabled, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score (0 to 1), entropy, letters, accepted."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return _judged(rows, identifier, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}")
 
 
-def accepted(docs: DataFrame, identifier: Identifier, text_col: str = "text") -> DataFrame:
+def accepted(docs: DataFrame, identifier: Identifier | Tabled, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is accepted as one of the learned languages."""
+    if isinstance(identifier, Tabled):
+        key = F.sha2(F.col(text_col), 256)
+        judged = _judged(docs.select(key.alias("_key"), F.col(text_col).alias("text")), identifier, "_key string")
+        good = saved(judged.where("accepted").select(F.col("_key")).distinct(), "language-accepted")
+        return docs.join(good, F.sha2(docs[text_col], 256) == good["_key"], "left_semi")
     shared = docs.sparkSession.sparkContext.broadcast(identifier)
     text_at = docs.columns.index(text_col)
 
