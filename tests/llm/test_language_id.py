@@ -125,3 +125,21 @@ def test_joined_models_as_broadcast_ones(spark, sf_small, docs_of):
     assert told(lid.predict(docs, two)) == told(lid.predict(docs, one))
     kept = lambda found: sorted((r.doc_id or 0, r.text, r.digest) for r in found.collect())
     assert kept(lid.accepted(docs, two)) == kept(lid.accepted(docs, one)) != []
+
+
+def test_long_runs_of_letters_count_whole(spark, words):
+    rng = random.Random(4)
+    runs = ["".join(rng.choices("abcdé", k=n)) for n in (63, 64, 65, 66, 100, 127, 128, 129, 130, 192, 1000)]
+    rows = spark.createDataFrame([(" ".join(words + runs), "x")], "text string, lang string")
+    got, counts = lid._grams(rows, 4)["x"], grams_of(words + runs, 4)
+    for k in range(1, 5):
+        assert dict(zip(got[k][0], got[k][1].tolist())) == dict(counts[k])
+    scorer = lid.Scorer({"x": lid.fit(got, 4)})
+    for run in ["zabce" * 13, "".join(rng.choices("abcdéz", k=200)), *runs[:-1]]:
+        padded = f" {run} "
+        want = sum(math.log(brute_prob(counts, padded[max(0, p - 3):p + 1])) for p in range(1, len(padded)))
+        h, n = scorer.entropies([run])
+        assert n[0] == len(run) + 1 and h[0, 0] == pytest.approx(-want / n[0], rel=1e-6)
+    same, other = ("ab" * 40 + tail * 300 for tail in ("c", "d"))  # agree in their first 80 letters
+    a, b = scorer.entropies([same, other])[0]
+    assert a[0] != b[0]

@@ -41,7 +41,8 @@ from .common import saved
 
 ORDER = 5
 BROADCAST_GRAMS = 1_000_000  # n-grams in all models together; larger models are joined instead
-MAX_WORD = 64             # letters; longer runs of letters are cut
+MAX_WORD = 64             # letters; longer runs of letters are taken in parts
+BLOCK_LETTERS = 2_000_000 # that a task turns into n-grams at a time
 FLUSH_WORDS = 200_000     # distinct words that a task counts before it emits n-grams
 CACHE_WORDS = 150_000
 CALIBRATION_SHARE = 61    # one learning row of so many is for calibration
@@ -62,17 +63,47 @@ def words_of(text: str) -> list[str]:
     return found
 
 
-def _cut(words):
-    return [w if len(w) <= MAX_WORD else w[:MAX_WORD] for w in words]
+def parts_of(words: list[str], order: int) -> list[str]:
+    """The words, those of more than ``MAX_WORD`` letters in parts that are longer than that too.
 
+    A part begins with a blank if its word does, or with letters of the part before as context, and ends with a blank
+    if its word does: every letter is new in one part, after its full context of ``order`` - 1 letters (one at least).
+    """
+    over = max(order - 1, 1)
+    if not words or max(map(len, words)) <= MAX_WORD:
+        return words
+    out = []
+    for w in words:
+        if len(w) <= MAX_WORD:
+            out.append(w)
+            continue
+        starts = range(0, len(w) - MAX_WORD + 1, MAX_WORD)
+        for a, b in zip(starts, [*starts[1:], len(w)]):
+            out.append((w[a - over:b] if a else " " + w[:b]) + (" " if b == len(w) else ""))
+    return out
+
+
+def _blocks(words: list[str]):
+    """Pieces of the list with about ``BLOCK_LETTERS`` letters: their first and last place."""
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    first = 0
+    while first < len(words):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + BLOCK_LETTERS, "right")))
+        yield first, last
+        first = last
 
-def _flat(words: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
-    """Padded words in one text, its code points, the word of each, and the letters before each in its word."""
-    text = "".join([f" {w} " for w in words])
-    n = np.fromiter(map(len, words), np.int64, len(words)) + 2
+
+def _flat(words: list[str], order: int) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Padded words or parts in one text, its code points, the word of each, the letters before each in its word or part,
+    and the places of the characters to count: all but first blanks and the context of parts."""
+    padded = [f" {w} " if len(w) <= MAX_WORD else w for w in words]
+    text = "".join(padded)
+    n = np.fromiter(map(len, padded), np.int64, len(padded))
     word = np.repeat(np.arange(len(words)), n)
     before = np.arange(len(word)) - np.repeat(np.cumsum(n) - n, n)
-    return text, np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1), word, before
+    context = np.fromiter((1 if w[0] == " " else max(order - 1, 1) for w in padded), np.int64, len(padded))
+    points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+    return text, points, word, before, np.flatnonzero(before >= context[word])
 
 
 def _powers(n: int) -> np.ndarray:
@@ -168,6 +199,7 @@ class Scorer:
     def __init__(self, models: dict[str, Model]):
         self.langs = sorted(models)
         self.models = [models[k] for k in self.langs]
+        self.order = max((len(m.grams) for m in self.models), default=1)
         self._forget()
 
     def _forget(self):
@@ -175,21 +207,22 @@ class Scorer:
         self._scores = np.zeros((0, len(self.models) + 1))
 
     def _learn(self, words: list[str]) -> None:
-        _, points, word, before = _flat(_cut(words))
-        order = max((len(m.grams) for m in self.models), default=1)
-        hashes = _hashes(points, order)
-        at = np.flatnonzero(before)
-        # a letter's probability depends on its n-gram only, and n-grams repeat: each is looked up once
-        first, gram = _distinct(hashes, at, before, order)
-        once = at[first]
-        scores = [np.bincount(word[at], m.log_probs(hashes, once, before[once])[gram], len(words)) for m in self.models]
+        found = [self._scores]
+        for a, b in _blocks(words):
+            _, points, word, before, at = _flat(words[a:b], self.order)
+            hashes = _hashes(points, self.order)
+            # a letter's probability depends on its n-gram only, and n-grams repeat: each is looked up once
+            first, gram = _distinct(hashes, at, before, self.order)
+            once = at[first]
+            scores = [np.bincount(word[at], m.log_probs(hashes, once, before[once])[gram], b - a) for m in self.models]
+            found.append(np.stack([*scores, np.bincount(word[at], minlength=b - a)], axis=1))
         first = len(self._index)
         self._index.update(zip(words, range(first, first + len(words))))
-        self._scores = np.concatenate([self._scores, np.stack([*scores, np.bincount(word[at], minlength=len(words))], axis=1)])
+        self._scores = np.concatenate(found)
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy per character (texts x languages), and the number of characters; 0 of a text without letters."""
-        by_text = [words_of(t) for t in texts]
+        by_text = [parts_of(words_of(t), self.order) for t in texts]
         flat = [w for ws in by_text for w in ws]
         if len(self._index) > CACHE_WORDS:
             self._forget()
@@ -262,24 +295,23 @@ def _count(order: int):
 
     def emit(counters):
         for lang, words in counters.items():
-            # words that are equal once cut are counted together by the sums that follow
-            text, points, _, before = _flat(_cut(words))
-            n = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [min(len(w), MAX_WORD) + 2 for w in words])
-            hashes = _hashes(points, order)
-            at = np.flatnonzero(before)
-            first, group = _distinct(hashes, at, before, order)
-            once = at[first]
-            sizes = np.minimum(before[once] + 1, order)
-            grams = [text[p - size + 1:p + 1] for p, size in zip(once.tolist(), sizes.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()),
-                 pa.array(np.rint(np.bincount(group, n[at])).astype(np.int64))], ["lang", "gram", "n"])
+            all_words, all_n = list(words), np.fromiter(words.values(), np.int64, len(words))
+            for a, b in _blocks(all_words):
+                text, points, word, before, at = _flat(all_words[a:b], order)
+                hashes = _hashes(points, order)
+                first, group = _distinct(hashes, at, before, order)
+                once = at[first]
+                sizes = np.minimum(before[once] + 1, order)
+                grams = [text[p - size + 1:p + 1] for p, size in zip(once.tolist(), sizes.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(grams), pa.string()), pa.array(grams, pa.string()),
+                     pa.array(np.rint(np.bincount(group, all_n[a:b][word[at]])).astype(np.int64))], ["lang", "gram", "n"])
 
     def run(batches):
         counters: dict[str, Counter] = {}
         for batch in batches:
             for text, lang in zip(batch.column(0), batch.column(1)):
-                counters.setdefault(lang.as_py(), Counter()).update(words_of(text.as_py()))
+                counters.setdefault(lang.as_py(), Counter()).update(parts_of(words_of(text.as_py()), order))
                 if sum(map(len, counters.values())) > FLUSH_WORDS:
                     yield from emit({k: c for k, c in counters.items() if c})
                     counters = {}
@@ -291,7 +323,7 @@ def _count(order: int):
 def _text_grams(text: str, order: int) -> Counter:
     """The longest n-grams (up to ``order``) that end at each letter of a text's words, with their counts."""
     out: Counter = Counter()
-    for word, n in Counter(_cut(words_of(text))).items():
+    for word, n in Counter(words_of(text)).items():
         padded = f" {word} "
         for p in range(1, len(padded)):
             out[padded[max(0, p - order + 1):p + 1]] += n
