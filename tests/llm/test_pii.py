@@ -52,6 +52,25 @@ def test_disguises_map_back_to_the_source(text, want):
     assert found == ([want] if want else [])
 
 
+@pytest.mark.parametrize("text, want", [
+    ("dns eight dot eight dot eight dot eight now", "ip:eight dot eight dot eight dot eight"),
+    ("dns acht punkt acht punkt 8 punkt acht", "ip:acht punkt acht punkt 8 punkt acht"),
+    ("at one [dot] 2 [dot] three.4", "ip:one [dot] 2 [dot] three.4"),
+    ("card 4532 0151 one two 83 0366", "card:4532 0151 one two 83 0366"),
+    ("card 4532 015 one 1283 0366 now", "card:4532 015 one 1283 0366"),
+    ("call plus 49 30 12345678 now", "phone:plus 49 30 12345678"),
+    ("call +four nine 30 12345678", "phone:+four nine 30 12345678"),
+    ("card vier fünf drei zwei 0151 1283 0366 two left", "card:vier fünf drei zwei 0151 1283 0366"),
+    ("mail jane at mail.host dot com now", "email:jane at mail.host dot com"),
+    ("mail jane at mail dot host.com now", "email:jane at mail dot host.com"),
+    ("mail jane at uni dot nl now", "email:jane at uni dot nl"),
+    ("mail jane at uni dot museum", "email:jane at uni dot museum"),
+    ("at some point in time, six of one", None), ("un jour, two or three 5", None)])
+def test_disguises_of_few_words(text, want):
+    found = [f"{k}:{text[s:e]}" for k, s, e, added in pii.spans(text) if added]
+    assert found == ([want] if want else [])
+
+
 def test_base_spans_stay_and_redaction_covers_all():
     text = "a@b.cd and x [at] y [dot] zz, +1 (555) 123-4567, 4532015112830366, 10.0.0.1"
     assert [x[:3] for x in pii.spans(text) if not x[3]] == brute(text)

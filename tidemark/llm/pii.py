@@ -101,32 +101,60 @@ def plain(c: str) -> str:
 
 
 # fixed values: the digits 0 to 9 in English, French, German, Spanish
-_SPELLED = ("zero one two three four five six seven eight nine", "zéro un deux trois quatre cinq six sept huit neuf",
-            "null eins zwei drei vier fünf sechs sieben acht neun", "cero uno dos tres cuatro cinco seis siete ocho nueve")
-DIGIT_WORDS = {w: str(d) for words in _SPELLED for d, w in enumerate(words.split())}
+_DIGITS = ("zero one two three four five six seven eight nine", "zéro un deux trois quatre cinq six sept huit neuf",
+           "null eins zwei drei vier fünf sechs sieben acht neun", "cero uno dos tres cuatro cinco seis siete ocho nueve")
+DIGIT_WORDS = {w: str(d) for words in _DIGITS for d, w in enumerate(words.split())}
 _WORD = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
 _GAP = r"[\s-]{1,3}"
 _OPEN, _CLOSE = r"\s{0,3}[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]\s{0,3}"
 _DOT_WORD = r"(?:dot|punkt|punto|point)"
 _DOT = rf"(?:\s{{1,3}}{_DOT_WORD}\s{{1,3}}|{_OPEN}(?:{_DOT_WORD}|\.){_CLOSE})"
-# fixed values: endings without which "name at host dot ..." is taken for prose
+# fixed values: endings with which "name at host dot ..." is an address whatever the host, and words that make
+# "at ... dot" prose before any other ending
 _ENDING = "(?:com|org|net|edu|gov|info|biz|io|co|eu|uk|us|ca|de|fr|es)"
-_RUN = rf"\b{_WORD}(?:{_GAP}{_WORD}){{2,}}\b"
+_DETERMINER = ("(?:an?|the|this|that|these|those|each|every|any|some|one|no|which|what|my|your|his|her|its|our|their|another"
+               "|un|une|le|la|ce|der|die|das|dem|den|ein|eine|einem|el|los|las|una|este|ese)")
+_LABEL, _ANY_DOT = "[a-z0-9-]{1,63}", rf"(?:\.|{_DOT})"
+# one dot at least is disguised
+_HOST = rf"(?:{_LABEL}\.){{0,5}}{_LABEL}{_DOT}(?:{_LABEL}{_ANY_DOT}){{0,5}}"
 _RULES = re.compile(
     rf"(?P<at>(?<=[\w.%+-]){_OPEN}(?:at|@|arroba){_CLOSE}(?=\w)"
-    rf"|(?<=[\w.%+-])\s{{1,3}}at\s{{1,3}}(?=(?:[a-z0-9-]{{1,63}}{_DOT}){{1,5}}{_ENDING}\b))"
+    rf"|(?<=[\w.%+-])\s{{1,3}}at\s{{1,3}}(?={_HOST}{_ENDING}\b|(?!{_DETERMINER}{_DOT}){_HOST}[a-z]{{2,63}}\b))"
     rf"|(?P<dot>(?<=\w){_OPEN}(?:{_DOT_WORD}|\.){_CLOSE}(?=\w)|(?<=\w)\s{{1,3}}{_DOT_WORD}\s{{1,3}}(?=\w))"
     rf"|(?P<plus>\bplus\s{{1,3}}(?={_WORD}\b|[0-9]))"
-    rf"|(?P<run>{_RUN})", re.IGNORECASE)
-# what a text must hold for a rule to matter: a bracketed at or dot, a dot in words, or a run of spelled digits
+    rf"|(?P<run>\b{_WORD}\b(?:{_GAP}{_WORD}\b)*)", re.IGNORECASE)
+# what a text must hold for a rule to matter: a bracketed at or dot, a dot in words, a plus in words,
+# or a spelled digit beside a digit or another spelled one
 _BRACKETED = re.compile(rf"[(\[{{<]\s{{0,3}}(?:at|@|arroba|{_DOT_WORD}|\.)\s{{0,3}}[)\]}}>]", re.IGNORECASE)
 _DOTTED = re.compile(rf"\s{_DOT_WORD}\s", re.IGNORECASE)
-_SPELLED_RUN = re.compile(_RUN, re.IGNORECASE)
+_PLUS = re.compile(rf"\bplus\s{{1,3}}(?:{_WORD}\b|[0-9])", re.IGNORECASE)
+_SPELLED = re.compile(rf"\b{_WORD}(?:{_GAP}{_WORD}\b|[\s.-]{{1,3}}[0-9])|[0-9][\s.-]{{1,3}}{_WORD}\b|\+\s{{0,3}}{_WORD}\b", re.IGNORECASE)
+# a lone spelled digit counts beside a digit, a plus or a dot; a dot in words must be of its language
+_DOTS_OF = ("dot|point", "point", "punkt", "punto")
+_BESIDE = {}
+for _w in DIGIT_WORDS:
+    _d = "|".join(d for d, words in zip(_DOTS_OF, _DIGITS) if _w in words.split())
+    _d = rf"(?:\s{{1,3}}(?:{_d})\s{{1,3}}|{_OPEN}(?:{_DOT_WORD}|\.){_CLOSE})"
+    _BESIDE[_w] = (re.compile(rf"(?:[0-9][\s.-]{{1,3}}|\+\s{{0,3}}|\bplus\s{{1,3}}|\w{_d})\Z", re.IGNORECASE),
+                   re.compile(rf"[\s.-]{{1,3}}[0-9]|{_d}\w", re.IGNORECASE))
+_NEAR = 32  # characters: more than any of these takes
 _EACH_WORD = re.compile(rf"({_WORD})(?:{_GAP}(?={_WORD}\b))?", re.IGNORECASE)
 
 
-def rewritten(text: str) -> tuple[str, np.ndarray, np.ndarray] | None:
-    """The text without disguises, and where each of its characters starts and ends in the source; None if as before."""
+def _counts(text: str, run: re.Match) -> bool:
+    """Whether spelled digits stand for digits: several do, a lone one beside a digit, a plus or a dot."""
+    beside = _BESIDE.get(run[0].lower())
+    if beside is None:
+        return True
+    a, b = run.span()
+    return bool(beside[0].search(text[max(0, a - _NEAR):a]) or beside[1].match(text, b))
+
+
+def rewritten(text: str, runs_only: bool = False) -> tuple[str, np.ndarray, np.ndarray] | None:
+    """The text without disguises, and where each of its characters starts and ends in the source; None if as before.
+
+    With ``runs_only``, fewer than three spelled digits in a row stay words, as they may be a neighbour's.
+    """
     swaps = {} if text.isascii() else {c: p for c in set(text) if not c.isascii() and (p := plain(c)) != c}
     start = end = None
     if swaps:
@@ -134,7 +162,7 @@ def rewritten(text: str) -> tuple[str, np.ndarray, np.ndarray] | None:
         start = np.flatnonzero(kept)
         end = start + 1
         text = "".join(swaps.get(c, c) for c in text)
-    if not (_BRACKETED.search(text) or _DOTTED.search(text) or _SPELLED_RUN.search(text)):
+    if not (_BRACKETED.search(text) or _DOTTED.search(text) or _PLUS.search(text) or _SPELLED.search(text)):
         return (text, start, end) if swaps else None
     if start is None:
         start = np.arange(len(text))
@@ -142,6 +170,8 @@ def rewritten(text: str) -> tuple[str, np.ndarray, np.ndarray] | None:
     pieces: list[tuple[int, int, str]] = []  # (from, to, replacement of one character)
     for m in _RULES.finditer(text):
         if m.lastgroup == "run":
+            if runs_only and len(_EACH_WORD.findall(m[0])) < 3 or not _counts(text, m):
+                continue
             for w in _EACH_WORD.finditer(text, *m.span()):
                 pieces.append((w.start(), w.end(), DIGIT_WORDS[w[1].lower()]))
         else:
@@ -164,13 +194,23 @@ def spans(text: str) -> list[tuple[str, int, int, bool]]:
     again = rewritten(text)
     if again is None:
         return found
-    plain_text, start, end = again
     by_kind = {k: [(s, e) for kind, s, e in base if kind == k] for k in KINDS}
-    for k, s, e in base_spans(plain_text):
-        s, e = int(start[s]), int(end[e - 1])
-        before = bisect_right(by_kind[k], (s, len(text))) - 1  # base spans of a kind don't overlap
-        if before < 0 or by_kind[k][before][1] < e:
-            found.append((k, s, e, True))
+    less = rewritten(text, True)
+    for reading in [again, less] if less and less[0] != again[0] else [again]:
+        plain_text, start, end = reading
+        new = []
+        for k, s, e in base_spans(plain_text):
+            s, e = int(start[s]), int(end[e - 1])
+            before = bisect_right(by_kind[k], (s, len(text))) - 1  # the ends of a kind's spans ascend with their starts
+            if before < 0 or by_kind[k][before][1] < e:
+                new.append((k, s, e))
+        found += [(*x, True) for x in new]
+        for k in KINDS:  # without those that lie within another
+            kept: list[tuple[int, int]] = []
+            for s, e in sorted({*by_kind[k], *((s, e) for kind, s, e in new if kind == k)}, key=lambda x: (x[0], -x[1])):
+                if not kept or kept[-1][1] < e:
+                    kept.append((s, e))
+            by_kind[k] = kept
     return sorted(set(found), key=lambda x: (KINDS.index(x[0]), x[1:]))
 
 
