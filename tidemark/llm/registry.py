@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, kd_shards, language_id, line_dedup, nn_descent, packing, pii, simhash, url_filter
+from . import (bpe, exact_dedup, importance, kd_shards, language_id, line_dedup, mixing, nn_descent, packing, pii, simhash,
+               spelling, sql, url_filter)
 from .common import table, tokenizer_path
 
 
@@ -56,6 +57,20 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.by_position(mixing.schedule(table(spark, sf_dir, "documents"))).select(
+        "doc_id", "size", "source_size", "target", "taken", "position")
+
+
+def op13_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_pii": op2_pii,
@@ -67,6 +82,9 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_language_id": op9_language_id,
     "op10_simhash": op10_simhash,
+    "op11_spelling": op11_spelling,
+    "op12_mixing": op12_mixing,
+    "op13_importance": op13_importance,
 }
 
 _SHRINK = """
@@ -124,6 +142,7 @@ FROM base JOIN bounds ON bounds.host = base.host
 """
 
 ORACLE_SQL = {
+    **sql.ORACLE_SQL,
     "op6_url_filter": _OP6,
     "op7_exact_dedup": """
 SELECT doc_id, MAX(doc_id) OVER g AS keep_id, COUNT(*) OVER g AS group_size,
