@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -37,7 +38,22 @@ def test_bounded_cache_gives_the_same_ids(monkeypatch):
     whole, _ = bpe.WordBpe(tokenizer_path()).encode(texts)
     monkeypatch.setattr(bpe, "CACHE_CHUNKS", 10)
     own = bpe.WordBpe(tokenizer_path())
-    assert np.concatenate([own.encode(texts[k:k + 9])[0] for k in range(0, 500, 9)]).tolist() == whole.tolist()
+    found = []
+    for k in range(0, 500, 9):
+        found.append(own.encode(texts[k:k + 9])[0])
+        assert len(own._index) <= 10 // 2 + 1 + 18 and list(own._index.values()) == list(range(len(own._index)))
+    assert np.concatenate(found).tolist() == whole.tolist()
+    assert {f"x{k}" for k in range(7)} <= set(own._index)  # met more often than any other
+
+
+def test_slices():
+    texts = pa.array(["abc", None, "", "é" * 5, "x", "y" * 30, None])
+    for size in (1, 4, 11, 1000):
+        parts = list(bpe.slices(texts, size))
+        assert [t for _, p in parts for t in p.to_pylist()] == ["abc", "", "", "é" * 5, "x", "y" * 30, ""]
+        assert all(p.nbytes and (len(p) == 1 or sum(len(t.encode()) for t in p.to_pylist()) <= size) for _, p in parts)
+        assert [a for a, _ in parts] == np.cumsum([0] + [len(p) for _, p in parts])[:-1].tolist()
+    assert list(bpe.slices(pa.array([], pa.string()))) == []
 
 
 def test_op8_on_whole_table(spark, sf_small, library):
@@ -75,7 +91,7 @@ def check_pack(rows, docs, library, window=4096):
 
 def test_packing_odd_texts_and_whole_table(spark, sf_small, docs_of, library):
     docs = list(enumerate(ODD))
-    rows = packing.with_crc(packing.pack(docs_of(docs), tokenizer_path(), open_windows=2)).collect()
+    rows = packing.pack(docs_of(docs), tokenizer_path(), open_windows=2).collect()
     check_pack(rows, docs, library)
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_small}/documents.parquet").collect()]
     assert check_pack(registry.QUERIES["op1_packing"](spark, sf_small).collect(), docs, library) < 0.01
@@ -99,3 +115,42 @@ def test_packer_keeps_few_windows_open_and_pads_little():
     assert most == 16
     fill = [sum(len(x[2]) for x in pieces) for _, pieces in closed]
     assert max(fill) <= 4096 and min(fill) > 4096 - 32
+
+
+def brute_pack(sizes, window, most, min_fragment):
+    """Closed windows in order and those left open, as lists of (document, start, length), by plain search."""
+    open_, closed, opened = {}, [], 0
+    free = lambda k: window - sum(n for *_, n in open_[k])
+    for doc, size in enumerate(sizes):
+        at = 0
+        while size - at >= window:
+            closed.append([(doc, at, window)])
+            opened, at = opened + 1, at + window
+        while at < size:
+            fits = [k for k in open_ if free(k) >= size - at]
+            if fits:
+                open_[min(fits, key=lambda k: (free(k), k))].append((doc, at, size - at))
+                at = size
+            elif len(open_) < most:
+                open_[opened] = [(doc, at, size - at)]
+                opened, at = opened + 1, size
+            else:
+                fullest = min(open_, key=lambda k: (free(k), k))
+                gap = free(fullest)
+                pieces = open_.pop(fullest)
+                if gap >= min_fragment:
+                    pieces.append((doc, at, gap))
+                    at += gap
+                closed.append(pieces)
+    return closed, [open_[k] for k in sorted(open_)]
+
+
+@pytest.mark.parametrize("window, most, min_fragment", [(64, 1, 8), (64, 4, 8), (100, 7, 1), (50, 16, 51)])
+def test_packer_equals_brute_force(window, most, min_fragment):
+    rng = random.Random(window)
+    sizes = [rng.choice((1, 5, rng.randint(1, window), rng.randint(1, 3 * window), window)) for _ in range(600)]
+    packer = packing.Packer(window, most, min_fragment)
+    told = lambda pieces: [(d, a, len(ids)) for d, a, ids, _ in pieces]
+    closed = [told(p) for k, n in enumerate(sizes) for _, p in packer.add(k, np.arange(n))]
+    assert (closed, [told(p) for _, p in packer.rest()]) == brute_pack(sizes, window, most, min_fragment)
+    assert all(ids.tolist() == list(range(a, a + len(ids))) for _, pieces in packer.rest() for _, a, ids, _ in pieces)

@@ -6,7 +6,8 @@ texts is encoded as its distinct chunks: the symbols of all their words lie in
 one flat array, and each round finds the rank of every neighbouring pair by
 binary search over the sorted pair keys, and merges in each word all
 occurrences of its lowest-ranked pair.  Words without a mergeable pair leave
-the array.  Chunks met before are served from a bounded cache.
+the array.  Chunks met before are served from a bounded cache, which keeps the
+chunks met most often when it is full.
 
 The tables are read from the tokenizer's JSON file.  Normalisation and word
 splitting of plain Latin chunks is done here; all other chunks go through the
@@ -29,20 +30,24 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import freeing
+
 # texts are encoded in groups of about so many characters, which bounds a task's memory
 GROUP_CHARS = 1_000_000
-CACHE_CHUNKS = 200_000
+SLICE_BYTES = 1_000_000
+CACHE_CHUNKS = 300_000
 LONG_WORD = 2_000  # bytes
 _NO_RANK = np.iinfo(np.int32).max
 # Latin-1 chunks, one a line: lower-casing is all of their normalisation
 _PLAIN = re.compile(r"[\x21-\x7e\xa1-\xff\n]*")
 _LATIN, _NUMERAL = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe"  # of Latin-1, in lower case
 _WORDS = re.compile(rf"[{_LATIN}]+|[{_NUMERAL}]|\n|'(?:s|t|re|ve|m|ll|d)|[^\n{_LATIN}{_NUMERAL}]+")
-_ODD_SPACE = regex.compile("[\x1c-\x1f]")  # str.split() splits at these, the tokenizer does not
+_ODD_SPACE = "[\x1c-\x1f]"  # splitting at white space takes these as such, the tokenizer does not
 
 
 def byte_letters() -> list[str]:
@@ -74,6 +79,10 @@ class WordBpe:
         order = np.argsort(keys, kind="stable")
         self._keys, self._ranks = keys[order], order.astype(np.int32)
         self._merged = np.array([vocab[a + b] for a, b in merges], dtype=np.int64)
+        # every word begins with its bytes' pairs: the ranks of all of those are searched once
+        single = np.arange(self._start.max() + 1)
+        left, right = np.repeat(single, len(single)), np.tile(single, len(single))
+        self._byte_pairs = self._rank(left, right, np.ones(len(left), bool)).reshape(len(single), -1)
         tokenizer = Tokenizer.from_file(path)
         self._normalize = tokenizer.normalizer.normalize_str if tokenizer.normalizer else str
         self._split = tokenizer.pre_tokenizer.pre_tokenize_str
@@ -82,7 +91,19 @@ class WordBpe:
     def forget(self) -> None:
         """Empty the cache; at the end of each task, as the worker may go on to other work."""
         self._index: dict[str, int] = {}
-        self._lens, self._flat = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        # where each chunk's ids begin (one more than chunks), the ids, and how often each chunk was met; with room to grow
+        self._begin, self._flat, self._met = np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def _keep_frequent(self) -> None:
+        """Drop the half of the cache that was met least."""
+        size = len(self._index)
+        keep = np.sort(np.argsort(-self._met[:size], kind="stable")[:size // 2])
+        chunks = list(self._index)
+        lens, begin = np.diff(self._begin[:size + 1])[keep], self._begin[keep]
+        ends = np.append(0, np.cumsum(lens))
+        self._flat = self._flat[np.repeat(begin - ends[:-1], lens) + np.arange(ends[-1])]
+        self._begin, self._met = ends, self._met[keep] // 2  # halved, so that what was frequent once goes in the end
+        self._index = {chunks[k]: i for i, k in enumerate(keep.tolist())}
 
     def _plain_words(self, chunks: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
         """Of Latin-1 chunks: all words' bytes, the size of each word, the number of words of each chunk."""
@@ -125,7 +146,7 @@ class WordBpe:
             short = size[word] <= LONG_WORD
             sym, word = sym[short], word[short]
         # the rank of each symbol's pair with the next one of its word
-        rank = np.append(self._rank(sym[:-1], sym[1:], word[:-1] == word[1:]), _NO_RANK) if len(sym) else sym
+        rank = np.append(np.where(word[:-1] == word[1:], self._byte_pairs[sym[:-1], sym[1:]], _NO_RANK), _NO_RANK) if len(sym) else sym
         while len(sym):
             first = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
             lowest = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(word))))
@@ -216,37 +237,55 @@ class WordBpe:
         if fixed:
             ids[(np.cumsum(n) - n)[[p for p, _ in fixed]]] = [i for _, i in fixed]
         ends = np.append(0, np.cumsum(n))[np.append(0, np.cumsum(of))]
-        first = len(self._index)
+        first, used = len(self._index), self._begin[len(self._index)]
         self._index.update(zip(chunks, range(first, first + len(chunks))))
-        self._lens = np.concatenate([self._lens, np.diff(ends)])
-        self._flat = np.concatenate([self._flat, ids])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts in one flat array, and where each text begins (one more entry than texts)."""
-        chunks: list[str] = []
-        ends = [0]
-        for t in texts:
-            chunks += regex.split(r"[\s--[\x1c-\x1f]]+", t, flags=regex.V1) if _ODD_SPACE.search(t) else t.split()
-            ends.append(len(chunks))
+        self._begin = _room(self._begin, first + len(chunks) + 1)
+        self._begin[first + 1:first + len(chunks) + 1] = used + ends[1:]
+        self._flat = _room(self._flat, used + len(ids))
+        self._flat[used:used + len(ids)] = ids
+        self._met = _room(self._met, first + len(chunks))
+        self._met[first:first + len(chunks)] = 0
+
+    def encode(self, texts: pa.Array | list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (none null) in one flat array, and where each text begins (one more entry than texts)."""
+        if isinstance(texts, list):
+            texts = pa.array(texts, pa.string())
+        if pc.any(pc.match_substring_regex(texts, _ODD_SPACE)).as_py():
+            parts = pa.array([regex.split(r"[\s--[\x1c-\x1f]]+", t, flags=regex.V1) for t in texts.to_pylist()], pa.list_(pa.string()))
+        else:
+            parts = pc.utf8_split_whitespace(texts)
+        chunks = parts.flatten().dictionary_encode()
+        met = chunks.dictionary.to_numpy(zero_copy_only=False).tolist()  # several times faster than to_pylist()
         if len(self._index) > CACHE_CHUNKS:
-            self.forget()
-        at = np.fromiter(map(self._index.get, chunks, repeat(-1)), np.int64, len(chunks))
+            self._keep_frequent()
+        at = np.fromiter(map(self._index.get, met, repeat(-1)), np.int64, len(met))
         new = np.flatnonzero(at < 0).tolist()
         if new:
-            met = list(map(chunks.__getitem__, new))
-            self._learn(list(set(met)))
-            at[new] = list(map(self._index.__getitem__, met))
-        n = self._lens[at]
+            found = list(map(met.__getitem__, new))
+            self._learn(found)
+            at[new] = list(map(self._index.__getitem__, found))
+        of = chunks.indices.to_numpy()
+        self._met[at] += np.bincount(of, minlength=len(met))
+        rows = at[of]
+        n = self._begin[rows + 1] - self._begin[rows]
         out = np.append(0, np.cumsum(n))
-        begin = (np.cumsum(self._lens) - self._lens)[at]
-        ids = self._flat[np.repeat(begin - out[:-1], n) + np.arange(out[-1])]
-        return ids, out[np.asarray(ends)]
+        ids = self._flat[np.repeat(self._begin[rows] - out[:-1], n) + np.arange(out[-1])]
+        return ids, out[np.append(0, np.cumsum(pc.list_value_length(parts).to_numpy()))]
 
     def decode(self, ids: np.ndarray) -> str:
         """The tokens' own strings, joined by blanks, as the library does for a file without a decoder."""
         return " ".join(map(self.names.__getitem__, ids.tolist()))
 
 
+def _room(values: np.ndarray, size: int) -> np.ndarray:
+    """The array with room for ``size`` values, and as much again when it has to grow."""
+    if len(values) >= size:
+        return values
+    more = np.empty(2 * size, values.dtype)
+    more[:len(values)] = values
+    return more
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordBpe:
     """One encoder per Python worker."""
@@ -267,13 +306,24 @@ def groups(texts: pa.Array, chars: int = GROUP_CHARS) -> Iterator[tuple[int, lis
         yield first, group
 
 
-def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, ids (array of int), decoded (text)."""
+def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, pa.Array]]:
+    """(place of the first, texts) in slices of about ``size`` bytes; nulls become empty."""
+    texts = pc.fill_null(texts, "")
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    first = 0
+    while first < len(texts):
+        last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + size, "right")))
+        yield first, texts.slice(first, last - first)
+        first = last
+
+
+def _encoded(path: str):
+    """Batches of (id, text) to batches of (id, ids, decoded)."""
 
     def run(batches):
         bpe = encoder(path)
         for batch in batches:
-            for first, texts in groups(batch.column(1)):
+            for first, texts in slices(batch.column(1)):
                 ids, at = bpe.encode(texts)
                 decoded = [bpe.decode(ids[a:b]) for a, b in zip(at[:-1], at[1:])]
                 yield pa.RecordBatch.from_arrays(
@@ -281,27 +331,43 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
                      pa.array(decoded, pa.string())], ["doc_id", "ids", "decoded"])
         bpe.forget()
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+    return run
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by one space), decoded_sha256."""
+def _digested(batches):
+    """Batches of (id, ids, decoded) to batches of (id, n_tokens, ids_sha256, decoded_sha256)."""
 
     def sha(text: str) -> str:
         return hashlib.sha256(text.encode()).hexdigest()
 
-    def run(batches):
-        for batch in batches:
-            lists = batch.column(1)
-            at, ids = lists.offsets.to_numpy(), lists.values.to_numpy()
-            name = list(map(str, range(int(ids.max()) + 1))) if len(ids) else []
-            shas = [sha(" ".join(map(name.__getitem__, ids[a:b].tolist()))) for a, b in zip(at[:-1], at[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(at).astype(np.int64)), pa.array(shas),
-                 pa.array([sha(t) for t in batch.column(2).to_pylist()], pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    for batch in batches:
+        lists = batch.column(1)
+        at, ids = lists.offsets.to_numpy(), lists.values.to_numpy()
+        name = list(map(str, range(int(ids.max()) + 1))) if len(ids) else []
+        shas = [sha(" ".join(map(name.__getitem__, ids[a:b].tolist()))) for a, b in zip(at[:-1], at[1:])]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(np.diff(at).astype(np.int64)), pa.array(shas, pa.string()),
+             pa.array([sha(t) for t in batch.column(2).to_pylist()], pa.string())],
+            ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return rows, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}"
+
+
+def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ids (array of int), decoded (text)."""
+    rows, first = _rows(docs, id_col, text_col)
+    return rows.mapInArrow(freeing(_encoded(path)), f"{first}, ids array<int>, decoded string")
+
+
+def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by one space), decoded_sha256 of what ``encode`` gives.
+
+    The batches of ``encode`` are digested in the same tasks, and their texts stay there.
+    """
+    rows, first = _rows(docs, id_col, text_col)
+    run = _encoded(path)
+    return rows.mapInArrow(freeing(lambda batches: _digested(run(batches))),
+                           f"{first}, n_tokens long, ids_sha256 string, decoded_sha256 string")

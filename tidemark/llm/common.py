@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +41,20 @@ def row_key(id_col: str, text_col: str) -> Column:
     """Tells rows apart that repeat an id with another text; rows that repeat both are copies of one row."""
     return F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("-")),
                        F.xxhash64(text_or_empty(text_col)).cast("string"))
+
+
+def freeing(run):
+    """``run`` for mapInArrow; its task gives freed memory back to the system when it ends.
+
+    Python workers live on from stage to stage, and the allocators of Arrow and C keep what was freed.
+    """
+
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library only
+        if trim is not None:
+            trim(0)
+
+    return wrapped

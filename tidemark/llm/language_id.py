@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import groups
-from .common import saved
+from .common import freeing, saved
 
 ORDER = 5
 BROADCAST_GRAMS = 1_000_000  # n-grams in all models together; larger models are joined instead
@@ -332,7 +332,7 @@ def _text_grams(text: str, order: int) -> Counter:
 
 def _levels(rows: DataFrame, order: int) -> DataFrame:
     """Of rows (text, lang): lang, k, gram, n: every n-gram of every order and its Kneser-Ney count."""
-    counted = rows.mapInArrow(_count(order), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(freeing(_count(order)), "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     # written once: every order below reads it
     counted = saved(counted.withColumn("k", F.length("gram")), "language-grams")
     level = counted.where(F.col("k") == order)
@@ -473,7 +473,7 @@ def _by_joins(rows: DataFrame, model: Tabled, first: str) -> DataFrame:
 
     # the row numbers hold because they are written with what belongs to them
     counted = saved(rows.select(rows.columns[0], F.monotonically_increasing_id().alias("row"), rows.columns[1]).mapInArrow(
-        count, f"{first}, row long, letters long, grams array<struct<gram:string,n:long>>"), "language-texts")
+        freeing(count), f"{first}, row long, letters long, grams array<struct<gram:string,n:long>>"), "language-texts")
     each = counted.select("row", F.explode("grams").alias("g")).select("row", "g.*")
     scores = _gram_scores(each.select("gram").distinct(), model)
     mean = F.array(*(-F.sum(F.col("n") * F.col("scores")[i]) / F.sum("n") for i in range(len(langs))))
@@ -521,7 +521,7 @@ def _judged(rows: DataFrame, identifier: Identifier | Tabled, first: str) -> Dat
                     [batch.column(0).slice(at, len(texts)), *(pa.array(c, k) for c, k in zip(columns, kinds))],
                     [first.split()[0], "lang_pred", "score", "entropy", "letters", "accepted"])
 
-    return rows.mapInArrow(run, f"{first}, lang_pred string, score double, entropy double, letters long, accepted boolean")
+    return rows.mapInArrow(freeing(run), f"{first}, lang_pred string, score double, entropy double, letters long, accepted boolean")
 
 
 def predict(docs: DataFrame, identifier: Identifier | Tabled, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -546,4 +546,4 @@ def accepted(docs: DataFrame, identifier: Identifier | Tabled, text_col: str = "
             for at, texts in groups(batch.column(text_at)):
                 yield batch.slice(at, len(texts)).filter(pa.array([x[-1] for x in judge(texts, scorer)], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(freeing(run), docs.schema)

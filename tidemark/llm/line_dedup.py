@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved, text_or_empty
+from .common import freeing, saved, text_or_empty
 
 MIN_WORDS = 50
 
@@ -101,7 +101,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str, min_words: int) ->
     rows = docs.select(F.col(id_col).alias("doc_id"), _text_hash(text_col).alias("text_hash"), text_or_empty(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     # rows that repeat id and text give the same windows; one place each is left by the aggregates below
-    return rows.mapInArrow(run, f"fp long, doc_id {kind}, text_hash long, "
+    return rows.mapInArrow(freeing(run), f"fp long, doc_id {kind}, text_hash long, "
                                 "windows array<struct<digest:binary,first:int,last:int>>")
 
 
@@ -160,7 +160,7 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 columns[size_at] = pa.array(sizes, columns[size_at].type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return with_runs(docs, id_col, text_col, min_words, runs_col).mapInArrow(run, docs.schema)
+    return with_runs(docs, id_col, text_col, min_words, runs_col).mapInArrow(freeing(run), docs.schema)
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -181,4 +181,4 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_
 
     rows = with_runs(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), min_words=min_words)
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, deleted_lines long, runs string, sources array<{kind}>, text_sha256 string")
+    return rows.mapInArrow(freeing(run), f"doc_id {kind}, deleted_lines long, runs string, sources array<{kind}>, text_sha256 string")

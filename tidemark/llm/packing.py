@@ -31,8 +31,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .bpe import encoder, groups
-from .common import saved
+from .bpe import encoder, slices
+from .common import freeing, saved
 
 WINDOW = 4096
 OPEN_WINDOWS = 64
@@ -40,7 +40,7 @@ MIN_FRAGMENT = 32  # a gap below this is padded; no piece is cut for it
 FLUSH_IDS = 500_000  # ids in an output batch
 _MERGED = 1 << 62  # sequence ids of merged windows begin here
 
-_PIECES = "task long, win long, offset long, doc_id {}, start long, length long, doc_tokens long, ids array<int>, closed boolean"
+_PIECES = "task long, win long, offset long, doc_id {}, start long, length long, doc_tokens long, ids array<int>, ids_crc32 long, closed boolean"
 
 
 class Packer:
@@ -61,7 +61,7 @@ class Packer:
         n, at = len(ids), 0
         while n - at >= self.window:
             self.opened += 1
-            yield self.opened - 1, [(doc_id, at, ids[at:at + self.window], n)]
+            yield self.opened - 1, [(doc_id, at, ids[at:at + self.window].copy(), n)]
             at += self.window
         while at < n:
             piece = (doc_id, at, ids[at:].copy(), n)  # a copy: a window must not keep its batch's ids in memory
@@ -92,9 +92,14 @@ def _batch(rows: list, kind: pa.DataType) -> pa.RecordBatch:
     n = np.array([len(x) for x in ids])
     lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)), pa.int32()),
                                      pa.array(np.concatenate(ids).astype(np.int32)))
-    long = [pa.array(x, pa.int64()) for x in (task, win, offset, start, n, total)]
-    return pa.RecordBatch.from_arrays([*long[:3], pa.array(doc, kind), *long[3:], lists, pa.array(closed)],
-                                      "task win offset doc_id start length doc_tokens ids closed".split())
+    long = [pa.array(x, pa.int64()) for x in (task, win, offset, start, n, total, [_crc(x) for x in ids])]
+    return pa.RecordBatch.from_arrays([*long[:3], pa.array(doc, kind), *long[3:6], lists, long[6], pa.array(closed)],
+                                      "task win offset doc_id start length doc_tokens ids ids_crc32 closed".split())
+
+
+def _crc(ids: np.ndarray) -> int:
+    """Over the ids as little-endian unsigned 32-bit numbers."""
+    return zlib.crc32(np.ascontiguousarray(ids, "<u4"))
 
 
 def _windows(docs: DataFrame, path: str, end_id: int, window: int, open_windows: int, min_fragment: int) -> DataFrame:
@@ -111,10 +116,12 @@ def _windows(docs: DataFrame, path: str, end_id: int, window: int, open_windows:
 
         for batch in batches:
             kind = batch.schema.field(0).type
-            for first, texts in groups(batch.column(1)):
+            for first, texts in slices(batch.column(1)):
                 ids, at = bpe.encode(texts)
-                for doc_id, a, b in zip(batch.column(0).slice(first, len(texts)).to_pylist(), at[:-1], at[1:]):
-                    for k, pieces in packer.add(doc_id, np.append(ids[a:b], end_id)):
+                ids = np.insert(ids, at[1:], end_id)
+                at = at + np.arange(len(at))
+                for doc_id, a, b in zip(batch.column(0).slice(first, len(texts)).to_pylist(), at[:-1].tolist(), at[1:].tolist()):
+                    for k, pieces in packer.add(doc_id, ids[a:b]):
                         waiting += laid(k, pieces, True)
                         if waiting >= FLUSH_IDS:
                             yield _batch(rows, kind)
@@ -126,7 +133,7 @@ def _windows(docs: DataFrame, path: str, end_id: int, window: int, open_windows:
             yield _batch(rows, kind)
 
     rows = docs.select(F.col("doc_id"), F.col("text"))
-    return rows.mapInArrow(run, _PIECES.format(rows.schema["doc_id"].dataType.simpleString()))
+    return rows.mapInArrow(freeing(run), _PIECES.format(rows.schema["doc_id"].dataType.simpleString()))
 
 
 def tail_sizes(ids: int) -> list[int]:
@@ -136,10 +143,10 @@ def tail_sizes(ids: int) -> list[int]:
 
 def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, open_windows: int = OPEN_WINDOWS,
          min_fragment: int = MIN_FRAGMENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: doc_id, start, length, ids, doc_tokens, sequence_id, offset."""
+    """One row per piece: doc_id, start, length, ids, ids_crc32 (little-endian unsigned 32-bit ids), doc_tokens, sequence_id, offset."""
     pieces = saved(_windows(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")),
                             path, end_id, window, open_windows, min_fragment), "packing")
-    columns = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+    columns = ["doc_id", "start", "length", "ids", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
     closed = pieces.where("closed").withColumn("sequence_id", F.expr("shiftleft(task, 32) + win")).select(columns)
 
     # leftovers laid end to end: tasks in order (one row per task), then the windows of each task
@@ -172,17 +179,17 @@ def pack(docs: DataFrame, path: str, end_id: int = 2, window: int = WINDOW, open
                         F.slice("ids", (F.col("lo") - F.col("a") + 1).cast("int"), (F.col("hi") - F.col("lo")).cast("int")).alias("ids"),
                         "doc_tokens", (F.lit(_MERGED) + F.col("part.seq")).alias("sequence_id"),
                         (F.col("lo") - F.col("part.b")).alias("offset"))
-    return closed.unionByName(merged)
+    return closed.unionByName(_with_crc(merged))
 
 
-def with_crc(pieces: DataFrame) -> DataFrame:
-    """``pieces`` and ids_crc32, over the ids as little-endian unsigned 32-bit numbers."""
+def _with_crc(pieces: DataFrame) -> DataFrame:
+    """The pieces that the merge has cut, and their checksums."""
 
     def run(batches):
         for batch in batches:
             lists = batch.column("ids")
-            at, ids = lists.offsets.to_numpy(), lists.values.to_numpy().astype("<u4")
-            crc = [zlib.crc32(ids[a:b]) for a, b in zip(at[:-1], at[1:])]
+            at, ids = lists.offsets.to_numpy(), lists.values.to_numpy()
+            crc = [_crc(ids[a:b]) for a, b in zip(at[:-1], at[1:])]
             yield batch.append_column("ids_crc32", pa.array(crc, pa.int64()))
 
-    return pieces.mapInArrow(run, StructType([*pieces.schema.fields, StructField("ids_crc32", LongType())]))
+    return pieces.mapInArrow(freeing(run), StructType([*pieces.schema.fields, StructField("ids_crc32", LongType())]))

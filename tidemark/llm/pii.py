@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import freeing
+
 KINDS = ("email", "ip", "card", "phone")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -236,7 +238,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     doc = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {doc}, spans array<struct<kind:string,start:long,end:long,added:boolean>>")
+    return rows.mapInArrow(freeing(run), f"doc_id {doc}, spans array<struct<kind:string,start:long,end:long,added:boolean>>")
 
 
 def digests(found: DataFrame) -> DataFrame:
@@ -267,4 +269,4 @@ def redact(docs: DataFrame, text_col: str = "text", size_col: str = "n_chars") -
                                              for size, t, n in zip(sizes, old, new)], columns[size_at].type)
             yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(freeing(run), docs.schema)

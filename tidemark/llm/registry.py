@@ -11,8 +11,7 @@ from .common import table, tokenizer_path
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
-    return packing.with_crc(pieces).select(
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path()).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
@@ -42,7 +41,7 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path()))
+    return bpe.digests(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, saved
+from .common import freeing, row_key, saved
 from .connected import components
 
 WORDS, MAX_BITS, SEED = 3, 3, 42
@@ -64,7 +64,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps, pa.int64())], ["doc_id", "row", "fp"])
 
     rows = docs.select(F.col(id_col).alias("doc_id"), row_key(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row string, fp long")
+    return rows.mapInArrow(freeing(run), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, row string, fp long")
 
 
 def _key(mask: int, fp=None):
@@ -207,13 +207,13 @@ def links(nodes: DataFrame, max_list: int = MAX_LIST, max_bits: int = MAX_BITS)
         raise ValueError("the index is made for 1 to 3 bits")
     out = "kind int, a long, b long"
     index = nodes.select(F.explode(F.array(*(_key(m, F.col("fp")) for m in _KEYS))).alias("key"), "fp")
-    tallied = saved(index.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_tally(max_list, max_bits), out),
+    tallied = saved(index.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(freeing(_tally(max_list, max_bits)), out),
                     "simhash-tally")
     # the members of long lists, under each key of five bytes that holds their four
     four = F.shiftrightunsigned("a", 32)
     five = F.array(*(F.when(four.bitwiseAND(F.lit(m)) == four, _key(m, F.col("b"))) for m in _FIVE))
     dense = tallied.where("kind = 1").select(F.explode(F.array_compact(five)).alias("key"), F.col("b").alias("fp")).distinct()
-    dense = dense.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_dense(max_bits), out)
+    dense = dense.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(freeing(_dense(max_bits)), out)
     return tallied.where("kind = 0").unionAll(dense).select("a", "b")
 
 
