@@ -34,7 +34,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.with_crc(packing.pack(docs, tokenizer_path()))
+    return packing.pack(docs, tokenizer_path())
 
 
 STAGES = [
