@@ -2,7 +2,8 @@
 
 ``fix_encoding`` and the per-column rules reproduce a fixed rule table of
 known broken spellings; ``repair_mojibake`` is the general repair of UTF-8
-text that was decoded as Latin-1 / Windows-1252.
+text that was decoded as Latin-1 / Windows-1252, ``repair_mojibake_runs`` the
+same for values of which only parts are broken.
 """
 
 from __future__ import annotations
@@ -129,3 +130,25 @@ def repair_mojibake(x) -> Column:
     looks_broken = pre.rlike("[Â-ô][\u0080-¿]")
     latin1_only = ~pre.rlike("[^\\x{0000}-\\x{00FF}]")
     return F.when(looks_broken & latin1_only, F.coalesce(candidate, c)).otherwise(c)
+
+
+# one character that was a lead byte, and as many as that byte announces that were continuation bytes
+_CONTINUED = f"[\u0080-\u00bf{_CP1252_HIGH}]"
+_BROKEN = f"[Â-ß]{_CONTINUED}|[à-ï]{_CONTINUED}{{2}}|[ð-ô]{_CONTINUED}{{3}}"
+
+
+def repair_mojibake_runs(x) -> Column:
+    """Repair of the broken parts of a value; sound parts, in any script, stay.
+
+    The value is split into sequences that look like one mis-decoded character
+    and everything between them.  Each sequence is mapped back to its bytes and
+    re-read as UTF-8, on its own, and stays as it is if that is not valid.
+    """
+    c = _c(x)
+    parts = F.regexp_extract_all(c, F.lit(f"(?s){_BROKEN}|[^Â-ô]+|."), F.lit(0))
+
+    def mended(part: Column) -> Column:
+        data = F.encode(F.translate(part, _CP1252_HIGH, _C1_CONTROLS), "ISO-8859-1")
+        return F.when(part.rlike(f"^(?:{_BROKEN})$"), F.coalesce(F.try_validate_utf8(data), part)).otherwise(part)
+
+    return F.when(c.rlike(_BROKEN), F.array_join(F.transform(parts, mended), "")).otherwise(c)

@@ -10,19 +10,20 @@ ingestion, sinks and the pipeline write the files that they are about.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.calendar import typed_column
-from tidemark.functions.text import canonical_segment, fix_encoding, repair_mojibake
-from tidemark.operators import enrich, gold, quality, silver
+from tidemark.functions.text import SEGMENT_CANONICAL, canonical_segment, fix_encoding, repair_mojibake, repair_mojibake_runs
+from tidemark.operators import enrich, gold, quality, rules, silver, sketches
 from tidemark.operators.dedup import keep_first
 from tidemark.plans.pipeline import run_pipeline
 from tidemark.session import new_run_dir
-from tidemark.sources import files, fixtures
-from tidemark.sources.sinks import write_table
+from tidemark.sources import files, fixtures, inference
+from tidemark.sources.sinks import list_layer, materialize, write_catalog_table, write_table
 from tidemark.streaming.landing import run_landing_once
 
 # Fixed recency reference day for repeatable customer-basket results.
@@ -110,6 +111,29 @@ def q_ingest_json_envelope(spark, d):
     return _lineage(fixtures.feed_flat(spark, d), "(landing-feed-envelope)")
 
 
+def q_ingest_csv_inferred(spark, d):
+    """The types that the landed bronze folders have, found without a schema."""
+    out = None
+    for name, path in _land_csv(spark, d, list(fixtures.BRONZE_BUILDERS)).items():
+        types = inference.infer_csv(spark, path).select(F.lit(name).alias("table_name"), "*")
+        out = types if out is None else out.unionByName(types)
+    return out
+
+
+def q_ingest_products_inferred(spark, d):
+    df = _lineage(inference.ingest_csv_inferred(spark, _land_csv(spark, d, ["products"])["products"]), "([^/]+)/[^/]+$")
+    # the digits of a decimal depend on the data
+    return df.select(*(F.col(c).cast("double").alias(c) if t.startswith("decimal") else c for c, t in df.dtypes))
+
+
+def q_ingest_json_inferred(spark, d):
+    """Records with fields that only some have, typed by the schema that all have together."""
+    df = inference.ingest_json_inferred(spark, fixtures.land_feed_mixed(spark, d))
+    return df.select("id", "title", "price", F.col("rating.rate").alias("rating_rate"), F.col("rating.count").alias("rating_count"),
+                     F.array_join("tags", "|").alias("tags"), F.col("dims.w").alias("dims_w"), F.col("dims.h.cm").alias("dims_h_cm"),
+                     files.CORRUPT)
+
+
 def q_clean_feed_nested(spark, d):
     return silver.clean_feed_nested(fixtures.feed_nested(spark, d))
 
@@ -133,10 +157,54 @@ def q_sink_partitioned(spark, d):
     return spark.read.parquet(path)
 
 
+def q_sink_ranges(spark, d):
+    """Daily sales in files of disjoint date ranges, read back."""
+    path = new_run_dir(spark, "sink-ranges")
+    write_table(gold.sales_daily(*_silver(spark, d, "sales", "channels")), path, audit_column=None, range_by="date")
+    return spark.read.parquet(path)
+
+
 def q_load_report(spark, d):
     return run_pipeline(spark, d, as_of=AS_OF)
 
 
+def _schema(label: str) -> str:
+    return f"tidemark_{label}_{uuid.uuid4().hex[:8]}"
+
+
+def q_catalog_refresh(spark, d):
+    """Customers written to the catalog, then twice read, mended and replaced by themselves, the second time with a new column."""
+    name, path = f"{_schema('refresh')}.customers", new_run_dir(spark, "catalog-refresh")
+    write_catalog_table(_bronze(spark, d, "customers").select("id_client", "ville", "segment"), name, path=path, audit_column=None)
+    for step in ({"ville": fix_encoding("ville")},
+                 {"segment": canonical_segment(F.trim("segment")), "segment_brut": F.col("segment")}):
+        write_catalog_table(spark.table(name).withColumns(step), name, path=path, audit_column=None)
+    return spark.table(name)
+
+
+def _catalog_bronze(spark, d) -> dict[str, str]:
+    """The raw tables and feeds as tables of the catalog."""
+    schema, path = _schema("raw"), new_run_dir(spark, "catalog-raw")
+    frames = {**fixtures.bronze_tables(spark, d), "feed_nested": fixtures.feed_nested(spark, d), "feed_flat": fixtures.feed_flat(spark, d)}
+    for name, df in frames.items():
+        write_catalog_table(df, f"{schema}.{name}", path=path, audit_column=None)
+    return {name: f"{schema}.{name}" for name in list_layer(spark, schema)}
+
+
+def q_load_report_catalog(spark, d):
+    """The pipeline from catalog tables to catalog tables, with the layers' listing."""
+    return run_pipeline(spark, bronze=_catalog_bronze(spark, d), as_of=AS_OF, catalog=_schema("lake") + "_")
+
+
+def q_load_report_resumed(spark, d):
+    """A second run after the returns have changed: only what depends on them is built."""
+    out = new_run_dir(spark, "pipeline-resumed")
+    bronze = fixtures.bronze_tables(spark, d)
+    part = {**bronze, "returns": bronze["returns"].where(F.col("date_retour") < "1996-01-01")}
+    run_pipeline(spark, bronze=part, out=out, as_of=AS_OF)
+    return run_pipeline(spark, bronze=bronze, out=out, as_of=AS_OF, resume=True)
+
+
 # ── row-level primitives ─────────────────────────────────────────────────
 
 def q_filter_not_null(spark, d):
@@ -174,6 +242,38 @@ def q_repair_mojibake(spark, d):
     return b.select("id_retour", "motif", repair_mojibake("motif").alias("motif_repare"))
 
 
+def q_repair_mojibake_runs(spark, d):
+    """Values of sound and broken parts: a word before and one after a broken reason."""
+    b = _bronze(spark, d, "returns")
+    mixed = F.concat(F.lit("Fès “œuvre” 日本 "), "motif", F.lit(" Ã‰tÃ© déjà Å“uf Ã"))
+    return b.select("id_retour", mixed.alias("motif_mixte"), repair_mojibake_runs(mixed).alias("motif_repare"))
+
+
+def _segment_rules(spark):
+    return spark.createDataFrame(SEGMENT_CANONICAL, "key string, value string")
+
+
+def q_segment_by_rules(spark, d):
+    out = rules.canonicalise(_bronze(spark, d, "customers").select("id_client", "segment"), "segment", _segment_rules(spark))
+    return out.withColumnRenamed("_matched", "matched")
+
+
+def q_segment_unmatched(spark, d):
+    return rules.unmatched(_bronze(spark, d, "customers"), "segment", _segment_rules(spark))
+
+
+def q_distinct_customers_sketch(spark, d):
+    """Customers by month and channel from stored daily sketches, beside the exact count."""
+    sales = materialize(_silver(spark, d, "sales")[0].select("date", "annee", "mois", "id_canal", "id_client"), "sketch-sales")
+    stored = materialize(sketches.daily_sketches(sales), "sketches")
+    keys = ["annee", "mois", "id_canal"]
+    rolled = sketches.rolled_up(stored, keys, annee=F.year("date"), mois=F.month("date"))
+    exact = sales.groupBy(*keys).agg(F.countDistinct("id_client").alias("clients_uniques"))
+    joined = rolled.join(exact, [rolled[k].eqNullSafe(exact[k]) for k in keys])
+    return joined.select(*(rolled[k] for k in keys), F.col("n").alias("nb_ventes"), "clients_uniques",
+                         sketches.within_bound(F.col("distinct_estimate"), F.col("clients_uniques")).alias("dans_la_borne"))
+
+
 def q_dedup_single_key(spark, d):
     b = _bronze(spark, d, "sales")
     t = b.select(*[typed_column(b, c, t).alias(c) for c, t in silver.SALES_TYPES.items()], "statut")
@@ -217,10 +317,17 @@ QUERIES: dict[str, Query] = {
     "ingest_csv_incremental": q_ingest_csv_incremental,
     "ingest_json": q_ingest_json,
     "ingest_json_envelope": q_ingest_json_envelope,
+    "ingest_csv_inferred": q_ingest_csv_inferred,
+    "ingest_products_inferred": q_ingest_products_inferred,
+    "ingest_json_inferred": q_ingest_json_inferred,
     # sinks
     "sink_roundtrip": q_sink_roundtrip,
     "sink_partitioned": q_sink_partitioned,
+    "sink_ranges": q_sink_ranges,
+    "catalog_refresh": q_catalog_refresh,
     "load_report": q_load_report,
+    "load_report_catalog": q_load_report_catalog,
+    "load_report_resumed": q_load_report_resumed,
     # silver
     **{f"clean_{n}": _clean(n, "strict") for n in silver.CLEANERS},
     **{f"clean_{n}_basic": _clean(n, "basic") for n in silver.CLEANERS},
@@ -241,6 +348,9 @@ QUERIES: dict[str, Query] = {
     "discount_total": _gold(gold.discount_total, "sales"),
     "fix_encoding": q_fix_encoding,
     "repair_mojibake": q_repair_mojibake,
+    "repair_mojibake_runs": q_repair_mojibake_runs,
+    "segment_by_rules": q_segment_by_rules,
+    "segment_unmatched": q_segment_unmatched,
     # dedup
     "dedup_single_key": q_dedup_single_key,
     "dedup_composite_key": q_dedup_composite_key,
@@ -250,6 +360,7 @@ QUERIES: dict[str, Query] = {
     "join_sales_products": _gold(enrich.join_sales_products, "sales", "products"),
     # aggregates and windows
     "distinct_customers": _gold(gold.distinct_customers, "sales"),
+    "distinct_customers_sketch": q_distinct_customers_sketch,
     "revenue_share": _gold(gold.revenue_share, "sales", "channels"),
     "top_products_k": _gold(gold.top_products_k, "sales", "products"),
     "category_growth": _gold(gold.category_growth, "sales", "products"),

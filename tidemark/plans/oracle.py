@@ -425,9 +425,9 @@ LOAD_TABLES = [("bronze", t) for t in (*BRONZE_TABLES, *FEEDS)] + [("silver", t)
 SALES_TEXT = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in SALES_COLS)
 
 
-def _load_report() -> str:
+def _load_report(tables=None, status=lambda layer, t: "ok", more: str = "") -> str:
     parts = []
-    for layer, t in LOAD_TABLES:
+    for layer, t in tables or LOAD_TABLES:
         src = f"{layer}_{t}" if layer != "gold" else f"g_{t}"
         if t in FEEDS:
             src = "part"
@@ -437,8 +437,37 @@ def _load_report() -> str:
             src = "g_return_joined"
         if t == "sales_by_category":
             src = "g_category_brand"
-        parts.append(f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS rows, 'ok' AS status, "
-                     f"CAST(0 AS BIGINT) AS corrupt_rows FROM {src}")
+        parts.append(f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS rows, '{status(layer, t)}' AS status, "
+                     f"CAST(0 AS BIGINT) AS corrupt_rows{more} FROM {src}")
+    return "\nUNION ALL\n".join(parts)
+
+
+_DOUBLES = ("prix_unitaire", "montant", "prix", "prix_achat", "poids_kg", "montant_rembourse")
+
+
+def _inferred() -> str:
+    """The type of each bronze column from its text, doubles beyond plain notation being written with an exponent."""
+    whole, digits = "'[+-]?(0|[1-9][0-9]*)'", "length(regexp_replace(v, '[^0-9]', '', 'g'))"
+    parts = []
+    for t, cols in (("sales", [*SALES_COLS]), ("customers", CUSTOMER_COLS), ("products", PRODUCT_COLS), ("returns", RETURN_COLS),
+                    ("stocks", STOCK_COLS), ("channels", CHANNEL_COLS)):
+        for c in cols:
+            text = f"CAST({c} AS VARCHAR)"
+            if c in _DOUBLES:
+                text = f"CASE WHEN abs({c}) >= 1e7 OR {c} <> 0 AND abs({c}) < 1e-3 THEN '1E9' ELSE {text} END"
+            fraction = "length(regexp_extract(v, '\\.([0-9]+)$', 1))"
+            parts.append(f"""
+SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS rows, count(*) FILTER (v IS NULL) AS empty,
+  CASE WHEN count(v) = 0 THEN 'void'
+    WHEN bool_and(regexp_full_match(v, {whole}) AND TRY_CAST(v AS INTEGER) IS NOT NULL) FILTER (v IS NOT NULL) THEN 'int'
+    WHEN bool_and(regexp_full_match(v, {whole}) AND TRY_CAST(v AS BIGINT) IS NOT NULL) FILTER (v IS NOT NULL) THEN 'bigint'
+    WHEN bool_and(regexp_full_match(v, '[+-]?(0|[1-9][0-9]*)(\\.[0-9]+)?'))
+      THEN 'decimal(' || max({digits} - {fraction}) + max({fraction}) || ',' || max({fraction}) || ')'
+    WHEN bool_and(TRY_CAST(v AS DOUBLE) IS NOT NULL AND NOT regexp_full_match(v, '[+-]?0[0-9]+.*')) FILTER (v IS NOT NULL) THEN 'double'
+    WHEN bool_and(regexp_full_match(v, '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') AND TRY_CAST(v AS DATE) IS NOT NULL)
+      FILTER (v IS NOT NULL) THEN 'date'
+    ELSE 'string' END AS type_name
+FROM (SELECT nullif(trim({text}), '') AS v FROM bronze_{t})""")
     return "\nUNION ALL\n".join(parts)
 
 
@@ -467,7 +496,39 @@ FINAL = {
         for t in ("sales", "customers", "products", "stocks", "returns", "channels")),
     "sink_roundtrip": "SELECT * FROM silver_sales",
     "sink_partitioned": f"SELECT {DAILY_COLS} FROM g_sales_daily",
+    "sink_ranges": f"SELECT {DAILY_COLS} FROM g_sales_daily",
     "load_report": _load_report(),
+    "load_report_catalog": _load_report(more=", TRUE AS listed"),
+    "load_report_resumed": _load_report([x for x in LOAD_TABLES if x[1] not in FEEDS],
+                                        lambda layer, t: "ok" if t in ("returns", "return_rate") else "kept"),
+    "catalog_refresh": f"""
+SELECT id_client, {fix_enc('ville')} AS ville, {SEGMENT} AS segment, segment AS segment_brut FROM bronze_customers""",
+    "ingest_csv_inferred": _inferred(),
+    "ingest_products_inferred": """
+SELECT CAST(id_produit AS INTEGER) AS id_produit, nom_produit, categorie, marque, prix, prix_achat, poids_kg, stock_initial,
+       CAST(NULL AS VARCHAR) AS _corrupt_record, 'products' AS source FROM bronze_products""",
+    "ingest_json_inferred": """
+SELECT CASE WHEN p_partkey % 3 < 2 THEN CAST(p_partkey AS VARCHAR) WHEN p_partkey % 2 = 0 THEN 'P' || p_partkey END AS id,
+       CASE WHEN p_partkey % 3 < 2 OR p_partkey % 2 = 0 THEN p_name END AS title,
+       CASE p_partkey % 3 WHEN 0 THEN floor(p_retailprice) WHEN 1 THEN p_retailprice END AS price,
+       CASE p_partkey % 3 WHEN 0 THEN (p_size % 50) / 10 WHEN 1 THEN CAST(p_size % 5 AS DOUBLE) END AS rating_rate,
+       CASE WHEN p_partkey % 3 = 0 THEN CAST(p_size * 7 AS BIGINT) END AS rating_count,
+       CASE WHEN p_partkey % 3 = 1 THEN p_brand || '|' || p_type END AS tags,
+       CASE WHEN p_partkey % 3 = 2 AND p_partkey % 2 = 0 THEN CAST(p_size AS BIGINT) END AS dims_w,
+       CASE WHEN p_partkey % 3 = 2 AND p_partkey % 2 = 0 THEN p_size / 4 END AS dims_h_cm,
+       CASE WHEN p_partkey % 3 = 2 AND p_partkey % 2 = 1 THEN '{cut ' || p_name END AS _corrupt_record
+FROM part""",
+    "repair_mojibake_runs": """
+SELECT id_retour, 'Fès “œuvre” 日本 ' || motif || ' Ã‰tÃ© déjà Å“uf Ã' AS motif_mixte,
+       'Fès “œuvre” 日本 ' || replace(motif, 'Ã©', 'é') || ' Été déjà œuf Ã' AS motif_repare FROM bronze_returns""",
+    "segment_by_rules": f"""
+SELECT id_client, {SEGMENT} AS segment, lower(trim(segment)) IN ('premium', 'standard', 'vip') AS matched FROM bronze_customers""",
+    "segment_unmatched": """
+SELECT segment AS value, count(*) AS rows FROM bronze_customers
+WHERE lower(trim(segment)) NOT IN ('premium', 'standard', 'vip') GROUP BY segment""",
+    "distinct_customers_sketch": """
+SELECT annee, mois, id_canal, count(*) AS nb_ventes, count(DISTINCT id_client) AS clients_uniques, TRUE AS dans_la_borne
+FROM silver_sales GROUP BY annee, mois, id_canal""",
     **{f"clean_{t}": f"SELECT * FROM silver_{t}"
        for t in ("sales", "customers", "products", "returns", "stocks", "channels")},
     **{f"clean_{t}_basic": f"SELECT * FROM basic_{t}"

@@ -8,13 +8,25 @@ Failures are isolated per table and summarised with their message in the
 report, and the run then *fails* (``PipelineError``) so that a scheduler sees
 it.  Tables are published only when complete (``sources.sinks``), so the last
 good version of a failed table stays readable.
+
+Tables are folders below ``out``, or tables of the session's catalog (schemas
+``catalog`` + layer).  Inputs are DataFrames or names of catalog tables.
+
+A run notes each finished table in ``out/_manifest``: its version, and the
+versions of its inputs (of a raw table: what its plan and files are).  With
+``resume`` a run builds only the tables that are missing or whose inputs have
+another version than noted; the others are reported as ``kept``.
 """
 
 from __future__ import annotations
 
+import hashlib
+import json
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators import gold
@@ -23,10 +35,12 @@ from tidemark.operators.silver import CLEANERS, clean_feed_flat, clean_feed_nest
 from tidemark.session import new_run_dir
 from tidemark.sources import fixtures
 from tidemark.sources.files import CORRUPT
-from tidemark.sources.sinks import write_counted
+from tidemark.sources.sinks import CatalogStore, FolderStore, file_states, read_texts, write_text
 
 SILVER_PARTITIONS = {"sales": ["annee", "mois"]}
 FEED_CLEANERS = {"feed_nested": clean_feed_nested, "feed_flat": clean_feed_flat}
+LAYERS = ("bronze", "silver", "gold")
+DONE = ("ok", "kept")
 AUDIT = ("_updated_at", "_ingested_at", "_source_file")
 
 # gold table -> (builder, silver inputs, partition columns)
@@ -57,25 +71,61 @@ class PipelineError(RuntimeError):
         self.report = report
 
 
+class Manifest:
+    """What is finished: (layer, table) -> version, inputs, rows, corrupt."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.path = spark, f"{root}/_manifest"
+        entries = [json.loads(t) for t in read_texts(spark, self.path)]
+        self.entries = {(e["layer"], e["table"]): e for e in entries}
+
+    def version(self, layer: str, table: str) -> str | None:
+        entry = self.entries.get((layer, table))
+        return entry["version"] if entry else None
+
+    def note(self, layer: str, table: str, inputs: dict[str, str | None], rows: int, corrupt: int) -> None:
+        entry = {"layer": layer, "table": table, "version": uuid.uuid4().hex, "inputs": inputs, "rows": rows, "corrupt": corrupt}
+        write_text(self.spark, f"{self.path}/{layer}-{table}", json.dumps(entry))
+        self.entries[layer, table] = entry
+
+
+def source_version(df: DataFrame) -> str:
+    """Of a raw table: a digest of its plan, and of the size and time of each file that it reads.
+
+    Equal within a session for the same plan over the same files; a plan that
+    can't be told to be the same counts as another one.
+    """
+    told = [str(df.semanticHash()), *file_states(df.sparkSession, df.inputFiles())]
+    return hashlib.sha256("\n".join(told).encode()).hexdigest()
+
+
 def run_pipeline(spark: SparkSession, sf_dir: str | None = None, out: str | None = None,
-                 bronze: dict[str, DataFrame] | None = None, profile: str = "strict",
-                 as_of=None, parallel_jobs: int = 4) -> DataFrame:
-    """Build all tables under ``out``; return the load report.
-
-    ``bronze`` holds the six raw tables and, optionally, the two product feeds;
-    by default they are derived from the test tables of ``sf_dir``.  Tables of
-    one layer are independent, so their writes are submitted as concurrent Spark
-    jobs (``parallel_jobs`` at a time): small tables no longer leave most
-    executors idle while they run one after another.
+                 bronze: dict[str, DataFrame | str] | None = None, profile: str = "strict",
+                 as_of=None, parallel_jobs: int = 4, catalog: str | None = None, resume: bool = False) -> DataFrame:
+    """Build all tables under ``out``, or in the catalog with their files under ``out``; return the load report.
+
+    ``bronze`` holds the six raw tables and, optionally, the two product feeds, as
+    frames or names of catalog tables; by default they are derived from the test
+    tables of ``sf_dir``.  Tables of one layer are independent, so their writes
+    are submitted as concurrent Spark jobs (``parallel_jobs`` at a time): small
+    tables no longer leave most executors idle while they run one after another.
     """
     out = (out or new_run_dir(spark, "pipeline")).rstrip("/")
     if bronze is None:
         bronze = {**fixtures.bronze_tables(spark, sf_dir), "feed_nested": fixtures.feed_nested(spark, sf_dir),
                   "feed_flat": fixtures.feed_flat(spark, sf_dir)}
-
-    def attempt(layer: str, name: str, build, partition_by, audit="_updated_at") -> tuple:
+    bronze = {name: spark.table(df) if isinstance(df, str) else df for name, df in bronze.items()}
+    store = CatalogStore(spark, out, catalog) if catalog else FolderStore(spark, out)
+    manifest = Manifest(spark, out)
+    there = {layer: set(store.tables(layer)) for layer in LAYERS} if resume else {}
+
+    def attempt(layer: str, name: str, build, partition_by, inputs: dict[str, str | None], audit="_updated_at") -> tuple:
+        done = manifest.entries.get((layer, name))
+        if resume and done and name in there[layer] and done["inputs"] == inputs and None not in inputs.values():
+            return (layer, name, done["rows"], "kept", done["corrupt"])
         try:
-            n, corrupt = write_counted(build(), f"{out}/{layer}/{name}", partition_by, audit)
+            n, corrupt = store.write(build(), layer, name, partition_by, audit)
+            manifest.note(layer, name, inputs, n, corrupt)
             return (layer, name, n, "ok", corrupt)
         except Exception as e:  # isolate, report, fail at the end
             return (layer, name, None, f"failed: {type(e).__name__}: {str(e).strip()[:500]}", None)
@@ -85,19 +135,23 @@ def run_pipeline(spark: SparkSession, sf_dir: str | None = None, out: str | None
             return list(pool.map(lambda t: attempt(*t), tasks))
 
     def written(rows: list[tuple]) -> dict[str, DataFrame]:
-        return {name: spark.read.parquet(f"{out}/{layer}/{name}") for layer, name, _, status, _ in rows if status == "ok"}
+        return {name: store.read(layer, name) for layer, name, _, status, _ in rows if status in DONE}
 
     def with_skipped(layer: str, names, done: list[tuple]) -> list[tuple]:
         found = {r[1]: r for r in done}
         return [found.get(n, (layer, n, None, "skipped: input failed", None)) for n in names]
 
-    landed = run_layer([("bronze", name, (lambda f=df: f), [], None if "_ingested_at" in df.columns else "_ingested_at")
-                        for name, df in bronze.items()])
+    def after(layer: str, *names: str, **settings) -> dict[str, str | None]:
+        return {f"{layer}.{n}": manifest.version(layer, n) for n in names} | {k: str(v) for k, v in settings.items()}
+
+    landed = run_layer([("bronze", name, (lambda f=df: f), [], {"source": source_version(df)},
+                         None if "_ingested_at" in df.columns else "_ingested_at") for name, df in bronze.items()])
     raw = {name: df.drop(*AUDIT) for name, df in written(landed).items()}
     cleaners = {name: (lambda c=clean, n=name: c(raw[n], profile)) for name, clean in CLEANERS.items()}
     cleaners |= {name: (lambda c=clean, n=name: c(raw[n])) for name, clean in FEED_CLEANERS.items() if name in bronze}
     cleaned = with_skipped("silver", cleaners, run_layer(
-        [("silver", name, build, SILVER_PARTITIONS.get(name, [])) for name, build in cleaners.items() if name in raw]))
+        [("silver", name, build, SILVER_PARTITIONS.get(name, []), after("bronze", name, profile=profile))
+         for name, build in cleaners.items() if name in raw]))
     silver = {name: df.drop(*AUDIT, CORRUPT) for name, df in written(cleaned).items()}
 
     builders = {name: ("gold", *spec) for name, spec in GOLD_TABLES.items()}
@@ -106,12 +160,17 @@ def run_pipeline(spark: SparkSession, sf_dir: str | None = None, out: str | None
     for name, (layer, build, inputs, parts) in builders.items():
         if all(i in silver for i in inputs):
             kwargs = {"as_of": as_of} if name == "customer_basket" else {}
-            tasks.append((layer, name, (lambda b=build, i=inputs, k=kwargs: b(*[silver[x] for x in i], **k)), parts))
+            tasks.append((layer, name, (lambda b=build, i=inputs, k=kwargs: b(*[silver[x] for x in i], **k)), parts,
+                          after("silver", *inputs, **kwargs)))
     done = run_layer(tasks)
     rows = landed + cleaned + with_skipped("silver", ["sales_enriched"], done) + with_skipped("gold", GOLD_TABLES, done)
 
-    failed = [f"{layer}.{name}" for layer, name, _, status, _ in rows if status != "ok"]
+    failed = [f"{layer}.{name}" for layer, name, _, status, _ in rows if status not in DONE]
     report = spark.createDataFrame(rows, REPORT_SCHEMA)
+    if catalog:
+        listed = [(layer, name) for layer in LAYERS for name in store.tables(layer)]
+        listed = spark.createDataFrame(listed, "layer string, table_name string").withColumn("listed", F.lit(True))
+        report = report.join(listed, ["layer", "table_name"], "full").fillna(False, ["listed"])
     if failed:
         raise PipelineError(failed, report)
     return report

@@ -244,5 +244,23 @@ def feed_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.ingest_json_envelope(spark, path, multi_line=False)
 
 
+def land_feed_mixed(spark: SparkSession, sf_dir: str) -> str:
+    """A feed whose records differ: fields that only some have, whole and fractional numbers, an id that is a number or text."""
+    p = read_table(spark, sf_dir, "part")
+    key, size = F.col("p_partkey"), F.col("p_size")
+    title, price = F.col("p_name").alias("title"), F.col("p_retailprice")
+    whole = F.to_json(F.struct(key.alias("id"), title, F.floor(price).alias("price"),
+                               F.struct((size % 50 / 10).alias("rate"), (size * 7).alias("count")).alias("rating")))
+    tagged = F.to_json(F.struct(key.alias("id"), title, price.alias("price"), F.struct((size % 5).alias("rate")).alias("rating"),
+                                F.array(F.col("p_brand"), F.col("p_type")).alias("tags")))
+    sized = F.to_json(F.struct(F.concat(F.lit("P"), key.cast("string")).alias("id"), title,
+                               F.struct(size.alias("w"), F.struct((size / 4).alias("cm")).alias("h")).alias("dims")))
+    path = new_run_dir(spark, "landing-feed-mixed")
+    kind = key % 3
+    (p.select(F.when(kind == 0, whole).when(kind == 1, tagged).when(key % 2 == 0, sized).otherwise(F.concat(F.lit("{cut "), title)).alias("value"))
+     .write.mode("overwrite").text(path))
+    return path
+
+
 def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: build(spark, sf_dir) for name, build in BRONZE_BUILDERS.items()}
