@@ -3,8 +3,12 @@
 Base detectors find emails, IPv4 addresses, card numbers (16 to 19 digits,
 Luhn) and international phone numbers.  Then transducers rewrite disguises:
 look-alike letters and digits, zero-width characters, ``(at)`` / ``[dot]`` /
-``name at host dot org``, and digits spelled in English, French, German or
-Spanish.  The detectors run again on the rewritten text, and each find is
+``name at host dot org`` / ``name arroba host punto es``, letters that look like
+digits among digits, and digits spelled in English, French, German or Spanish,
+with any white space between them.  A bare "at" before a host with literal dots
+is prose ("look at example.com") unless the name has a mark in it (a dot, a
+digit), follows a cue ("mail", "write to") or begins the text, a line or a
+bracket.  The detectors run again on the rewritten text, and each find is
 mapped back to the source characters it came from.  Base spans always stay;
 a rewritten find is added unless it lies within a base span of its kind.
 
@@ -107,49 +111,97 @@ _DIGITS = ("zero one two three four five six seven eight nine", "zéro un deux t
            "null eins zwei drei vier fünf sechs sieben acht neun", "cero uno dos tres cuatro cinco seis siete ocho nueve")
 DIGIT_WORDS = {w: str(d) for words in _DIGITS for d, w in enumerate(words.split())}
 _WORD = "(?:" + "|".join(sorted(DIGIT_WORDS, key=len, reverse=True)) + ")"
-_GAP = r"[\s-]{1,3}"
-_OPEN, _CLOSE = r"\s{0,3}[(\[{<]\s{0,3}", r"\s{0,3}[)\]}>]\s{0,3}"
+_GAP = r"[\s-]++"
+_OPEN, _CLOSE = r"\s*+[(\[{<]\s*+", r"\s*+[)\]}>]\s*+"
 _DOT_WORD = r"(?:dot|punkt|punto|point)"
-_DOT = rf"(?:\s{{1,3}}{_DOT_WORD}\s{{1,3}}|{_OPEN}(?:{_DOT_WORD}|\.){_CLOSE})"
+_DOT = rf"(?:\s++{_DOT_WORD}\s++|{_OPEN}(?:{_DOT_WORD}|\.){_CLOSE})"
 # fixed values: endings with which "name at host dot ..." is an address whatever the host, and words that make
 # "at ... dot" prose before any other ending
 _ENDING = "(?:com|org|net|edu|gov|info|biz|io|co|eu|uk|us|ca|de|fr|es)"
 _DETERMINER = ("(?:an?|the|this|that|these|those|each|every|any|some|one|no|which|what|my|your|his|her|its|our|their|another"
                "|un|une|le|la|ce|der|die|das|dem|den|ein|eine|einem|el|los|las|una|este|ese)")
-_LABEL, _ANY_DOT = "[a-z0-9-]{1,63}", rf"(?:\.|{_DOT})"
+# a name of the domain system: a label has up to 63 characters, the whole up to 253, so up to 127 labels
+_LABEL, _ANY_DOT, _MORE = "[a-z0-9-]{1,63}", rf"(?:\.|{_DOT})", "{0,126}"
 # one dot at least is disguised
-_HOST = rf"(?:{_LABEL}\.){{0,5}}{_LABEL}{_DOT}(?:{_LABEL}{_ANY_DOT}){{0,5}}"
+_HOST = rf"(?:{_LABEL}\.){_MORE}+{_LABEL}{_DOT}(?:{_LABEL}{_ANY_DOT}){_MORE}"
+_LITERAL_HOST = rf"{_LABEL}(?:\.{_LABEL}){_MORE}\.[a-z]{{2,63}}\b(?!\.[a-z0-9])"
+# fixed values: words before a name that is an address when "at" and a host with literal dots follow it
+_CUE = "(?:e-?mail|mail|contact|write|reach|correo|kontakt|courriel|escribe|schreib(?:e|en)?)"
 _RULES = re.compile(
     rf"(?P<at>(?<=[\w.%+-]){_OPEN}(?:at|@|arroba){_CLOSE}(?=\w)"
-    rf"|(?<=[\w.%+-])\s{{1,3}}at\s{{1,3}}(?={_HOST}{_ENDING}\b|(?!{_DETERMINER}{_DOT}){_HOST}[a-z]{{2,63}}\b))"
-    rf"|(?P<dot>(?<=\w){_OPEN}(?:{_DOT_WORD}|\.){_CLOSE}(?=\w)|(?<=\w)\s{{1,3}}{_DOT_WORD}\s{{1,3}}(?=\w))"
-    rf"|(?P<plus>\bplus\s{{1,3}}(?={_WORD}\b|[0-9]))"
+    rf"|(?<=[\w.%+-])\s++(?:at|arroba)\s++(?={_HOST}{_ENDING}\b|(?!{_DETERMINER}{_DOT}){_HOST}[a-z]{{2,63}}\b|(?P<literal>{_LITERAL_HOST})))"
+    rf"|(?P<dot>(?<=\w){_OPEN}(?:{_DOT_WORD}|\.){_CLOSE}(?=\w)|(?<=\w)\s++{_DOT_WORD}\s++(?=\w))"
+    rf"|(?P<plus>\bplus\s++(?={_WORD}\b|[0-9]))"
     rf"|(?P<run>\b{_WORD}\b(?:{_GAP}{_WORD}\b)*)", re.IGNORECASE)
-# what a text must hold for a rule to matter: a bracketed at or dot, a dot in words, a plus in words,
+# fixed values: words that stand before "at" in prose where a line or bracket begins
+_PROSE = ("(?:looks?|looking|see|seen|meet|met|visit|find|found|read|buy|sold|shop|order|available|located|based|hosted|live|online|open|more"
+          "|here|now|out|it|is|are|was|us|me|you|them|him|her|page|site|website|stop|stay|start|back|home|free|only|not|and|or|as)")
+# before a bare "at" and a host with literal dots: a name with a mark in it, or one after a cue or where a line or bracket begins
+_NAMED = re.compile(rf"(?:[\w+-]*[._%+0-9][\w.%+-]*|(?:(?:\A|[\n:<(\[])\s*+(?!{_PROSE}\Z)|\b{_CUE}(?:\s++(?:to|me|us|him|her|an|a|à))?\s++)[\w.%+-]+)\Z",
+                    re.IGNORECASE)
+# dots with white space on both sides, in the host after a disguised at
+_SPACED = re.compile(rf"{_LABEL}(?:(?:\s++\.\s++|\.){_LABEL}){_MORE}", re.IGNORECASE)
+_SPACED_DOT = re.compile(r"\s++\.\s++")
+# what a text must hold for a rule to matter: a bracketed at or dot, a dot in words, a plus in words, an at before a host,
 # or a spelled digit beside a digit or another spelled one
-_BRACKETED = re.compile(rf"[(\[{{<]\s{{0,3}}(?:at|@|arroba|{_DOT_WORD}|\.)\s{{0,3}}[)\]}}>]", re.IGNORECASE)
+_BRACKETED = re.compile(rf"[(\[{{<]\s*+(?:at|@|arroba|{_DOT_WORD}|\.)\s*+[)\]}}>]", re.IGNORECASE)
 _DOTTED = re.compile(rf"\s{_DOT_WORD}\s", re.IGNORECASE)
-_PLUS = re.compile(rf"\bplus\s{{1,3}}(?:{_WORD}\b|[0-9])", re.IGNORECASE)
-_SPELLED = re.compile(rf"\b{_WORD}(?:{_GAP}{_WORD}\b|[\s.-]{{1,3}}[0-9])|[0-9][\s.-]{{1,3}}{_WORD}\b|\+\s{{0,3}}{_WORD}\b", re.IGNORECASE)
+_PLUS = re.compile(rf"\bplus\s++(?:{_WORD}\b|[0-9])", re.IGNORECASE)
+_AT = re.compile(rf"\s(?:at|arroba)\s++{_LABEL}\.", re.IGNORECASE)
+_SPELLED = re.compile(rf"\b{_WORD}(?:{_GAP}{_WORD}\b|[\s.-]++[0-9])|[0-9][\s.-]++{_WORD}\b|\+\s*+{_WORD}\b", re.IGNORECASE)
 # a lone spelled digit counts beside a digit, a plus or a dot; a dot in words must be of its language
 _DOTS_OF = ("dot|point", "point", "punkt", "punto")
-_BESIDE = {}
+_AFTER, _BEFORE = {}, {}
 for _w in DIGIT_WORDS:
     _d = "|".join(d for d, words in zip(_DOTS_OF, _DIGITS) if _w in words.split())
-    _d = rf"(?:\s{{1,3}}(?:{_d})\s{{1,3}}|{_OPEN}(?:{_DOT_WORD}|\.){_CLOSE})"
-    _BESIDE[_w] = (re.compile(rf"(?:[0-9][\s.-]{{1,3}}|\+\s{{0,3}}|\bplus\s{{1,3}}|\w{_d})\Z", re.IGNORECASE),
-                   re.compile(rf"[\s.-]{{1,3}}[0-9]|{_d}\w", re.IGNORECASE))
-_NEAR = 32  # characters: more than any of these takes
+    _AFTER[_w] = re.compile(rf"[\s.-]++[0-9]|(?:\s++(?:{_d})\s++|{_OPEN}(?:{_DOT_WORD}|\.){_CLOSE})\w", re.IGNORECASE)
+    _BEFORE[_w] = re.compile(rf"(?:\s(?:{_d})|[(\[{{<]\s*+(?:{_DOT_WORD}|\.)\s*+[)\]}}>])\Z", re.IGNORECASE)
 _EACH_WORD = re.compile(rf"({_WORD})(?:{_GAP}(?={_WORD}\b))?", re.IGNORECASE)
+# fixed values: letters that look like digits, and those digits
+_LETTER_DIGITS = str.maketrans("OolISB", "001158")
+# an address of four numbers, or at least eight digits with usual separators, some of them such letters
+_LETTERED = re.compile(r"(?<![\w.])[0-9OolISB]{1,3}(?:\.[0-9OolISB]{1,3}){3}(?![\w])|(?<![\w])(?<![0-9OolISB][ .()-])[0-9OolISB](?:[ .()-]?[0-9OolISB]){7,}+(?!\w)")
+_LETTER = re.compile("[OolISB]")
+_SPACES = re.compile(r"\s{2,}")
+
+
+def _last_of(text: str, end: int, chars: str) -> int:
+    """The end of the text before ``end`` without trailing white space and ``chars``."""
+    while end and (text[end - 1].isspace() or text[end - 1] in chars):
+        end -= 1
+    return end
 
 
 def _counts(text: str, run: re.Match) -> bool:
     """Whether spelled digits stand for digits: several do, a lone one beside a digit, a plus or a dot."""
-    beside = _BESIDE.get(run[0].lower())
-    if beside is None:
+    after = _AFTER.get(run[0].lower())
+    if after is None or after.match(text, run.end()):
+        return True
+    a = run.start()
+    # to its left: white space, dots and dashes after a digit; white space after a plus, or after a word "plus"
+    near = _last_of(text, a, ".-")
+    if near < a and near and text[near - 1] in "0123456789":
+        return True
+    near = _last_of(text, a, "")
+    if near and (text[near - 1] == "+" or near < a and text[max(0, near - 4):near].lower() == "plus" and not text[max(0, near - 5):near - 4].isalnum()):
         return True
-    a, b = run.span()
-    return bool(beside[0].search(text[max(0, a - _NEAR):a]) or beside[1].match(text, b))
+    # or a dot in words or brackets, itself after a word
+    m = _BEFORE[run[0].lower()].search(text, max(0, near - 16), near)
+    if m is None:
+        return False
+    begin = _last_of(text, m.start() + (text[m.start()].isspace()), "")
+    closed = text[near - 1] in ")]}>"
+    return bool(begin) and (text[begin - 1].isalnum() or text[begin - 1] == "_") and (closed or near < a)
+
+
+def _spelled_spaces(text: str, a: int, b: int) -> list[tuple[int, int]]:
+    """Runs of white space among the digits beside a run of spelled digits (from a to b)."""
+    lo, hi = a, b
+    while lo and (text[lo - 1] in "0123456789-" or text[lo - 1].isspace()):
+        lo -= 1
+    while hi < len(text) and (text[hi] in "0123456789-" or text[hi].isspace()):
+        hi += 1
+    return [m.span() for part in ((lo, a), (b, hi)) for m in _SPACES.finditer(text, *part)]
 
 
 def rewritten(text: str, runs_only: bool = False) -> tuple[str, np.ndarray, np.ndarray] | None:
@@ -164,22 +216,41 @@ def rewritten(text: str, runs_only: bool = False) -> tuple[str, np.ndarray, np.n
         start = np.flatnonzero(kept)
         end = start + 1
         text = "".join(swaps.get(c, c) for c in text)
-    if not (_BRACKETED.search(text) or _DOTTED.search(text) or _PLUS.search(text) or _SPELLED.search(text)):
+    lettered = [m for m in _LETTERED.finditer(text)
+                if 0 < len(_LETTER.findall(m[0])) < sum(c in "0123456789" for c in m[0])] if _DIGIT.search(text) else []
+    if not (lettered or _BRACKETED.search(text) or _DOTTED.search(text) or _PLUS.search(text) or _AT.search(text) or _SPELLED.search(text)):
         return (text, start, end) if swaps else None
     if start is None:
         start = np.arange(len(text))
         end = start + 1
     pieces: list[tuple[int, int, str]] = []  # (from, to, replacement of one character)
+    spaces: list[tuple[int, int]] = []
     for m in _RULES.finditer(text):
-        if m.lastgroup == "run":
+        if m["run"]:
             if runs_only and len(_EACH_WORD.findall(m[0])) < 3 or not _counts(text, m):
                 continue
             for w in _EACH_WORD.finditer(text, *m.span()):
                 pieces.append((w.start(), w.end(), DIGIT_WORDS[w[1].lower()]))
+            spaces += _spelled_spaces(text, *m.span())
+        elif m["at"]:
+            # the name is looked for in the 64 characters that a local part may have, and a cue before it
+            if m["literal"] and not _NAMED.search(text[max(0, m.start() - 96):m.start()] if m.start() > 96 else text[:m.start()]):
+                continue
+            pieces.append((*m.span(), "@"))
+            host = _SPACED.match(text, m.end())
+            if host:
+                pieces += [(*d.span(), ".") for d in _SPACED_DOT.finditer(text, *host.span())]
         else:
-            pieces.append((*m.span(), {"at": "@", "dot": ".", "plus": "+"}[m.lastgroup]))
+            pieces.append((*m.span(), "." if m["dot"] else "+"))
+    pieces += [(m.start() + x.start(), m.start() + x.end(), x[0].translate(_LETTER_DIGITS)) for m in lettered for x in _LETTER.finditer(m[0])]
     if not pieces:
         return (text, start, end) if swaps else None
+    # in order, without overlaps: a disguise takes the white space beside it
+    taken = sorted([*((a, 0, b, new) for a, b, new in pieces), *((a, 1, b, " ") for a, b in spaces)])
+    pieces = []
+    for k, (a, space, b, new) in enumerate(taken):
+        if (not pieces or pieces[-1][1] <= a) and not (space and any(x < b for x, other, _, _ in taken[k + 1:k + 2] if not other)):
+            pieces.append((a, b, new))
     out, s, e, last = [], [], [], 0
     for a, b, new in [*pieces, (len(text), len(text), "")]:
         out += [text[last:a], new]
