@@ -10,12 +10,16 @@ found by refining histograms: a point's place is a 62-bit number (coordinate,
 then a hash of the text), and each round sums the weights of 4096 bins within
 the bin that holds the quantile.
 
-Copies of a text stay together, unless they weigh more than ``MAX_GROUP`` of a
-shard: such a group, which may be a third of the corpus, is dealt by document
-into lighter parts that are neighbours in every order.
+Copies of a text stay together wherever they fit into a shard.  Points heavier
+than ``MAX_GROUP`` of a shard (at most shards / ``MAX_GROUP``) are dealt first at
+each split: in the order of the dimension, up to the side's share of them, or,
+if a side can't hold that, the heaviest first to the side with more room.  The
+cut among all other points is then at the quantile that makes up for them.
+Only a group heavier than a whole shard, which may be a third of the corpus, is
+dealt by document into parts of ``MAX_GROUP`` that are neighbours in every order.
 
 The law is ``bytes``: the shards' sizes are near equal, within about the size of
-a point for each level.
+a light point for each level, as long as the heavy ones leave room for that.
 
 Defined results: a null text counts as empty (size 8).  Null languages and
 sources count as empty names.  Rows that repeat an id get a slot
@@ -24,13 +28,13 @@ each.  An empty table gives an empty result.  Extra columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from .common import saved, text_or_empty
 
 SHARDS = 24
-MAX_GROUP = 0.005      # of a shard's bytes: the heaviest point
+MAX_GROUP = 0.005      # of a shard's bytes: heavier points are dealt one by one
 TOLERANCE = 0.001      # of a node's bytes: a bin this light is not refined
 BIN_BITS = 12
 SLOT_BUCKETS = 1024    # slots are numbered within so many buckets of a shard
@@ -49,14 +53,19 @@ def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        column("lang"), column("source"))
 
 
+def heavy_weight(total: int, shards: int) -> int:
+    """Points above this weight are heavy."""
+    return max(1, int(total / shards * MAX_GROUP))
+
+
 def with_parts(rows: DataFrame, shards: int) -> DataFrame:
-    """``rows`` and the part of its group that each belongs to: 0, unless the group is too heavy for one point."""
+    """``rows`` and the part of its group that each belongs to: 0, unless the group is too heavy for a shard."""
     total = rows.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
-    most = max(1, int(total / shards * MAX_GROUP))
+    most = heavy_weight(total, shards)
     heavy = rows.groupBy("digest").agg(F.sum("size").alias("weight"), F.count(F.lit(1)).alias("n"))
     parts = F.least(F.ceil(F.col("weight") / most), F.col("n"), F.lit(1 << _PART_BITS)).cast("int").alias("parts")
-    # at most shards / MAX_GROUP groups are that heavy
-    heavy = F.broadcast(heavy.where((F.col("weight") > most) & (F.col("n") > 1)).select("digest", parts))
+    # fewer groups than shards are that heavy
+    heavy = F.broadcast(heavy.where((F.col("weight") > total / shards) & (F.col("n") > 1)).select("digest", parts))
     part = F.pmod(F.xxhash64("doc_id"), F.coalesce("parts", F.lit(1))).cast("int")
     return rows.join(heavy, "digest", "left").withColumn("part", part).drop("parts")
 
@@ -122,9 +131,32 @@ def _quantiles(items: DataFrame, wanted: dict[int, float], total: dict[int, floa
             return cut
 
 
+def _dealt(heavy: list[Row], d: str, room: tuple[float, float]) -> tuple[list[Row], list[Row]]:
+    """Heavy points of a node left and right: by their place, the left side's share of them, if both sides have the room."""
+    weight, left, right, done = sum(p.weight for p in heavy), [], [], 0
+    share = weight * room[0] / max(sum(room), 1e-9)
+    for p in sorted(heavy, key=lambda p: (p[d], bytes(p.digest), p.part)):
+        if not right and done + p.weight / 2 <= share:
+            left.append(p)
+            done += p.weight
+        else:
+            right.append(p)
+    if done <= room[0] and weight - done <= room[1]:
+        return left, right
+    sides, free = ([], []), list(room)
+    for p in sorted(heavy, key=lambda p: (-p.weight, p[d], bytes(p.digest), p.part)):
+        k = 0 if free[0] >= free[1] else 1
+        sides[k].append(p)
+        free[k] -= p.weight
+    return sides
+
+
 def assign(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
     """digest, part, shard of each point."""
-    items = saved(points(rows).withColumn("node", F.lit(0)), "kd-points")
+    every = saved(points(rows).withColumn("node", F.lit(0)), "kd-points")
+    most = heavy_weight(every.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0], shards)
+    items = every.where(F.col("weight") <= most)
+    heavy = {0: every.where(F.col("weight") > most).collect()}  # by node; at most shards / MAX_GROUP in all
     span = {0: (0, shards)}  # by node: first shard and number of shards
     while any(n > 1 for _, n in span.values()):
         split = [k for k, (_, n) in span.items() if n > 1]
@@ -132,22 +164,34 @@ def assign(rows: DataFrame, shards: int = SHARDS) -> DataFrame:
         stats = {r.node: r for r in here.groupBy("node").agg(
             F.sum("weight").alias("w"), *(F.min(d).alias(f"{d}_0") for d in DIMENSIONS),
             *(F.max(d).alias(f"{d}_1") for d in DIMENSIONS)).collect()}
-        widest = {k: max(range(len(DIMENSIONS)), key=lambda d: stats[k][f"{DIMENSIONS[d]}_1"] - stats[k][f"{DIMENSIONS[d]}_0"])
-                  if k in stats else 0 for k in split}
+
+        def width(k, d):
+            ends = [stats[k][f"{d}_0"], stats[k][f"{d}_1"]] if k in stats else []
+            ends += [p[d] for p in heavy[k]]
+            return max(ends) - min(ends) if ends else 0
+
+        widest = {k: max(range(len(DIMENSIONS)), key=lambda d: width(k, DIMENSIONS[d])) for k in split}
         place = F.element_at(F.array(*DIMENSIONS), _lookup(widest, "int") + 1)
         total = {k: float(stats[k].w) if k in stats else 0.0 for k in split}
-        wanted = {k: total[k] * (span[k][1] // 2) / span[k][1] for k in split if k in stats}
-        cut = _quantiles(here.select("node", place.alias("place"), "weight"), wanted, total) if wanted else {}
-        new = {}
+        new, wanted = {}, {}
         for k in split:
             first, n = span[k]
-            new[2 * k + 1], new[2 * k + 2] = (first, n // 2), (first + n // 2, n - n // 2)
+            left, right = 2 * k + 1, 2 * k + 2
+            new[left], new[right] = (first, n // 2), (first + n // 2, n - n // 2)
+            room = total[k] + sum(p.weight for p in heavy[k])
+            room = (room * (n // 2) / n, room * (n - n // 2) / n)
+            heavy[left], heavy[right] = _dealt(heavy.pop(k), DIMENSIONS[widest[k]], room)
+            if k in stats:  # what the heavy points leave for the others
+                wanted[k] = min(total[k], max(0.0, room[0] - sum(p.weight for p in heavy[left])))
+        cut = _quantiles(here.select("node", place.alias("place"), "weight"), wanted, total) if wanted else {}
         cuts = _lookup({k: cut[k][0] for k in split if k in cut}, "long") if cut else F.lit(0)
         side = F.when(place < cuts, 2 * F.col("node") + 1).otherwise(2 * F.col("node") + 2)
         node = F.when(F.col("node").isin(split), side).otherwise(F.col("node")).cast("int")
         items = saved(items.withColumn("node", node), "kd-points")
         span = {**{k: v for k, v in span.items() if k not in split}, **new}
-    return items.select("digest", "part", _lookup({k: first for k, (first, _) in span.items()}, "int").alias("shard"))
+    light = items.select("digest", "part", _lookup({k: first for k, (first, _) in span.items()}, "int").alias("shard"))
+    dealt = [(p.digest, p.part, span[k][0]) for k, ps in heavy.items() for p in ps]
+    return light.unionByName(rows.sparkSession.createDataFrame(dealt, light.schema)) if dealt else light
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
