@@ -2,9 +2,9 @@
 
 Returns one long table ``(table_name, check_name, value)`` so that new checks
 add rows, not columns.  All checks come from one pass: every table is read once
-as (table, column, value) of its key and reference columns and counted per
+as (column number, value) of its key and reference columns and counted per
 value (with map-side combine, so a hot key is one row), and the counts meet the
-referenced keys in one join.
+referenced keys in one join, which takes the partitioning of the counts.
 """
 
 from __future__ import annotations
@@ -34,29 +34,34 @@ REFERENCES = [
 ]
 
 
-def _values(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
-    pairs = F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns))
-    return df.select(F.lit(table).alias("table_name"), F.explode(pairs).alias("p")).select("table_name", "p.*")
+# every checked column has a number: (table, column)
+COLUMNS = [*KEYS.items(), *((fact, fk) for fact, fk, _ in REFERENCES)]
+_FIGURES = ("rows", "null_keys", "duplicate_keys", "orphans")
+
+
+def _numbered(df: DataFrame, columns: dict[int, str]) -> DataFrame:
+    """(number, value) of each numbered column: one generator over the row, whose keys are integers."""
+    pairs = ", ".join(f"{k}, CAST(`{c}` AS string)" for k, c in columns.items())
+    return df.select(F.expr(f"stack({len(columns)}, {pairs}) AS (c, value)"))
 
 
 def validate_layers(tables: dict[str, DataFrame]) -> DataFrame:
-    foreign = {t: [fk for fact, fk, _ in REFERENCES if fact == t] for t in KEYS}
-    values = reduce(DataFrame.unionByName, (_values(tables[t], t, [key, *foreign[t]]) for t, key in KEYS.items()))
-    counts = values.groupBy("table_name", "column", "value").agg(F.count(F.lit(1)).alias("n"))
-    known = reduce(DataFrame.unionByName, (
-        tables[dim].select(F.lit(fact).alias("table_name"), F.lit(fk).alias("column"),
-                           F.col(KEYS[dim]).cast("string").alias("value")) for fact, fk, dim in REFERENCES))
+    values = reduce(DataFrame.unionByName, (
+        _numbered(tables[t], {k: c for k, (table, c) in enumerate(COLUMNS) if table == t}) for t in KEYS))
+    counts = values.groupBy("c", "value").agg(F.count(F.lit(1)).alias("n"))
+    # the keys that a table's references point to, under the number of each reference
+    referred = {dim: {len(KEYS) + k: KEYS[dim] for k, (_, _, d) in enumerate(REFERENCES) if d == dim} for *_, dim in REFERENCES}
+    known = reduce(DataFrame.unionByName, (_numbered(tables[dim], columns) for dim, columns in referred.items()))
     known = known.where("value IS NOT NULL").distinct().withColumn("known", F.lit(True))
     there = F.col("value").isNotNull()
     n = F.col("n")
-    stats = counts.join(known, ["table_name", "column", "value"], "left").groupBy("table_name", "column").agg(
+    stats = counts.join(known, ["c", "value"], "left").groupBy("c").agg(
         F.sum(n).alias("rows"), F.sum(F.when(~there, n)).alias("null_keys"),
         F.sum(F.when(there, n - 1)).alias("duplicate_keys"),
         F.sum(F.when(there & F.col("known").isNull(), n)).alias("orphans"))
     # every check is a row, also of an empty table
-    checks = [(t, key, c, c) for t, key in KEYS.items() for c in ("rows", "null_keys", "duplicate_keys")]
-    checks += [(t, fk, "orphans", f"orphan_{fk}") for t, fk, _ in REFERENCES]
-    spark = values.sparkSession
-    wanted = spark.createDataFrame(checks, "table_name string, column string, figure string, check_name string")
-    value = F.coalesce(*(F.when(F.col("figure") == c, F.col(c)) for c in ("rows", "null_keys", "duplicate_keys", "orphans")), F.lit(0))
-    return wanted.join(stats, ["table_name", "column"], "left").select("table_name", "check_name", value.alias("value"))
+    checks = [(k, t, f, f) for k, t in enumerate(KEYS) for f in _FIGURES[:3]]
+    checks += [(len(KEYS) + k, t, "orphans", f"orphan_{fk}") for k, (t, fk, _) in enumerate(REFERENCES)]
+    wanted = values.sparkSession.createDataFrame(checks, "c int, table_name string, figure string, check_name string")
+    value = F.coalesce(*(F.when(F.col("figure") == f, F.col(f)) for f in _FIGURES), F.lit(0))
+    return wanted.join(stats, "c", "left").select("table_name", "check_name", value.alias("value"))

@@ -47,19 +47,18 @@ def ingest_landing(spark: SparkSession, table: str, landing_dir: str, bronze_dir
 
 def run_landing_once(spark: SparkSession, table: str, landing_dir: str, bronze_dir: str,
                      checkpoint_dir: str | None = None) -> int:
-    """Ingest what has landed, wait for completion, return the rows ingested in this run."""
-    before = _rows(spark, bronze_dir)
+    """Ingest what has landed, wait for completion, return the rows ingested in this run.
+
+    The rows are those that the stream itself reports for its batches, so neither
+    the bronze table's history nor another writer has a part in them.
+    """
     q = ingest_landing(spark, table, landing_dir, bronze_dir, checkpoint_dir)
-    q.awaitTermination()
+    rows: dict[int, int] = {}
+    done = False
+    while not done:  # a query keeps the reports of its last batches only
+        done = q.awaitTermination(1)
+        for p in q.recentProgress:
+            rows[p["batchId"]] = max(rows.get(p["batchId"], 0), p["numInputRows"])
     if q.exception() is not None:
         raise q.exception()
-    return _rows(spark, bronze_dir) - before
-
-
-def _rows(spark: SparkSession, bronze_dir: str) -> int:
-    """Committed rows (from the files' footers); 0 if nothing was written yet."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(bronze_dir)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{bronze_dir}/_spark_metadata")):
-        return 0
-    return spark.read.parquet(bronze_dir).count()
+    return sum(rows.values())
