@@ -64,3 +64,20 @@ def test_small_tables(spark):
         df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS)
         got = found(nn_descent.nearest(df, F.col("vec_id") % 100 == 0))
         assert got == {q: w for q, w in brute(rows).items() if w}
+
+
+def test_vectors_of_one_hash_stay_apart(spark, monkeypatch):
+    monkeypatch.setattr(nn_descent, "_hash", lambda col: F.xxhash64(col) % 40)
+    rng = random.Random(4)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(3)]) for i in range(150)] + [(i, [1.0, 2.0, 3.0]) for i in range(200, 230)]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], VECTORS).repartition(3)
+    got, want = found(nn_descent.nearest(df, F.col("vec_id") % 100 == 0)), brute(rows)
+    assert set(got) == set(want) and recall(got, want) >= 0.95
+    assert [i for _, i in got[200]] == list(range(201, 211))
+
+
+def test_buckets_by_dimension(spark):
+    for size, want in ((1, 4096), (768, 64 * 2 ** 20 // (4 * 768 * 48)), (10 ** 6, 16)):
+        one = spark.range(1).select(F.array_repeat(F.lit(1.0), size).alias("vec"))
+        assert nn_descent._bucket_nodes(one) == want
+    assert nn_descent._bucket_nodes(spark.createDataFrame([], "vec array<double>")) == 4096

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import ctypes
 import gc
+from weakref import WeakKeyDictionary
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import new_run_dir
+from tidemark.session import new_run_dir, remove_dir
+
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,7 +27,16 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     """
     path = f"{new_run_dir(df.sparkSession, label)}/table"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDERS[out] = path
+    return out
+
+
+def discard(df: DataFrame | None) -> None:
+    """Delete the files of a ``saved`` frame that nothing will read again, such as those of the round before."""
+    path = _FOLDERS.pop(df, None) if df is not None else None
+    if path:
+        remove_dir(df.sparkSession, path)
 
 
 def text_or_empty(col: str | Column) -> Column:

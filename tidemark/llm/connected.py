@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import discard, saved
 
 
 def _state(links: DataFrame):
@@ -27,12 +27,14 @@ def components(links: DataFrame) -> DataFrame:
     while now != before:
         both = links.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionAll(links.select("lo", "hi"))
         # written before it is joined: adaptive execution splits a hot key only between plain exchanges
-        least = saved(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "links-least")
+        first = saved(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "links-least")
         # large star: the larger neighbours of each node go to its smallest
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = both.join(first, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         # small star: a node and its smaller neighbours go to the smallest of them
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(least, "hi").select(F.explode(F.array("hi", "lo")).alias("hi"), F.col("m").alias("lo"))
-        links = saved(small.where("hi <> lo").distinct(), "links")
+        old, links = (links, first), saved(small.where("hi <> lo").distinct(), "links")
+        for table in old:
+            discard(table)
         before, now = now, _state(links)
     return links.select(F.col("hi").alias("node"), F.col("lo").alias("root"))

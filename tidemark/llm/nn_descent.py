@@ -36,14 +36,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import discard, saved
 
 NEIGHBOURS, REVERSE = 24, 24  # of a node in the graph; of the nodes it is a neighbour of, in a round
 WALK_REVERSE = 48              # of those, in a search
 LINES, BLOCK = 3, 128
 ROUNDS, LEAST_CHANGE = 8, 0.02
 POOL, BEAM = 256, 80
-BUCKET_NODES, LEAST_BUCKETS = 4096, 16
+BUCKET_NODES, LEAST_BUCKETS = 4096, 16  # at most, at least
+BUCKET_BYTES = 64 << 20        # of single-precision vectors that the lists of a bucket may name
 BUCKET_QUERIES = 256
 
 
@@ -53,16 +54,34 @@ def nodes(vectors: DataFrame, members: int, id_col: str = "vec_id", vec_col: str
     rows = rows.where(F.col("vec_id").isNotNull() & F.forall("vec", lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
                       & F.exists("vec", lambda x: x != 0))  # NaN is larger than any number
     length = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    rows = rows.where(F.size("vec") == (length.n if length else 0)).select("vec_id", "vec", F.xxhash64("vec").alias("node"))
-    rows = saved(rows.groupBy("vec_id", "node").agg(F.any_value("vec").alias("vec")), "nn-rows")
-    rank = F.dense_rank().over(Window.partitionBy("node").orderBy("vec_id"))
+    rows = rows.where(F.size("vec") == (length.n if length else 0)).select("vec_id", "vec", _hash("vec").alias("hash"))
+    rows = saved(rows.distinct(), "nn-rows")
+    rank = F.dense_rank().over(Window.partitionBy("hash", "vec").orderBy("vec_id"))
     few = rows.withColumn("rank", rank).where(F.col("rank") <= members)
-    found = few.groupBy("node").agg(F.any_value("vec").alias("vec"), F.sort_array(F.collect_list("vec_id")).alias("members"))
-    return saved(found, "nn-nodes"), rows.select("vec_id", "node")
+    found = saved(few.groupBy("hash", "vec").agg(F.sort_array(F.collect_list("vec_id")).alias("members")), "nn-vectors")
+    # different vectors of one hash, if there are any, get numbers of their own
+    shared = saved(found.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash"), "nn-shared")
+    if shared.limit(1).count():
+        rank = F.row_number().over(Window.partitionBy("hash").orderBy("vec"))
+        own = saved(found.join(shared, "hash").select("hash", "vec", F.xxhash64("hash", rank).alias("own")), "nn-own")
+        numbered = lambda df: df.join(own, ["hash", "vec"], "left").withColumn("node", F.coalesce("own", "hash"))
+    else:
+        numbered = lambda df: df.withColumn("node", F.col("hash"))
+    return (saved(numbered(found).select("node", "vec", "members"), "nn-nodes"), numbered(rows).select("vec_id", "node"))
 
 
-def _buckets(n: int) -> int:
-    return max(LEAST_BUCKETS, -(-n // BUCKET_NODES))
+def _hash(col: str) -> Column:
+    return F.xxhash64(col)
+
+
+def _bucket_nodes(found: DataFrame) -> int:
+    """Nodes by bucket: so many that the vectors their lists name fit ``BUCKET_BYTES``."""
+    one = found.select(F.size("vec").alias("n")).first()
+    return max(16, min(BUCKET_NODES, BUCKET_BYTES // (4 * max(1, one.n if one else 1) * (NEIGHBOURS + REVERSE))))
+
+
+def _buckets(found: DataFrame) -> int:
+    return max(LEAST_BUCKETS, -(-found.count() // _bucket_nodes(found)))
 
 
 def _bucket(col: str, buckets: int) -> Column:
@@ -171,8 +190,7 @@ def _reverse(edges: DataFrame, most: int, salt: int = 0) -> DataFrame:
 
 def graph(found: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFrame:
     """(u, v, d) the approximate k nearest nodes of each node."""
-    n = found.count()
-    buckets = _buckets(n)
+    n, buckets = found.count(), _buckets(found)
     edges = saved(_along_lines(found, k, -(-n // BUCKET_NODES)), "nn-graph")
     for r in range(rounds):
         lists = edges.select(F.col("u").alias("x"), "v", "new").unionByName(_reverse(edges, REVERSE, r))
@@ -185,7 +203,10 @@ def graph(found: DataFrame, k: int = NEIGHBOURS, rounds: int = ROUNDS) -> DataFr
         vectors = needed.join(found.join(far, "node", "left"), F.col("v") == F.col("node")).select(
             "at", "v", F.col("vec").cast("array<float>").alias("vec"), F.coalesce("far", F.lit(float("inf"))).alias("far"))
         compared = lists.groupBy("bucket").cogroup(vectors.groupBy("at")).applyInPandas(_compare(k), "u long, v long, d double")
+        old = edges
         edges = saved(_nearest(edges.withColumn("new", F.lit(False)).unionByName(compared.withColumn("new", F.lit(True))), k), "nn-graph")
+        discard(old)
+        discard(lists)
         if edges.where("new").count() <= LEAST_CHANGE * n * k:
             break
     return edges
@@ -243,7 +264,7 @@ _STATE = "q long, vec array<double>, bound double, ids array<long>, d array<doub
 
 def search(found: DataFrame, edges: DataFrame, wanted: DataFrame, pool: int = POOL, beam: int = BEAM) -> DataFrame:
     """(q, node, d): the nearest nodes met of each node q in ``wanted``, itself included."""
-    buckets = _buckets(found.count())
+    buckets = _buckets(found)
     near = edges.select(F.col("u").alias("x"), "v").unionByName(
         _reverse(edges.withColumn("new", F.lit(False)), WALK_REVERSE).select("x", "v"))
     near = near.groupBy("x").agg(F.collect_set("v").alias("near"))
@@ -264,7 +285,9 @@ def search(found: DataFrame, edges: DataFrame, wanted: DataFrame, pool: int = PO
         answers = requests.groupBy("bucket").cogroup(held.groupBy("bucket")).applyInPandas(
             _evaluate, "q long, ids array<long>, d array<double>, near array<array<long>>")
         answers = answers.withColumn("qb", _bucket("q", query_buckets))
+        old = state
         state = saved(state.groupBy("qb").cogroup(answers.groupBy("qb")).applyInPandas(_advance(pool, beam), _STATE), "nn-search")
+        discard(old)
     return state.select("q", F.explode(F.arrays_zip("ids", "d")).alias("e")).select("q", F.col("e.ids").alias("node"), F.col("e.d").alias("d"))
 
 
@@ -273,12 +296,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "ve
     """query_id, rank (from 1), vec_id, score (Euclidean distance): the k nearest found of each row with ``is_query`` (of vec_id)."""
     found, rows = nodes(vectors, k + 1, id_col, vec_col)
     edges = graph(found)
-    queries = rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("node").alias("q"))
+    queries = saved(rows.where(is_query).select(F.col("vec_id").alias("query_id"), F.col("node").alias("q")), "nn-queries")
     met = search(found, edges, queries.select(F.col("q").alias("node")), pool, beam)
     met = met.join(found.select("node", "members"), "node").select("q", F.explode("members").alias("vec_id"), F.col("d").alias("score"))
     # the k + 1 first rows by query node: one of them may be the query's own
     rank = F.row_number().over(Window.partitionBy("q").orderBy("score", "vec_id"))
-    met = met.withColumn("rank", rank).where(F.col("rank") <= k + 1).drop("rank")
+    # written first: copies of one vector may be a third of the queries, and a hot key is split only between plain exchanges
+    met = saved(met.withColumn("rank", rank).where(F.col("rank") <= k + 1).drop("rank"), "nn-met")
     result = queries.join(met, "q").where("query_id <> vec_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return result.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
