@@ -58,7 +58,7 @@ def test_model_as_the_formula(words):
 
 def test_counts_in_spark(spark, words):
     rows = spark.createDataFrame([(" ".join(words[k::5]), "x") for k in range(5)], "text string, lang string").repartition(3)
-    got = lid._grams(rows, 4, 10**6)["x"]
+    got = lid._collected(lid._levels(rows, 4), 4)["x"]
     want = grams_of(words, 4)
     for k in range(1, 5):
         assert dict(zip(got[k][0], got[k][1].tolist())) == dict(want[k])
@@ -91,11 +91,6 @@ def test_odd_rows_and_rejection(spark, sf_small, docs_of):
     assert lid.predict(docs_of([]), known).count() == 0
 
 
-def test_bounded_model(spark, sf_small):
-    found = lid._grams(spark.read.parquet(f"{sf_small}/documents.parquet").select("text", "lang"), 4, 1600)
-    assert all(len(g[0]) <= 100 for by in found.values() for g in by.values())
-
-
 def test_every_n_gram_is_kept(spark, docs_of):
     rng = random.Random(9)
     many = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=12)) for _ in range(20_000)]
@@ -131,7 +126,7 @@ def test_long_runs_of_letters_count_whole(spark, words):
     rng = random.Random(4)
     runs = ["".join(rng.choices("abcdé", k=n)) for n in (63, 64, 65, 66, 100, 127, 128, 129, 130, 192, 1000)]
     rows = spark.createDataFrame([(" ".join(words + runs), "x")], "text string, lang string")
-    got, counts = lid._grams(rows, 4)["x"], grams_of(words + runs, 4)
+    got, counts = lid._collected(lid._levels(rows, 4), 4)["x"], grams_of(words + runs, 4)
     for k in range(1, 5):
         assert dict(zip(got[k][0], got[k][1].tolist())) == dict(counts[k])
     scorer = lid.Scorer({"x": lid.fit(got, 4)})

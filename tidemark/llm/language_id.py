@@ -1,9 +1,9 @@
 """Language identification with interpolated Kneser-Ney character models.
 
 One model per language over the letters of words (lower case, a blank before
-and after each).  Counting covers all learning rows: tasks count the n-grams of
-their distinct words, Spark sums them, and derives the lower orders' type
-counts ("continuations": in how many letters' company an n-gram occurs).  Every
+and after each).  Counting covers all learning rows but those for calibration
+(one in ``CALIBRATION_SHARE``): tasks count the n-grams of their distinct words,
+Spark sums them, and derives the lower orders' type counts ("continuations": in how many letters' company an n-gram occurs).  Every
 n-gram is kept.  Models of up to ``BROADCAST_GRAMS`` n-grams are broadcast as
 sorted arrays: n-gram hashes with their interpolated log probability, and
 context hashes with the log weight of the next lower order.  Larger ones stay
@@ -33,7 +33,7 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import groups
@@ -359,19 +359,6 @@ def _collected(levels: DataFrame, order: int) -> dict[str, dict[int, tuple[list[
     return out
 
 
-def _grams(rows: DataFrame, order: int, max_grams: int | None = None) -> dict[str, dict[int, tuple[list[str], np.ndarray]]]:
-    """Of rows (text, lang): n-grams and their Kneser-Ney counts, by language and order.
-
-    With ``max_grams`` the most frequent ones only, to look at; models are made of all.
-    """
-    levels = _levels(rows, order)
-    if max_grams is not None:
-        each = max(1, max_grams // max(1, levels.select("lang").distinct().count() * order))
-        levels = levels.withColumn("rank", F.row_number().over(
-            Window.partitionBy("lang", "k").orderBy(F.desc("n"), "gram"))).where(F.col("rank") <= each)
-    return _collected(levels, order)
-
-
 def _discount(once: int, twice: int) -> float:
     return min(0.95, max(0.1, once / (once + 2 * twice))) if once else 0.5
 

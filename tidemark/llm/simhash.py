@@ -206,7 +206,9 @@ def links(nodes: DataFrame, max_list: int = MAX_LIST, max_bits: int = MAX_BITS)
     if not 0 < max_bits <= 3:
         raise ValueError("the index is made for 1 to 3 bits")
     out = "kind int, a long, b long"
-    index = nodes.select(F.explode(F.array(*(_key(m, F.col("fp")) for m in _KEYS))).alias("key"), "fp")
+    # each row becomes 35: dealt out first, as adaptive execution may have merged the few bytes of ``nodes`` into one task
+    parts = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    index = nodes.repartition(parts, "fp").select(F.explode(F.array(*(_key(m, F.col("fp")) for m in _KEYS))).alias("key"), "fp")
     tallied = saved(index.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(freeing(_tally(max_list, max_bits)), out),
                     "simhash-tally")
     # the members of long lists, under each key of five bytes that holds their four
