@@ -3,12 +3,12 @@
 One model per language over the letters of words (lower case, a blank before
 and after each).  Counting covers all learning rows but those for calibration
 (one in ``CALIBRATION_SHARE``): tasks count the n-grams of their distinct words,
-Spark sums them, and derives the lower orders' type counts ("continuations": in how many letters' company an n-gram occurs).  Every
-n-gram is kept.  Models of up to ``BROADCAST_GRAMS`` n-grams are broadcast as
-sorted arrays: n-gram hashes with their interpolated log probability, and
-context hashes with the log weight of the next lower order.  Larger ones stay
-tables (``Tabled``), to which the distinct n-grams of the texts are joined, with
-the same results.
+Spark sums them, and derives the lower orders' type counts ("continuations": in
+how many letters' company an n-gram occurs).  Every n-gram is kept.  Models of
+up to ``BROADCAST_GRAMS`` n-grams are broadcast as sorted arrays: n-gram hashes
+with their interpolated log probability, and context hashes with the log weight
+of the next lower order.  Larger ones stay tables (``Tabled``), to which the
+distinct n-grams of the texts are joined, with the same results.
 
 A text's language is the one of the lowest cross-entropy per letter.  As the
 models see words one by one, a task scores each distinct word once and keeps a

@@ -6,10 +6,12 @@ each line where the text has that many.  Each window selects the line with its
 smallest hash; equal windows select equal lines, so any run of ``min_words``
 words that two places share has a selected line in common (the winnowing
 guarantee).  Selected lines that occur only once are dropped after a count of
-hashes, which leaves few of the windows.  The others are joined by position:
-the windows around a shared line, to its left and right, extend the match as
-far as both places agree.  What remains of a run is deleted wherever the same
-window occurs earlier, in the order of (doc_id, text hash, line).
+hashes, which leaves few of the windows.  The others are matched as a whole: the
+windows around a shared line, to its left and right, carry a digest of all their
+lines, and the earliest place of each digest is joined to the later ones, in the
+order of (doc_id, text hash, line).  That finds the whole-line part of every
+match without the pairs of a line that thousands of documents share; nothing is
+extended into lines that are shared in part.
 
 So a line is deleted exactly when it belongs to a run of at least ``min_words``
 words that also occurs at an earlier place.  The earliest copy of any line
