@@ -274,3 +274,14 @@ def test_scratch_folder_on_a_plain_session(spark, monkeypatch):
     for master in ("local-cluster[2,1,1024]", "spark://host:7077", "yarn"):
         with pytest.raises(RuntimeError, match="checkpoint"):
             session.scratch_dir(Plain(master))
+
+
+def test_lineage_folder_without_a_pattern(spark):
+    """The folder of each file; a pattern that ends in [^/]+$ was tried from every character of the path."""
+    from tidemark.plans.catalog import _lineage
+
+    paths = ["file:/a/b/sales/part-0.csv", "hdfs://h/x/products/y.csv", "file:/top/z"]
+    df = spark.createDataFrame([(p, 0) for p in paths], "_source_file string, _ingested_at int")
+    got = _lineage(df)
+    assert [r.source for r in got.collect()] == [r[0] for r in df.selectExpr("regexp_extract(_source_file, '([^/]+)/[^/]+$', 1)").collect()]
+    assert "regexp" not in got._jdf.queryExecution().optimizedPlan().toString()

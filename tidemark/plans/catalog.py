@@ -61,13 +61,16 @@ def _land_csv(spark, d, names, text=False) -> dict[str, str]:
                                  f"{root}/{n}") for n in names}
 
 
-def _lineage(df, pattern):
-    """Load times and absolute paths differ by run: keep the part of the path that doesn't."""
-    return df.withColumn("source", F.regexp_extract("_source_file", pattern, 1)).drop("_ingested_at", "_source_file")
+def _lineage(df, pattern=None):
+    """Load times and absolute paths differ by run: keep the part of the path that doesn't (by default the file's folder)."""
+    # the folder is cut out at its slashes: a pattern anchored at the end starts anew at every character of the path
+    source = (F.regexp_extract("_source_file", pattern, 1) if pattern
+              else F.substring_index(F.substring_index("_source_file", "/", -2), "/", 1))
+    return df.withColumn("source", source).drop("_ingested_at", "_source_file")
 
 
 def q_ingest_csv(spark, d):
-    return _lineage(files.ingest_csv(spark, "sales", _land_csv(spark, d, ["sales"])["sales"]), "([^/]+)/[^/]+$")
+    return _lineage(files.ingest_csv(spark, "sales", _land_csv(spark, d, ["sales"])["sales"]))
 
 
 def _clean_from_text(name) -> Query:
@@ -121,7 +124,7 @@ def q_ingest_csv_inferred(spark, d):
 
 
 def q_ingest_products_inferred(spark, d):
-    df = _lineage(inference.ingest_csv_inferred(spark, _land_csv(spark, d, ["products"])["products"]), "([^/]+)/[^/]+$")
+    df = _lineage(inference.ingest_csv_inferred(spark, _land_csv(spark, d, ["products"])["products"]))
     # the digits of a decimal depend on the data
     return df.select(*(F.col(c).cast("double").alias(c) if t.startswith("decimal") else c for c, t in df.dtypes))
 
