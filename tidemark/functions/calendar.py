@@ -8,6 +8,9 @@ from pyspark.sql import types as T
 
 DATE_FORMAT = "yyyy-MM-dd"
 
+# neither digit nor sign nor what a cast trims (white space, control characters)
+_NOT_WHOLE = r"[^0-9+\-\x00-\x20\x7F]"
+
 
 def typed_column(df: DataFrame, name: str, target: str) -> Column:
     """Convert ``df[name]`` to ``target`` without raising on bad input.
@@ -35,7 +38,12 @@ def typed_column(df: DataFrame, name: str, target: str) -> Column:
         # number would
         number = c if isinstance(src, T.FractionalType) else c.try_cast("double")
         whole = finite(number).try_cast(target)
-        return whole if isinstance(src, T.FractionalType) else F.coalesce(c.try_cast(target), whole)
+        if isinstance(src, T.FractionalType):
+            return whole
+        # a text cast that fails throws and catches an exception inside Spark, for "3.0" in every row: text with a
+        # character that no integer has is not tried
+        direct = F.when(~c.rlike(_NOT_WHOLE), c.try_cast(target)) if isinstance(src, T.StringType) else c.try_cast(target)
+        return F.coalesce(direct, whole)
     return c.try_cast(target)
 
 
