@@ -24,6 +24,22 @@ def test_least_type_of_all_values(spark, values, want):
     assert types(spark, c=values) == {"c": (want, 0)}
 
 
+def test_values_beside_the_common_ones(spark):
+    got = types(spark, a=["12\n", "3", None], b=["12\u0085", "3", None], c=["-2147483648", "2147483648", None], d=["9" * 38, "-1", None], e=["-9223372036854775808", "1", ""],
+                f=["1.50\n", "-22", None], g=["2020-01-01\n", "2020-01-02", "1"], h=["+1e5", "1.", "3"])
+    assert got == {"a": ("int", 1), "b": ("decimal(2,0)", 1), "c": ("bigint", 1), "d": ("decimal(38,0)", 1), "e": ("bigint", 1), "f": ("decimal(4,2)", 1),
+                   "g": ("string", 0), "h": ("double", 0)}
+
+
+def test_the_code_for_a_value_does_not_grow_with_the_columns(spark):
+    """Patterns are matched in code for one value: repeated for every column, it was too long to be compiled."""
+    def patterns(n):
+        plan = inference.column_types(spark.createDataFrame([], ", ".join(f"c{k} string" for k in range(n))))
+        return plan._jdf.queryExecution().optimizedPlan().toString().count("RLIKE")
+
+    assert 0 < patterns(30) == patterns(2)
+
+
 def test_empty_values_and_tables(spark):
     got = types(spark, **{"all null": [None, None, None], "blank": ["", "  ", None], "some": ["5", None, ""], "filled": ["x", "y", "z"],
                           "rows": ["1", "2", "3"], "c1": ["1", "2", "x"]})

@@ -15,48 +15,65 @@ Reads are typed with ``try_cast`` (``try_variant_get``); nothing is sampled.
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.sources.files import CORRUPT, csv_columns, csv_reader, with_lineage
 
-_WHOLE = r"^[+-]?(0|[1-9][0-9]*)$"
 _DECIMAL = r"^[+-]?(0|[1-9][0-9]*)(\.[0-9]+)?$"
 _NUMBER = r"^([+-]?((0|[1-9][0-9]*)(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|NaN|[+-]?Infinity)$"
 _DATE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 _MAX_DIGITS = 38
+# what a decimal holds beside its digits and point: a sign in front, a line end behind
+_BESIDE = "+-\n\r\u0085\u2028\u2029"
+# the kinds of a filled value, those of a number first
+_INT, _LONG, _DIGITS, _FRACTION, _FLOAT, _DAY, _OTHER = range(1, 8)
 
 
-def _profile(name: str) -> list[Column]:
-    """The figures of one text column, all of them plain aggregates."""
-    v = F.trim(F.col(f"`{name}`"))
-    filled = v != ""
-    plain = F.when(filled & v.rlike(_DECIMAL), F.regexp_replace(v, "^[+-]", ""))
-    fraction = F.length(F.regexp_extract(plain, r"\.([0-9]+)$", 1))
-    return [F.count_if(filled).alias("filled"),
-            F.count_if(filled & v.rlike(_WHOLE) & v.try_cast("int").isNotNull()).alias("ints"),
-            F.count_if(filled & v.rlike(_WHOLE) & v.try_cast("bigint").isNotNull()).alias("longs"),
-            F.count(plain).alias("decimals"),
-            F.count_if(filled & v.rlike(_NUMBER)).alias("numbers"),
-            F.count_if(filled & v.rlike(_DATE) & F.try_to_date(v, "yyyy-MM-dd").isNotNull()).alias("dates"),
-            F.coalesce(F.max(F.length(F.regexp_extract(plain, "^[0-9]+", 0))), F.lit(0)).alias("whole_digits"),
-            F.coalesce(F.max(fraction), F.lit(0)).alias("fraction_digits")]
+def _range(bits: int) -> tuple[Column, Column]:
+    return F.lit(Decimal(-2 ** bits)), F.lit(Decimal(2 ** bits - 1))
+
+
+def _kind() -> Column:
+    """The kind of a value ``v`` (NULL if null, 0 if empty) whose text as a decimal is ``d``.
+
+    A pattern is matched once, and only where those before did not match.  No cast
+    is tried that would fail: Spark throws and catches an exception for each.
+    """
+    v, digits = F.col("v"), F.col("d")
+    whole = v.try_cast(f"decimal({_MAX_DIGITS},0)")
+    return (F.when(digits.isNotNull() & (F.instr(digits, ".") == 0),
+                   F.when(whole.between(*_range(31)), _INT).when(whole.between(*_range(63)), _LONG).otherwise(_DIGITS))
+            .when(digits.isNotNull(), _FRACTION).when(v.isNull(), F.lit(None).cast("int")).when(v == "", 0)
+            .when(v.rlike(_NUMBER), _FLOAT)
+            .when(v.rlike(_DATE) & F.try_to_date(v, "yyyy-MM-dd").isNotNull(), _DAY).otherwise(_OTHER))
 
 
 def column_types(text: DataFrame) -> DataFrame:
     """column_name, type_name, rows, empty of each column of a text table, in one pass.
 
     A column without any value is ``void``; so is every column of an empty table.
+    The values of a row are one row each, (column number, value), so that the code
+    for one value is compiled once, whatever the number of columns.
     """
-    names = [f"c{k}" for k in range(len(text.columns))]  # any name may clash with a figure
-    renamed = text.toDF(*names)
-    figures = [f.alias(f"{n}_{k}") for n in names for k, f in enumerate(_profile(n))]
-    one = renamed.agg(F.count(F.lit(1)).alias("rows"), *figures)
-    keys = ["filled", "ints", "longs", "decimals", "numbers", "dates", "whole_digits", "fraction_digits"]
-    each = F.array(*(F.struct(F.lit(column).alias("column_name"), *(F.col(f"{n}_{k}").alias(key) for k, key in enumerate(keys)))
-                     for n, column in zip(names, text.columns)))
-    rows = one.select("rows", F.explode(each).alias("c")).select("rows", "c.*")
+    names = [f"c{k}" for k in range(len(text.columns))]  # any name may clash
+    pairs = ", ".join(f"{k}, {n}" for k, n in enumerate(names))
+    values = text.toDF(*names).select(F.expr(f"stack({len(names)}, {pairs}) AS (c, v)")).withColumn("v", F.trim("v"))
+    digits = values.withColumn("d", F.when(F.col("v").rlike(_DECIMAL), F.translate("v", _BESIDE, "")))
+    point, kind = F.instr("d", "."), F.col("kind")
+    placed = digits.select("c", _kind().alias("kind"), F.when(point == 0, F.length("d")).otherwise(point - 1).alias("w"),
+                           F.when(point > 0, F.length("d") - point).alias("f"))
+    one = placed.groupBy("c").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(kind >= _INT).alias("filled"), F.count_if(kind == _INT).alias("ints"),
+        F.count_if(kind.between(_INT, _LONG)).alias("longs"), F.count_if(kind.between(_INT, _FRACTION)).alias("decimals"),
+        F.count_if(kind.between(_INT, _FLOAT)).alias("numbers"), F.count_if(kind == _DAY).alias("dates"),
+        F.coalesce(F.max("w"), F.lit(0)).alias("whole_digits"), F.coalesce(F.max("f"), F.lit(0)).alias("fraction_digits"))
+    # every column is a row, also of an empty table
+    columns = text.sparkSession.range(len(names)).select(
+        F.col("id").cast("int").alias("c"), F.get(F.array(*map(F.lit, text.columns)), F.col("id").cast("int")).alias("column_name"))
+    rows = columns.join(one, "c", "left").fillna(0)
     digits = F.col("whole_digits") + F.col("fraction_digits")
     kind = (F.when(F.col("filled") == 0, "void").when(F.col("ints") == F.col("filled"), "int")
             .when(F.col("longs") == F.col("filled"), "bigint")
