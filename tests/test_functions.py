@@ -51,6 +51,15 @@ def test_cents_rounds_half_up(spark):
     assert got == [1234, 13, -38, -150, None]
 
 
+def test_cents_as_round_without_going_through_text(spark):
+    values = [0.125, -0.375, 2.675, 1.005, -1.005, 0.145, 0.285, 4.35, 0.0049999999999999, -0.0049999999999999, 0.005, -0.005, -0.0, 45035996273704.955, 92233720368547758.0,
+              -92233720368547758.0, 1e17, 1e300, float("nan"), float("inf"), float("-inf"), 12345678901234.565, 5e-324, None]
+    df = spark.createDataFrame([(v,) for v in values], "x double").union(spark.range(-20000, 20000).selectExpr("id / 800D"))
+    got = df.select("x", cents("x").alias("c"), F.round(F.col("x") * 100).try_cast("bigint").alias("want"))
+    assert got.filter("NOT (c <=> want)").collect() == []
+    assert "round(" not in got.select("c")._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_fix_encoding_rule_table(spark):
     rows = [('FÃ"s',), ("MarrakÃ©ch",), ("CafÃ©",), ("Ã la",), ("Fès",), (None,)]
     got = _one(spark, fix_encoding("s"), "s string", rows)

@@ -51,6 +51,15 @@ def test_ranks_never_window_a_whole_month(spark, sf_small):
     assert re.search(r"hashpartitioning\(annee#\d+, mois#\d+, _bk#\d+", plan)
 
 
+def test_ranking_does_not_carry_the_products(spark, sf_small, monkeypatch):
+    ranked = []
+    monkeypatch.setattr(gold, "group_rank", lambda df, *a, rank=gold.group_rank: ranked.append(df.columns) or rank(df, *a))
+    out = gold.top_products(*_silver(spark, sf_small, "sales", "products"))
+    assert ranked and not {"nom_produit", "categorie", "marque", "tranche_prix"} & set(ranked[0])
+    assert out.columns == ["id_produit", "nom_produit", "categorie", "marque", "tranche_prix", "annee", "mois", "nb_commandes", "total_quantite_vendue",
+                           "chiffre_affaires", "panier_moyen", "rang_ca", "rang_quantite"]
+
+
 def test_distinct_customers_without_expand(spark, sf_small):
     (sales,) = _silver(spark, sf_small, "sales")
     assert "Expand" not in _optimized(gold.distinct_customers(sales))

@@ -174,13 +174,22 @@ def sales_by_region(sales: DataFrame, customers: DataFrame) -> DataFrame:
 
 # ── G4 top products per month ────────────────────────────────────────────
 
-def _product_month(sales: DataFrame, products: DataFrame) -> DataFrame:
+_PRODUCT_COLUMNS = ("nom_produit", "categorie", "marque", "tranche_prix")
+
+
+def _product_measures(sales: DataFrame) -> DataFrame:
     pre = sales.groupBy("id_produit", "annee", "mois").agg(*_partial_measures())
-    pr = _dim(products, "id_produit", {c: c for c in ("nom_produit", "categorie", "marque", "tranche_prix")})
-    return pre.join(pr, "id_produit", "left").select(
-        "id_produit", "nom_produit", "categorie", "marque", "tranche_prix", "annee", "mois",
-        *_final_measures("total_quantite_vendue"),
-    )
+    return pre.select("id_produit", "annee", "mois", *_final_measures("total_quantite_vendue"))
+
+
+def _with_product(measures: DataFrame, products: DataFrame) -> DataFrame:
+    pr = _dim(products, "id_produit", {c: c for c in _PRODUCT_COLUMNS})
+    rest = [c for c in measures.columns if c != "id_produit"]
+    return measures.join(pr, "id_produit", "left").select("id_produit", *_PRODUCT_COLUMNS, *rest)
+
+
+def _product_month(sales: DataFrame, products: DataFrame) -> DataFrame:
+    return _with_product(_product_measures(sales), products)
 
 
 def top_products(sales: DataFrame, products: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -188,12 +197,14 @@ def top_products(sales: DataFrame, products: DataFrame, buckets: int = BUCKETS)
 
     ``rank``: ties share a rank and the next rank skips.  A month holds one
     row per product sold; ``group_rank`` splits it into ``buckets`` ranges of values.
+    The products' columns (one row per key after silver) join last: ranking
+    writes and shuffles its rows several times.
     """
-    g = _product_month(sales, products)
-    return group_rank(g, ["annee", "mois"], {
+    ranked = group_rank(_product_measures(sales), ["annee", "mois"], {
         "rang_ca": "chiffre_affaires",
         "rang_quantite": "total_quantite_vendue",
     }, buckets)
+    return _with_product(ranked, products)
 
 
 def top_products_k(sales: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
