@@ -1,5 +1,6 @@
 """Plan-shape guarantees the scale design relies on."""
 
+import os
 import re
 
 from tidemark.operators import gold, silver
@@ -73,6 +74,23 @@ def test_validation_reads_sales_once(spark, sf_small):
     assert len(re.findall(r"Relation \[l_orderkey#", plan)) == 3 and len(re.findall(r"Relation \[o_orderkey#", plan)) == 1
 
 
+def test_validation_does_not_join_the_counted_values(spark, sf_small):
+    from tidemark.operators import quality
+
+    plan = _optimized(quality.validate_layers(fixtures.bronze_tables(spark, sf_small)))
+    assert not re.search(r"Join .*\bvalue#", plan)
+
+
+def test_tasks_of_line_items_follow_the_size_of_the_files(spark, sf_small, monkeypatch):
+    monkeypatch.setattr(fixtures, "TASK_BYTES", 10_000)
+    size = {t: os.path.getsize(f"{sf_small}/{t}.parquet") for t in ("lineitem", "orders")}
+    both, lines = -(-sum(size.values()) // 10_000), -(-size["lineitem"] // 10_000)
+    plan = _physical(fixtures.bronze_sales(spark, sf_small))
+    assert len(re.findall(rf"hashpartitioning\([lo]_orderkey#\d+L, {both}\)", plan)) == 2 == plan.count("hashpartitioning")
+    plan = _physical(fixtures.bronze_stocks(spark, sf_small))
+    assert re.search(rf"hashpartitioning\(l_partkey#\d+L, l_suppkey#\d+L, {lines}\)", plan) and plan.count("hashpartitioning") == 1
+
+
 def test_scans_are_pruned_and_filtered(spark, sf_small):
     (sales,) = _silver(spark, sf_small, "sales")
     scans = [line for line in _physical(sales).splitlines() if "FileScan parquet" in line]

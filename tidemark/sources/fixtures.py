@@ -20,6 +20,11 @@ from pyspark.sql import functions as F
 from tidemark.functions.money import cents, idiv
 from tidemark.session import new_run_dir
 from tidemark.sources import files
+from tidemark.sources.sinks import file_bytes
+
+# Bytes of parquet files per task where line items are dealt by key.  Without a number of its own such a step takes
+# what AQE merges (64 MB of shuffled data), which is a large task to sort, join and count by key in.
+TASK_BYTES = 8 << 20
 
 # Declared layout of the test tables (FIXTURES.md §2).  Reading with a
 # declared schema skips the footer-reading job that schema inference runs for
@@ -46,6 +51,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _tasks(*tables: DataFrame) -> int:
+    """A number of tasks that grows with the tables' files; of small ones, a task a core and at least 1 MB each."""
+    spark = tables[0].sparkSession
+    size = sum(file_bytes(spark, t.inputFiles()) for t in tables)
+    return max(1, -(-size // TASK_BYTES), min(spark.sparkContext.defaultParallelism, size >> 20))
+
+
 def _str(c) -> F.Column:
     return c.cast("string")
 
@@ -61,6 +73,8 @@ def bronze_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     # sort-merge join at every real scale; the hint keeps a small test size
     # from broadcasting orders and funnelling all per-row work into the scan
     # tasks of lineitem.
+    n = _tasks(li, o)
+    li, o = li.repartition(n, "l_orderkey"), o.repartition(n, "o_orderkey")
     j = li.join(o.hint("merge"), li.l_orderkey == o.o_orderkey, "inner")
     qty = F.col("l_quantity").cast("bigint")
     ext = cents("l_extendedprice")
@@ -158,11 +172,15 @@ def bronze_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bronze_stocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     q = F.col("l_quantity")
-    agg = li.groupBy("l_partkey", "l_suppkey").agg(
-        F.sum(F.when(F.col("l_linestatus") == "F", q).otherwise(0)).alias("dispo"),
-        F.sum(F.when(F.col("l_linestatus") == "O", q).otherwise(0)).alias("reserve"),
-        F.max(F.col("l_shipdate").cast("date")).alias("date_maj"),
-    )
+    # nearly every line is a pair of its own: lines are dealt as they are, not counted before
+    lines = li.select(
+        "l_partkey", "l_suppkey",
+        F.when(F.col("l_linestatus") == "F", q).otherwise(0).alias("dispo"),
+        F.when(F.col("l_linestatus") == "O", q).otherwise(0).alias("reserve"),
+        F.col("l_shipdate").cast("date").alias("date_maj"),
+    ).repartition(_tasks(li), "l_partkey", "l_suppkey")
+    agg = lines.groupBy("l_partkey", "l_suppkey").agg(
+        F.sum("dispo").alias("dispo"), F.sum("reserve").alias("reserve"), F.max("date_maj").alias("date_maj"))
     return agg.select(
         _str(F.col("l_partkey") * 1000000 + F.col("l_suppkey")).alias("id_stock"),
         _str(F.col("l_partkey")).alias("id_produit"),

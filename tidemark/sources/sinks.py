@@ -219,6 +219,11 @@ def file_states(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return out
 
 
+def file_bytes(spark: SparkSession, paths: Sequence[str]) -> int:
+    """Size of all the files."""
+    return sum(fs.getFileStatus(p).getLen() for p, fs in (_path(spark, path) for path in paths))
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file, written whole or not at all."""
     p, fs = _path(spark, f"{path}.new-{uuid.uuid4().hex[:12]}")
