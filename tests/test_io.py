@@ -285,3 +285,29 @@ def test_lineage_folder_without_a_pattern(spark):
     got = _lineage(df)
     assert [r.source for r in got.collect()] == [r[0] for r in df.selectExpr("regexp_extract(_source_file, '([^/]+)/[^/]+$', 1)").collect()]
     assert "regexp" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tables_dealt_once_are_those_dealt_by_month(spark, tmp_path, monkeypatch):
+    """Odd sales (no date, no channel, an unknown one, all of one day) with few channels, and as if there were many."""
+    from tidemark.plans import pipeline
+    from tidemark.sources import schemas
+
+    day = lambda i: None if i % 13 == 0 else "2024-03-05" if i % 3 == 0 else f"2023-{i % 12 + 1:02}-{i % 28 + 1:02}"
+    sales = [(str(i % 380), f"c{i % 7}", f"p{i % 5}", None if i % 11 == 0 else f"k{i % 6}", day(i), str(i % 4), "2.50",
+              None if i % 2 else "10", f"{i % 9}.25", "livré") for i in range(400)]
+    channels = [(f"k{i}", "web", f"n{i}", None, "r") for i in range(5)] + [(None, "web", "none", "v", "r")]
+    bronze = {name: spark.createDataFrame({"sales": sales, "channels": channels}.get(name, []), schema)
+              for name, schema in schemas.BRONZE.items()}
+    tables, files = {}, {}
+    for limit in (pipeline.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(pipeline, "BROADCAST_BYTES", limit)
+        out = f"{tmp_path}/{limit}"
+        run_pipeline(spark, bronze=bronze, out=out, as_of="2024-06-01")
+        for name in ("gold/sales_daily", "silver/sales_enriched"):
+            df = spark.read.parquet(f"{out}/{name}").drop("_updated_at")
+            tables[limit, name] = (df.columns, sorted(map(str, df.collect())))
+            files[limit, name] = len(df.inputFiles())
+    for name in ("gold/sales_daily", "silver/sales_enriched"):
+        (few, many), months = (tables[x, name] for x in sorted({k[0] for k in tables})), 14
+        assert few == many and len(few[1]) > 50
+        assert all(n <= months + spark.sparkContext.defaultParallelism for (_, table), n in files.items() if table == name)

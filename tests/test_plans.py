@@ -145,3 +145,19 @@ def test_hot_key_row_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_daily_and_enriched_sales_are_dealt_once(spark, sf_small, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators.enrich import enrich_sales
+    from tidemark.plans.pipeline import DEALS
+    from tidemark.sources.sinks import _prepared, materialize
+
+    monkeypatch.setattr(fixtures, "TASK_BYTES", 10_000)
+    sales, channels = (materialize(df, "dealt") for df in _silver(spark, sf_small, "sales", "channels"))
+    for name, build, deal in (("sales_daily", gold.sales_daily, "rangepartitioning(date"),
+                              ("sales_enriched", enrich_sales, "hashpartitioning(annee")):
+        made = build(DEALS[name](sales), F.broadcast(channels))
+        plan = _physical(_prepared(made, ["annee", "mois"], "_updated_at", dealt=True))
+        assert len(re.findall(r"(?<!Broadcast)Exchange ", plan)) == 1 and deal in plan, plan
