@@ -311,3 +311,25 @@ def test_tables_dealt_once_are_those_dealt_by_month(spark, tmp_path, monkeypatch
         (few, many), months = (tables[x, name] for x in sorted({k[0] for k in tables})), 14
         assert few == many and len(few[1]) > 50
         assert all(n <= months + spark.sparkContext.defaultParallelism for (_, table), n in files.items() if table == name)
+
+
+def test_pipeline_leaves_no_shuffle_files(spark, tmp_path):
+    """Shuffle files are deleted with the query that made them, not when the driver happens to collect its garbage."""
+    import time
+
+    from tidemark.session import CLEANUP_CONF
+    from tidemark.sources import schemas
+
+    def shuffles():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {os.path.basename(f) for f in found.split("\n") if "shuffle_" in f}
+
+    sales = [(str(i), f"c{i % 7}", f"p{i % 5}", f"k{i % 3}", f"2023-{i % 12 + 1:02}-03", "2", "2.50", None, "5.00", "livré") for i in range(200)]
+    bronze = {name: spark.createDataFrame(sales if name == "sales" else [], schema) for name, schema in schemas.BRONZE.items()}
+    before, conf = shuffles(), spark.conf.get(CLEANUP_CONF, None)
+    run_pipeline(spark, bronze=bronze, out=str(tmp_path), as_of="2024-06-01")
+    until = time.time() + 10
+    while shuffles() - before and time.time() < until:  # deleted in the background
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert spark.conf.get(CLEANUP_CONF, None) == conf
