@@ -162,3 +162,29 @@ def test_sales_daily_ordered(spark, sf_small):
     rows = gold.sales_daily(s["sales"], s["channels"], ordered=True).select("date", "id_canal").collect()
     key = [(r.date is not None, r.date, r.id_canal) for r in rows]
     assert len(rows) > 100 and key == sorted(key)
+
+
+def test_dealt_measures_count_what_is_there(spark):
+    """Missing ids, amounts and keys, and amounts beyond a bigint of cents (counted, but of no cents)."""
+    rows = [("1", "a", "p", "k", 2, 10.0), (None, "a", "p", "k", None, None), ("3", "a", None, "k", 3, 1e20),
+            ("4", None, "q", None, 1, 2.5), (None, None, "q", None, 1, 2.0)]
+    sales = spark.createDataFrame(rows, "id_vente string, id_client string, id_produit string, id_canal string, quantite int, montant double")
+    sales = sales.selectExpr("*", "date'2024-03-01' date", "2024 annee", "3 mois")
+    for frame, keys in ((gold._measured(sales, "id_canal", "annee", "mois"), ["id_canal", "annee", "mois"]),
+                        (gold._measured(sales, "id_client", "annee"), ["id_client", "annee"])):
+        got = frame.groupBy(*keys).agg(*gold._dealt_measures())
+        plain = sales.groupBy(*keys).agg(*gold._partial_measures())
+        assert got.schema == plain.schema and sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))
+    customers = spark.createDataFrame([("a", "VIP", "v", "r")], "id_client string, segment string, ville string, region string")
+    for tasks in (None, 3):
+        got = {r.id_client: r for r in gold.customer_basket(sales, customers, "2024-04-01", tasks).collect()}
+        a, none = got["a"], got[None]
+        assert (a.nb_commandes, a.nb_produits_distincts, a.total_articles, a.total_depenses) == (2, 1, 5, 10.0)
+        assert (a.min_commande, a.max_commande, a.segment, a.recence_jours) == (10.0, 10.0, "VIP", 31)
+        assert (none.nb_commandes, none.nb_produits_distincts, none.total_depenses, none.segment) == (1, 1, 4.5, None)
+
+
+def test_counted_sales_make_the_same_days(spark, sf_small):
+    s = _silver(spark, sf_small)
+    plain, counted = (gold.sales_daily(x, s["channels"]) for x in (s["sales"], gold.counted(s["sales"])))
+    assert plain.schema == counted.schema and sorted(map(str, plain.collect())) == sorted(map(str, counted.collect()))

@@ -161,3 +161,38 @@ def test_daily_and_enriched_sales_are_dealt_once(spark, sf_small, monkeypatch):
         made = build(DEALS[name](sales), F.broadcast(channels))
         plan = _physical(_prepared(made, ["annee", "mois"], "_updated_at", dealt=True))
         assert len(re.findall(r"(?<!Broadcast)Exchange ", plan)) == 1 and deal in plan, plan
+
+
+def test_distinct_counts_deal_the_sales_once(spark, sf_small, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from tidemark.sources.sinks import materialize
+
+    monkeypatch.setattr(gold, "materialize", lambda df, label: made.append(df) or materialize(df, label))
+    made = []
+    sales, channels, customers = (materialize(df, "dealt") for df in _silver(spark, sf_small, "sales", "channels", "customers"))
+    for tasks, kind in ((None, r"\d+\), REPARTITION_BY_COL"), (5, r"5\), REPARTITION_BY_NUM")):
+        gold.sales_by_channel(sales, channels, tasks=tasks)
+        basket = gold.customer_basket(sales, F.broadcast(customers), "2024-06-01", tasks=tasks)
+        for plan, keys in ((_physical(made[-1]), r"id_canal#\d+, annee#\d+, mois#\d+"), (_physical(basket), r"id_client#\d+, annee#\d+")):
+            assert re.search(rf"hashpartitioning\({keys}, {kind}", plan), plan
+            assert plan.count("hashpartitioning") == 1, plan
+
+
+def test_cleaned_sales_are_dealt_before_columns_are_derived(spark, sf_small):
+    from tidemark.operators.silver import clean_sales
+    from tidemark.plans.pipeline import CLEAN_DEALS
+    from tidemark.sources.sinks import _prepared, materialize
+
+    bronze = materialize(fixtures.bronze_sales(spark, sf_small), "dealt")
+    plain, dealt = clean_sales(bronze), clean_sales(bronze, deal=CLEAN_DEALS["sales"])
+    assert dealt.schema == plain.schema and sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+    plan = _optimized(_prepared(dealt, ["annee", "mois"], "_updated_at", dealt=True))
+    assert plan.count("RebalancePartitions") == 1 and plan.index("montant_calc") < plan.index("RebalancePartitions")
+    assert "montant_calc" not in plan[plan.index("RebalancePartitions"):] and "Sort [annee" in plan
+
+
+def test_every_table_has_its_place_in_the_order(spark):
+    from tidemark.plans.pipeline import DEAL_THEMSELVES, GOLD_TABLES, LARGEST_FIRST
+
+    assert sorted(LARGEST_FIRST) == sorted([*GOLD_TABLES, "sales_enriched"]) and set(DEAL_THEMSELVES) < set(GOLD_TABLES)
